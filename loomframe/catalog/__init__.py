@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("projections", "splits", "scalers")
+MODULES = ("projections", "splits", "scalers", "texts", "series")
 
 
 def _load():
