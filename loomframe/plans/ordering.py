@@ -61,15 +61,17 @@ class Ordered:
 
         With reverse, a row sees itself and all rows after it.
         """
-        frame = (0, Window.unboundedFollowing) if reverse else (Window.unboundedPreceding, 0)
-        inside = Window.partitionBy(*self.parts).orderBy(*self.order).rowsBetween(*frame)
+        # backwards means descending order: a frame up to unboundedFollowing would be quadratic
+        turn = (lambda c: c.desc()) if reverse else (lambda c: c)
+        inside = (Window.partitionBy(*self.parts).orderBy(*[turn(c) for c in self.order])
+                  .rowsBetween(Window.unboundedPreceding, 0))
         out = self.df
         totals = None
         if self.split:
             aggs = [self._combine(op, v).alias(f"_t_{name}") for name, (op, v) in outs.items()]
             totals = out.groupBy(*self.parts).agg(*aggs)
-            span = (1, Window.unboundedFollowing) if reverse else (Window.unboundedPreceding, -1)
-            before = Window.partitionBy(*self.keys).orderBy("_cell").rowsBetween(*span)
+            before = (Window.partitionBy(*self.keys).orderBy(turn(F.col("_cell")))
+                      .rowsBetween(Window.unboundedPreceding, -1))
             totals = totals.select(
                 *self.parts,
                 *[self._combine(op, F.col(f"_t_{n}")).over(before).alias(f"_b_{n}")
