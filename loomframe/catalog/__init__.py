@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("projections", "splits", "scalers", "texts", "series", "graphs", "metrics", "neighbors")
+MODULES = ("projections", "splits", "scalers", "texts", "series", "graphs", "metrics", "neighbors", "models")
 
 
 def _load():

@@ -97,7 +97,7 @@ def _lwr(kernel):
     return run
 
 
-query("n7_locally_weighted_gaussian", _lwr_sql("exp(-(q.x - t.x) ** 2 / 50)"))(_lwr("gaussian"))
+query("n7_locally_weighted_gaussian", _lwr_sql("exp(-((q.x - t.x) ** 2) / 50)"))(_lwr("gaussian"))
 query("n7_locally_weighted_epanechnikov", _lwr_sql("greatest(0, 1 - ((q.x - t.x) / 5) ** 2)"))(_lwr("epanechnikov"))
 
 # prototypes: the mean vector of every label

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -60,16 +58,3 @@ def entropy_of(p: Column) -> Column:
     """Natural-log entropy of an array normalized to sum 1."""
     return let(total(p), lambda s: F.aggregate(
         p, F.lit(0.0), lambda acc, x: acc - F.when(x > 0, x / s * F.log(x / s)).otherwise(0.0)))
-
-
-def dft_magnitudes(a: Column) -> Column:
-    """Squared magnitudes of the full discrete Fourier transform of an array."""
-    n = F.size(a)
-
-    def part(k, fn):
-        return F.aggregate(
-            F.transform(a, lambda v, i: v * fn(F.lit(2.0 * math.pi) * ((k * i) % n) / n)),
-            F.lit(0.0), lambda s, x: s + x)
-
-    return F.transform(F.sequence(F.lit(0), n - 1),
-                       lambda k: part(k, F.cos) * part(k, F.cos) + part(k, F.sin) * part(k, F.sin))

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -22,6 +24,18 @@ def _wavelet(x: Column, y: Column, a: float, c: float) -> Column:
     return F.aggregate(terms, F.lit(1.0), lambda s, t: s * t)
 
 
+def _power(a: Column) -> Column:
+    """Squared magnitudes of the full discrete Fourier transform of an array, a batch at a time."""
+
+    @F.pandas_udf("array<double>")
+    def run(rows: pd.Series) -> pd.Series:
+        if len(rows) == 0:
+            return pd.Series([], dtype=object)
+        return pd.Series(list(np.abs(np.fft.fft(np.stack(rows.to_numpy()), axis=1)) ** 2))
+
+    return run(a)
+
+
 def kernel(name: str | Callable, **params) -> Callable[[Column, Column], Column]:
     """A function of two array columns; a callable is taken as it is."""
     if callable(name):
@@ -37,7 +51,7 @@ def kernel(name: str | Callable, **params) -> Callable[[Column, Column], Column]
         "frequency_linear": lambda x, y: A.dot(x, y) * F.size(x),
         # one value per frequency
         "frequency_rbf": lambda x, y: F.transform(
-            A.dft_magnitudes(F.zip_with(x, y, lambda u, v: u - v)), lambda m: F.exp(m * F.lit(-float(gamma)))),
+            _power(F.zip_with(x, y, lambda u, v: u - v)), lambda m: F.exp(m * F.lit(-float(gamma)))),
     }
     if name not in table:
         raise ValueError(f"unknown kernel {name!r}, expected one of {sorted(table)}")

@@ -104,9 +104,9 @@ def _threshold_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"),
         F.count("*").alias("n"))
-    ordered = Ordered(counts, [], [F.col("threshold")], F.col("threshold"))
-    run = ordered.running(reverse=True, tp=("sum", F.col("pos")), fp=("sum", F.col("neg")))
     totals = df.agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count("*").alias("n_all")).first()
+    ordered = Ordered(counts, [], [F.col("threshold")], F.col("threshold"), totals["n_all"], derived=True)
+    run = ordered.running(reverse=True, tp=("sum", F.col("pos")), fp=("sum", F.col("neg")))
     n_pos = totals["n_pos"]
     return run.rows().withColumn("n_pos", F.lit(n_pos)).withColumn("n_neg", F.lit(totals["n_all"] - n_pos))
 
@@ -128,19 +128,19 @@ def precision_recall_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 def roc_auc(df: DataFrame, label: str, score: str) -> DataFrame:
     """Binary area under the ROC curve by average ranks."""
     long = df.select(F.lit(1).alias("class"), F.col(label).alias("_y"), F.col(score).cast("double").alias("_s"))
-    return _auc_per_class(long).select(F.col("auc").alias("roc_auc"))
+    return _auc_per_class(long, df.count()).select(F.col("auc").alias("roc_auc"))
 
 
 def roc_auc_ovr(df: DataFrame, label: str, scores: dict) -> DataFrame:
     """Macro mean of one-vs-rest areas; `scores` maps each class to its score column."""
     pairs = F.array(*[F.struct(F.lit(str(c)).alias("class"), (F.col(label).cast("string") == F.lit(str(c))).cast("int").alias("_y"),
                                F.col(s).cast("double").alias("_s")) for c, s in scores.items()])
-    return _auc_per_class(df.select(F.inline(pairs))).agg(F.avg("auc").alias("roc_auc"))
+    return _auc_per_class(df.select(F.inline(pairs)), df.count()).agg(F.avg("auc").alias("roc_auc"))
 
 
-def _auc_per_class(long: DataFrame) -> DataFrame:
+def _auc_per_class(long: DataFrame, n_rows: int) -> DataFrame:
     counts = long.groupBy("class", "_s").agg(F.count_if(F.col("_y") == 1).alias("pos"), F.count_if(F.col("_y") == 0).alias("neg"))
-    run = Ordered(counts, ["class"], [F.col("_s")], F.col("_s")).running(below=("sum", F.col("neg")))
+    run = Ordered(counts, ["class"], [F.col("_s")], F.col("_s"), n_rows, derived=True).running(below=("sum", F.col("neg")))
     below = F.col("below") - F.col("neg")
     pairs = F.sum(F.col("pos").cast("double") * (below.cast("double") + F.col("neg") / 2.0))
     return run.rows().groupBy("class").agg(

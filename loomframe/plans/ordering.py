@@ -13,7 +13,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.plans.runtime import CELL_ROWS, limit_of, null_safe_join
+from loomframe.plans.runtime import CELL_ROWS, cut_lineage, limit_of, null_safe_join
 
 MAX_CELLS = 10_000
 
@@ -43,11 +43,15 @@ def add_cell(df: DataFrame, lead: Column, bounds: list[float], name: str = "_cel
 class Ordered:
     """Rows in a total order inside groups, held in cells of bounded size."""
 
-    def __init__(self, df: DataFrame, keys, order, lead: Column, n_rows: int | None = None):
+    def __init__(self, df: DataFrame, keys, order, lead: Column, n_rows: int | None = None,
+                 derived: bool = False):
+        """With derived, an input that comes from an aggregation is written out once before it is cut."""
         self.keys = list(keys)
         self.order = list(order)
         n = df.count() if n_rows is None else n_rows
         self.n_rows = n
+        if derived and n > limit_of(df.sparkSession, CELL_ROWS):
+            df = cut_lineage(df)
         bounds = cell_bounds(df, lead, n)
         self.split = bool(bounds)
         self.df = add_cell(df, lead, bounds) if self.split else df
