@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Fixed value: guard of gradients and logarithms.
@@ -43,6 +43,29 @@ def softmax(scores: Column) -> Column:
     return let(exps, lambda es: let(total(es), lambda t: F.transform(es, lambda e: e / t)))
 
 
+def with_softmax(df: DataFrame, scores: list[Column], classes=None, out: str = "prediction",
+                 probabilities: str = "probabilities") -> DataFrame:
+    """Softmax of a known number of score columns as plain columns, which compile to one loop.
+
+    Adds the probability array and the first most probable class (or its index without classes).
+    """
+    k = range(len(scores))
+    base = df.columns
+    staged = df.select(*base, *[s.alias(f"_z{i}") for i, s in enumerate(scores)])
+    top = F.greatest(*[F.col(f"_z{i}") for i in k]) if len(scores) > 1 else F.col("_z0")
+    staged = staged.select("*", top.alias("_top"))
+    staged = staged.select(*base, "_top", *[f"_z{i}" for i in k], *[F.exp(F.col(f"_z{i}") - F.col("_top")).alias(f"_e{i}") for i in k])
+    sum_e = F.col("_e0")
+    for i in k[1:]:
+        sum_e = sum_e + F.col(f"_e{i}")
+    staged = staged.select("*", sum_e.alias("_sum"))
+    first = F.lit(None)
+    for i in reversed(k):
+        value = F.lit(i if classes is None else classes[i])
+        first = F.when(F.col(f"_z{i}") == F.col("_top"), value).otherwise(first)
+    return staged.select(*base, F.array(*[F.col(f"_e{i}") / F.col("_sum") for i in k]).alias(probabilities), first.alias(out))
+
+
 def argmax_class(p: Column) -> Column:
     """Zero-based index of the first maximum."""
     return (F.array_position(p, F.array_max(p)) - 1).cast("int")

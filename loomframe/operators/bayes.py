@@ -8,7 +8,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.arrays import argmax_class, softmax
+from loomframe.functions.arrays import with_softmax
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.fitted import Fitted, transform_of
 from loomframe.operators.linear import linear_expression, moments
@@ -40,9 +40,7 @@ def _gaussian_nb(fit: Fitted, df: DataFrame) -> DataFrame:
             d = F.col(c).cast("double") - F.lit(r[f"m_{c}"])
             s = s + F.lit(-0.5 * math.log(2.0 * math.pi * v)) - d * d / F.lit(2.0 * v)
         scores.append(s)
-    out = df.withColumn("probabilities", softmax(F.array(*scores)))
-    classes = F.lit([r["class"] for r in rows])
-    return out.withColumn("prediction", F.element_at(classes, argmax_class(F.col("probabilities")) + 1))
+    return with_softmax(df, scores, [r["class"] for r in rows])
 
 
 class Discriminant:
@@ -91,5 +89,4 @@ class Discriminant:
 
     def predict(self, df: DataFrame) -> DataFrame:
         scores = [linear_expression(self.cols, self.coef[:, j], self.intercept[j]) for j in range(len(self.classes))]
-        out = df.withColumn("probabilities", softmax(F.array(*scores)))
-        return out.withColumn("prediction", F.element_at(F.lit(self.classes), argmax_class(F.col("probabilities")) + 1))
+        return with_softmax(df, scores, self.classes)

@@ -13,7 +13,7 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.arrays import EPSILON, argmax_class, softmax
+from loomframe.functions.arrays import EPSILON, with_softmax
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.fitted import Fitted, transform_of
 from loomframe.plans.runtime import require_columns
@@ -187,8 +187,7 @@ class GradientFit:
             return df.withColumn(out, scores[0])
         if self.loss == "hinge":
             return df.withColumn("decision", scores[0]).withColumn(out, F.when(F.col("decision") >= 0, 1).otherwise(-1))
-        scored = df.withColumn("probabilities", softmax(F.array(*scores)))
-        return scored.withColumn(out, F.element_at(F.lit(self.classes), argmax_class(F.col("probabilities")) + 1))
+        return with_softmax(df, scores, self.classes, out)
 
 
 def gradient_fit(df: DataFrame, cols, label: str, loss: str = "elastic_net", method: str = "adam", lr: float | None = None,
@@ -338,9 +337,7 @@ def softmax_score(df: DataFrame, cols, weights, bias, classes=None) -> DataFrame
     """Add `probabilities` and `prediction` for given weights (p x classes) and bias."""
     w = np.asarray(weights, dtype=float)
     scores = [linear_expression(cols, w[:, j], bias[j]) for j in range(w.shape[1])]
-    scored = df.withColumn("probabilities", softmax(F.array(*scores)))
-    at = argmax_class(F.col("probabilities"))
-    return scored.withColumn("prediction", at if classes is None else F.element_at(F.lit(list(classes)), at + 1))
+    return with_softmax(df, scores, classes)
 
 
 def harmonic_regression(df: DataFrame, x: str, y: str, n_components: int = 20, frequencies=None, alpha: float = 0.0,

@@ -8,27 +8,36 @@ or shuffled, and a class of any size costs the same.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.keys import hash_key, poisson_one, uniform
 from loomframe.plans.ordering import Ordered
-from loomframe.plans.runtime import CELL_ROWS, limit_of, null_safe_join, require_columns, settle
+from loomframe.plans.runtime import null_safe_join, require_columns, settle, widen
+
+MAX_PREFIX_DIGITS = 5
+PREFIX_ROWS = 2_000
+
 
-PREFIX_DIGITS = 4
+def _prefix_digits(n_rows: int) -> int:
+    """Hex digits that leave about PREFIX_ROWS rows per hash prefix (at most 16^5 prefixes)."""
+    return max(0, min(MAX_PREFIX_DIGITS, round(math.log(max(n_rows, 1) / PREFIX_ROWS, 16))))
 
 
-def _assign_by_rank(df: DataFrame, id_col, seed, keys, ranks, out: str) -> DataFrame:
+def _assign_by_rank(df: DataFrame, id_col, seed, keys, ranks, out: str, n_rows: int | None = None) -> DataFrame:
     """Add `out`: how many of the group's rank cutoffs lie before the row in hash order.
 
     ranks(total) gives the ascending one-based ranks as an array<bigint> column.
     """
     keys = list(keys)
+    n = df.count() if n_rows is None else n_rows
+    digits = _prefix_digits(n)
     hashed = df.withColumn("_h", hash_key(seed, id_col))
-    n = df.count()
-    digits = 0 if n <= limit_of(df.sparkSession, CELL_ROWS) else PREFIX_DIGITS
+    narrow = widen(df.select(*{*keys, id_col}) if isinstance(id_col, str) else df, n).withColumn("_h", hash_key(seed, id_col))
     prefix = F.substring("_h", 1, digits) if digits else F.lit("")
-    slim = hashed.select(*keys, "_h", prefix.alias("_p"))
+    slim = narrow.select(*keys, "_h", prefix.alias("_p"))
 
     whole = Window.partitionBy(*keys)
     upto = whole.orderBy("_p").rowsBetween(Window.unboundedPreceding, 0)
@@ -52,10 +61,9 @@ def _assign_by_rank(df: DataFrame, id_col, seed, keys, ranks, out: str) -> DataF
     cutoffs = settle(cutoffs)
     if not keys:
         row = cutoffs.df.first()
-        cuts = F.lit(list(row["_cuts"])) if row is not None else F.lit([]).cast("array<string>")
-        assigned = hashed.withColumn("_cuts", cuts)
-    else:
-        assigned = null_safe_join(hashed, cutoffs.hinted(), keys)
+        before = sum(((F.col("_h") > F.lit(c)).cast("int") for c in (row["_cuts"] if row is not None else [])), F.lit(0))
+        return hashed.withColumn(out, before).drop("_h")
+    assigned = null_safe_join(hashed, cutoffs.hinted(), keys)
     before = F.size(F.filter(F.coalesce("_cuts", F.array().cast("array<string>")), lambda c: c < F.col("_h")))
     return assigned.withColumn(out, before.cast("int")).drop("_h", "_cuts")
 
@@ -92,7 +100,7 @@ def train_test_split(df: DataFrame, id_col, test_size: float = 0.2, seed: int =
         ranks = lambda t: F.array(F.greatest(F.lit(1), F.floor(t * F.lit(float(test_size)))).cast("long"))
     else:
         ranks = lambda t: F.array(_ceil_share(t, test_size).cast("long"))
-    rows = _assign_by_rank(df, id_col, seed, keys, ranks, "_seg")
+    rows = _assign_by_rank(df, id_col, seed, keys, ranks, "_seg", n)
     return rows.withColumn(out, F.when(F.col("_seg") == 0, "test").otherwise("train")).drop("_seg")
 
 
@@ -107,7 +115,7 @@ def split3(df: DataFrame, id_col, test_size: float = 0.2, val_size: float = 0.2,
         test = _ceil_share(t, test_size)
         return F.array(test.cast("long"), (test + _ceil_share(t - test, val_size)).cast("long"))
 
-    rows = _assign_by_rank(df, id_col, seed, [], ranks, "_seg")
+    rows = _assign_by_rank(df, id_col, seed, [], ranks, "_seg", n)
     label = F.when(F.col("_seg") == 0, "test").when(F.col("_seg") == 1, "val").otherwise("train")
     return rows.withColumn(out, label).drop("_seg")
 
@@ -140,9 +148,10 @@ def stratified_kfold(df: DataFrame, id_col, label: str, k: int = 5, seed: int =
 def subsample(df: DataFrame, id_col, frac: float, seed: int = 42) -> DataFrame:
     """int(n * frac) rows without replacement."""
     ranks = lambda t: F.array(F.floor(t * F.lit(float(frac))).cast("long"))
-    if frac * df.count() < 1:
+    n = df.count()
+    if frac * n < 1:
         return df.limit(0)
-    return _assign_by_rank(df, id_col, seed, [], ranks, "_seg").filter("_seg = 0").drop("_seg")
+    return _assign_by_rank(df, id_col, seed, [], ranks, "_seg", n).filter("_seg = 0").drop("_seg")
 
 
 def sample_rows(df: DataFrame, id_col, n: int, seed: int = 42) -> DataFrame:

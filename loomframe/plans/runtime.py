@@ -58,10 +58,24 @@ def settle(df: DataFrame) -> Settled:
     """
     spark = df.sparkSession
     limit = limit_of(spark, BROADCAST_ROWS)
-    head = df.limit(limit + 1).toArrow()
-    if head.num_rows <= limit:
-        return Settled(spark.createDataFrame(head, df.schema), True)
-    return Settled(cut_lineage(df), False)
+    held = df.persist()  # what the size check computes is not computed again by the write
+    try:
+        head = held.limit(limit + 1).toArrow()
+        if head.num_rows <= limit:
+            return Settled(spark.createDataFrame(head, df.schema), True)
+        return Settled(cut_lineage(held), False)
+    finally:
+        held.unpersist()
+
+
+def widen(df: DataFrame, n_rows: int) -> DataFrame:
+    """Spread a table of at most cellRows rows over all cores, for work that is heavy per row.
+
+    A small file is one scan task; a large table already comes in many and is left alone.
+    """
+    if n_rows > limit_of(df.sparkSession, CELL_ROWS):
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def require_columns(df: DataFrame, columns) -> None:
