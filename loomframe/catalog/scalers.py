@@ -230,7 +230,7 @@ def _gaps(spark, sf):
 
 def _filled(method, gap=None):
     def run(spark, sf):
-        out = M.interpolate(_gaps(spark, sf), "user_id", ["ts", "event_id"], "value", method, gap, lead=F.unix_micros(F.col("ts").cast("timestamp")))
+        out = M.interpolate(_gaps(spark, sf), "user_id", ["ts", "event_id"], "value", method, gap)
         return rounded(out.select("event_id", "user_id", "value"), ["value"])
     return run
 

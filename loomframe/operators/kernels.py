@@ -82,12 +82,9 @@ def kernel_rows(df: DataFrame, landmarks: DataFrame, fn: Callable, id_col: str =
     blocks = max(1, -(-n // min(BLOCK, limit_of(df.sparkSession, BROADCAST_ROWS))))
     block = F.pmod(F.xxhash64(landmark_id), F.lit(blocks)).cast("int")
     packed = marks.groupBy(block.alias("_b")).agg(F.collect_list(F.struct(landmark_id, "_y", *keep)).alias("_m"))
-    if blocks == 1:
-        # the single packed row travels to every partition of the data
-        joined = data.join(F.broadcast(packed.drop("_b")), F.lit(True))
-    else:
-        spread_out = data.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        joined = spread_out.join(packed, "_b")
+    # one packed row per block; a single block is small by its count and travels to the data
+    packed = F.broadcast(packed) if blocks == 1 else packed
+    joined = data.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).join(packed, "_b")
     out = joined.select(F.col(id_col), "_x", F.explode("_m").alias("_e"))
     return out.select(F.col(id_col), F.col(f"_e.{landmark_id}").alias(landmark_id),
                       *[F.col(f"_e.{c}").alias(c) for c in keep], fn(F.col("_x"), F.col("_e._y")).alias("k"))
@@ -109,8 +106,9 @@ def decision_function(df: DataFrame, support: DataFrame, name="rbf", bias: float
     fn = kernel(name, gamma=g, **params)
     n = support.count()
     if n <= min(BLOCK, limit_of(df.sparkSession, BROADCAST_ROWS)):
-        packed = support.agg(F.collect_list(F.struct(A.doubles(vec).alias("y"), F.col("coef").cast("double").alias("c"))).alias("_m"))
-        joined = df.select(id_col, A.doubles(vec).alias("_x")).join(F.broadcast(packed), F.lit(True))
+        packed = support.groupBy(F.lit(0).alias("_b")).agg(
+            F.collect_list(F.struct(A.doubles(vec).alias("y"), F.col("coef").cast("double").alias("c"))).alias("_m"))
+        joined = df.select(id_col, A.doubles(vec).alias("_x"), F.lit(0).alias("_b")).join(F.broadcast(packed), "_b")
         sums = joined.select(id_col, F.aggregate(
             "_m", F.lit(0.0), lambda s, m: s + m["c"] * fn(F.col("_x"), m["y"])).alias("_s"))
     else:

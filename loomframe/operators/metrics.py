@@ -92,9 +92,10 @@ def information_gain(df: DataFrame, label: str, split: str, kind: str = "entropy
              .groupBy("s").agg(fn(F.col("p")).alias("i"), F.sum("n").alias("n"))
              .withColumn("w", F.col("n") / total_n)
              .agg(F.sum(F.col("w") * F.col("i")).alias("child"), _entropy(F.col("w")).alias("split_entropy")))
-    gain = F.col("parent") - F.col("child")
-    ratio = F.when(F.col("split_entropy") != 0, gain / F.col("split_entropy")).otherwise(0.0)
-    return parent.crossJoin(child).select(gain.alias("information_gain"), "split_entropy", ratio.alias("gain_ratio"))
+    sides = child.first()  # two numbers
+    gain = F.col("parent") - F.lit(sides["child"])
+    ratio = gain / F.lit(sides["split_entropy"]) if sides["split_entropy"] else F.lit(0.0)
+    return parent.select(gain.alias("information_gain"), F.lit(sides["split_entropy"]).alias("split_entropy"), ratio.alias("gain_ratio"))
 
 
 # curves -----------------------------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from loomframe.functions.scalar import FLOAT_EPS
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.fitted import Fitted, transform_of
+from loomframe.operators.series import _lead, _tie
 from loomframe.plans.nearest import knn_join
 from loomframe.plans.ordering import Ordered
 from loomframe.plans.quantiles import quantiles
@@ -104,7 +105,7 @@ def interpolate(df: DataFrame, series, order, value: str, method: str = "linear"
     series = [series] if isinstance(series, str) else list(series)
     order = [order] if isinstance(order, str) else list(order)
     require_columns(df, [*series, *order, value])
-    rows = Ordered(df, series, [F.col(c) for c in order], F.col(order[0]) if lead is None else lead).positions("_pos")
+    rows = Ordered(df, series, [F.col(c) for c in order], _lead(df, order, lead), tie=_tie(df, order)).positions("_pos")
     known = F.when(F.col(value).isNotNull(), F.struct(F.col("_pos").alias("p"), F.col(value).cast("double").alias("v")))
     if method in ("linear", "forward"):
         rows = rows.running(_prev=("max", known))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from loomframe.functions.keys import gaussian, hash_key, key_number, uniform
 from loomframe.plans.ordering import Frames, Ordered
@@ -25,16 +26,21 @@ def _lead(df: DataFrame, order: list[str], lead: Column | None) -> Column:
     return F.unix_micros(first.cast("timestamp")) if kind.startswith("timestamp") else first
 
 
+def _tie(df: DataFrame, order: list[str]) -> Column | None:
+    """The second order column if it is a number."""
+    return F.col(order[1]) if len(order) > 1 and isinstance(df.schema[order[1]].dataType, NumericType) else None
+
+
 def frames(df: DataFrame, series, order, before: int = 0, after: int = 0, lead: Column | None = None) -> Frames:
     series, order = _names(series), _names(order)
     require_columns(df, [*series, *order])
-    return Frames(df, series, [F.col(c) for c in order], _lead(df, order, lead), before, after)
+    return Frames(df, series, [F.col(c) for c in order], _lead(df, order, lead), before, after, _tie(df, order))
 
 
 def positions(df: DataFrame, series, order, lead: Column | None = None, name: str = "pos") -> DataFrame:
     """Zero-based position of every row in its series."""
     series, order = _names(series), _names(order)
-    return Ordered(df, series, [F.col(c) for c in order], _lead(df, order, lead)).positions(name).rows()
+    return Ordered(df, series, [F.col(c) for c in order], _lead(df, order, lead), tie=_tie(df, order)).positions(name).rows()
 
 
 def rolling_zscore(df: DataFrame, series, order, value: str, window: int = 10, out: str = "zscore") -> DataFrame:

@@ -132,10 +132,9 @@ def _factor(n: int, limit: int) -> int | None:
 
 def _chirp(rows: DataFrame, series: list[str], limit: int) -> DataFrame:
     """Bluestein: X_k = w_k * sum_j (x_j w_j) conj(w)_{k-j} with w_j = exp(-i pi j^2 / n)."""
-    size = F.lit(2).cast("long")
     bits = F.ceil(F.log2(2.0 * F.col("n") - 1.0)).cast("int")
-    m = F.shiftleft(F.lit(1).cast("long"), bits)
-    n1 = F.shiftleft(F.lit(1).cast("long"), F.floor(bits / 2).cast("int"))
+    power = lambda e: F.pow(F.lit(2.0), e.cast("double")).cast("long")
+    m, n1 = power(bits), power(F.floor(bits / 2))
 
     def chirp(j, sign):
         # j^2 mod 2n keeps the angle exact

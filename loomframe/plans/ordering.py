@@ -9,6 +9,8 @@ every task retry sees the same cells.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,6 +32,28 @@ def cell_bounds(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
     return sorted({float(v) for v in (row["q"] or []) if v is not None})
 
 
+def hot_values(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
+    """Values that fill more than one cell alone (copies of one time stamp, say): repeated quantiles."""
+    cells = min(MAX_CELLS, -(-n_rows // limit_of(df.sparkSession, CELL_ROWS)))
+    probs = [i / cells for i in range(1, cells)]
+    row = df.agg(F.percentile_approx(lead.cast("double"), probs, max(10_000, 20 * cells)).alias("q")).first()
+    seen = [v for v in (row["q"] or []) if v is not None]
+    return sorted({float(a) for a, b in zip(seen, seen[1:]) if a == b})
+
+
+def split_hot(df: DataFrame, lead: Column, tie: Column, hot: list[float], bounds: list[float], n_rows: int) -> DataFrame:
+    """Cells over (lead, tie): a hot value of lead gets a cell of its own, cut further along the tie column."""
+    alone = sorted({*bounds, *hot, *[math.nextafter(v, math.inf) for v in hot]})
+    out = add_cell(df, lead, alone)
+    part = F.lit(0.0)
+    for i, v in enumerate(hot):
+        same = df.filter(lead.cast("double") == F.lit(v))
+        out = add_cell(out, tie, cell_bounds(same, tie, same.count()), f"_sub{i}")
+        part = F.when(lead.cast("double") == F.lit(v), F.col(f"_sub{i}")).otherwise(part)
+    out = out.withColumn("_cell", F.col("_cell") * F.lit(float(2 * MAX_CELLS)) + part)
+    return out.drop(*[f"_sub{i}" for i in range(len(hot))])
+
+
 def add_cell(df: DataFrame, lead: Column, bounds: list[float], name: str = "_cell") -> DataFrame:
     """Cell number of each row: a binary search over the literal bounds, inside the JVM."""
     if not bounds:
@@ -44,8 +68,11 @@ class Ordered:
     """Rows in a total order inside groups, held in cells of bounded size."""
 
     def __init__(self, df: DataFrame, keys, order, lead: Column, n_rows: int | None = None,
-                 derived: bool = False):
-        """With derived, an input that comes from an aggregation is written out once before it is cut."""
+                 derived: bool = False, tie: Column | None = None):
+        """With derived, an input that comes from an aggregation is written out once before it is cut.
+
+        `tie` is the number that orders rows of equal lead; it lets many copies of one lead be cut too.
+        """
         self.keys = list(keys)
         self.order = list(order)
         n = df.count() if n_rows is None else n_rows
@@ -54,7 +81,8 @@ class Ordered:
             df = cut_lineage(df)
         bounds = cell_bounds(df, lead, n)
         self.split = bool(bounds)
-        self.df = add_cell(df, lead, bounds) if self.split else df
+        hot = hot_values(df, lead, n) if self.split and tie is not None else []
+        self.df = split_hot(df, lead, tie, hot, bounds, n) if hot else add_cell(df, lead, bounds) if self.split else df
         self.parts = self.keys + (["_cell"] if self.split else [])
 
     def _combine(self, op, value):
@@ -129,9 +157,10 @@ class Frames:
     Windows are written over `window`; afterwards `finish` drops the halo rows.
     """
 
-    def __init__(self, df: DataFrame, keys, order, lead: Column, before: int = 0, after: int = 0):
+    def __init__(self, df: DataFrame, keys, order, lead: Column, before: int = 0, after: int = 0,
+                 tie: Column | None = None):
         spark = df.sparkSession
-        ordered = Ordered(df, keys, order, lead).positions("pos")
+        ordered = Ordered(df, keys, order, lead, tie=tie).positions("pos")
         rows = ordered.rows()
         if not ordered.split:
             self.df = rows.withColumn("_core", F.lit(True))

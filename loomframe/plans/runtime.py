@@ -87,7 +87,7 @@ def require_columns(df: DataFrame, columns) -> None:
 def null_safe_join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Equi-join on keys where NULL matches NULL; right keys are dropped."""
     if not keys:
-        return left.crossJoin(right) if how != "left" else left.join(right, F.lit(True), "left")
+        raise ValueError("a join needs keys")
     renamed = right
     for k in keys:
         renamed = renamed.withColumnRenamed(k, f"_r_{k}")
