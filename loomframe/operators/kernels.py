@@ -106,9 +106,9 @@ def decision_function(df: DataFrame, support: DataFrame, name="rbf", bias: float
     fn = kernel(name, gamma=g, **params)
     n = support.count()
     if n <= min(BLOCK, limit_of(df.sparkSession, BROADCAST_ROWS)):
-        packed = support.groupBy(F.lit(0).alias("_b")).agg(
+        packed = support.groupBy(F.pmod(F.xxhash64(landmark_id), F.lit(1)).cast("int").alias("_b")).agg(
             F.collect_list(F.struct(A.doubles(vec).alias("y"), F.col("coef").cast("double").alias("c"))).alias("_m"))
-        joined = df.select(id_col, A.doubles(vec).alias("_x"), F.lit(0).alias("_b")).join(F.broadcast(packed), "_b")
+        joined = df.select(id_col, A.doubles(vec).alias("_x"), F.explode(F.sequence(F.lit(0), F.lit(0))).alias("_b")).join(F.broadcast(packed), "_b")
         sums = joined.select(id_col, F.aggregate(
             "_m", F.lit(0.0), lambda s, m: s + m["c"] * fn(F.col("_x"), m["y"])).alias("_s"))
     else:

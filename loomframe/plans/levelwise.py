@@ -142,7 +142,9 @@ def best_of(points: DataFrame, gain: Column, valid: Column, stats) -> DataFrame:
 
 
 def with_totals(points: DataFrame, nodes: list[Node], stats) -> DataFrame:
-    """Add t_<stat>, the sums of the whole node (a short table from the driver)."""
+    """Add t_<stat>, the sums of the whole node (a short table from the driver; literals for a single node)."""
+    if len(nodes) == 1:
+        return points.select("*", *[F.lit(float(nodes[0].stats[s])).alias(f"t_{s}") for s in stats])
     rows = [(n.node, *[float(n.stats[s]) for s in stats]) for n in nodes]
     schema = "node int, " + ", ".join(f"t_{s} double" for s in stats)
     return points.join(F.broadcast(points.sparkSession.createDataFrame(rows, schema)), "node")
