@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomframe.catalog.registry import query, r, rounded, table
+from loomframe.catalog.registry import query, rounded, table
 from loomframe.operators import graph as G
 
 GRAPH = """WITH nodes AS (SELECT c_nationkey AS g, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS node FROM customer),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomframe.catalog.registry import query, r, rounded, table
+from loomframe.catalog.registry import query, rounded, table
 from loomframe.operators import metrics as A
 
 
@@ -198,12 +198,12 @@ def a19(spark, sf):
     return rounded(A.mutual_information(_mi(spark, sf), MI_COLS, "l_returnflag"), ["mi"], 8)
 
 
-@query("a20_select_top_features", f"""{MI}, top AS (SELECT list(feature) AS f FROM (SELECT feature FROM mi ORDER BY mi DESC LIMIT 2))
-SELECT CASE WHEN list_contains(f, 'ship') THEN round(epoch(l_shipdate), 0) END AS ship,
-  CASE WHEN list_contains(f, 'l_quantity') THEN l_quantity END AS l_quantity FROM lineitem, top""")
+@query("a20_select_top_features", f"""{MI}, top AS (SELECT feature FROM mi ORDER BY mi DESC LIMIT 2)
+SELECT feature, round(x, 2) AS value FROM t SEMI JOIN top USING (feature)""")
 def a20(spark, sf):
     df = _mi(spark, sf)
-    return rounded(df.select(*A.select_top_features(df, MI_COLS, "l_returnflag", 2)), ["ship"], 0)
+    top = A.select_top_features(df, MI_COLS, "l_returnflag", 2)
+    return rounded(df.select(*top).unpivot([], top, "feature", "value"), ["value"], 2)
 
 
 @query("u3_user_metric", f"SELECT round(quantile_cont(abs(y - p), 0.5), 4) AS median_absolute {REG}")

@@ -137,11 +137,12 @@ def r8(spark, sf):
     return rounded(out, ["prior", "m_l_discount", "v_l_discount", "m_l_tax", "v_l_tax"], 9)
 
 
-@query("r9_gaussian_nb_score", f"""{NB}, s AS (SELECT rid, class, ln(prior) - 0.5 * ln(2 * pi() * va) - (a - ma) ** 2 / (2 * va) - 0.5 * ln(2 * pi() * vb)
-  - (b - mb) ** 2 / (2 * vb) - 0.5 * ln(2 * pi() * vc) - (c - mc) ** 2 / (2 * vc) AS s FROM t, f),
-e AS (SELECT rid, class, s, exp(s - max(s) OVER (PARTITION BY rid)) AS e FROM s), p AS (SELECT rid, class, s, e / sum(e) OVER (PARTITION BY rid) AS p FROM e)
+@query("r9_gaussian_nb_score", f"""{NB}, k AS (SELECT *, row_number() OVER () AS u FROM t),
+s AS (SELECT u, rid, class, ln(prior) - 0.5 * ln(2 * pi() * va) - (a - ma) ** 2 / (2 * va) - 0.5 * ln(2 * pi() * vb)
+  - (b - mb) ** 2 / (2 * vb) - 0.5 * ln(2 * pi() * vc) - (c - mc) ** 2 / (2 * vc) AS s FROM k, f),
+e AS (SELECT u, rid, class, s, exp(s - max(s) OVER (PARTITION BY u)) AS e FROM s), p AS (SELECT u, rid, class, s, e / sum(e) OVER (PARTITION BY u) AS p FROM e)
 SELECT rid, max(CASE WHEN class = 'A' THEN round(p, 6) END) AS p_a, max(CASE WHEN class = 'N' THEN round(p, 6) END) AS p_n,
-  max(CASE WHEN class = 'R' THEN round(p, 6) END) AS p_r, arg_max(class, s) AS prediction FROM p GROUP BY rid""")
+  max(CASE WHEN class = 'R' THEN round(p, 6) END) AS p_r, arg_max(class, s) AS prediction FROM p GROUP BY u, rid""")
 def r9(spark, sf):
     df = _li(spark, sf)
     out = B.gaussian_nb_fit(df, X, "l_returnflag").transform(df)

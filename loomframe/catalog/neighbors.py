@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomframe.catalog.registry import LI_ID_SQL, LI_KEY, query, r, rounded, table
+from loomframe.catalog.registry import LI_ID_SQL, LI_KEY, query, rounded, table
 from loomframe.functions import arrays as A
 from loomframe.functions.keys import row_id
 from loomframe.operators import kernels as K
@@ -126,7 +126,6 @@ def n9(spark, sf):
 
 @query("n10_condensed_selection")
 def n10(spark, sf):
-    from loomframe.functions.keys import row_id  # noqa: F401
     df = table(spark, sf, "part").select("p_partkey", F.array(F.col("p_size").cast("double"), F.col("p_retailprice")).alias("vec"),
                                          (F.col("p_retailprice") > 950 + F.col("p_size")).cast("int").alias("label"))
     return N.condensed_selection(df, "p_partkey", "vec", "label").select("p_partkey", "label")

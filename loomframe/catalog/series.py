@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from loomframe.catalog.registry import query, r, rounded, table
+from loomframe.catalog.registry import query, rounded, table
 from loomframe.operators import series as W
 from loomframe.operators import spectral as P
 

@@ -1,11 +1,8 @@
 """Splits, folds and samples."""
 
-from pyspark.sql import functions as F
-
-from loomframe.catalog.registry import LI_ID_SQL, query, table
+from loomframe.catalog.registry import LI_ID_SQL, LI_KEY, query, table
 from loomframe.functions.keys import row_id
 from loomframe.operators import split as D
-from loomframe.catalog.registry import LI_KEY
 
 HASHED = f"WITH t AS (SELECT *, {LI_ID_SQL} AS rid FROM lineitem), h AS (SELECT rid, l_returnflag, md5('42|' || rid) AS k FROM t)"
 

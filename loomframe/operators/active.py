@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.arrays import doubles, entropy_of, total
+from loomframe.functions.arrays import doubles, entropy_of
 from loomframe.functions.keys import hash_key
 from loomframe.operators.neighbors import neighbors
 from loomframe.plans.runtime import require_columns

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.functions.arrays import EPSILON, doubles, let, softmax, total
+from loomframe.functions.arrays import EPSILON, doubles, softmax, total
 from loomframe.plans.ordering import Ordered
 from loomframe.plans.runtime import require_columns, settle
 

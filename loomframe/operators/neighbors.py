@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.functions.scalar import FLOAT_EPS
-from loomframe.plans.nearest import knn_join, local_matrix, matrix_of, spread
-from loomframe.plans.runtime import BLOCK_ROWS, cut_lineage, limit_of, settle
+from loomframe.plans.nearest import knn_join, local_matrix
+from loomframe.plans.runtime import BLOCK_ROWS, cut_lineage, limit_of
 
 
 def vectors(df: DataFrame, id_col: str, cols, id_name: str) -> DataFrame:

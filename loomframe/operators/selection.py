@@ -6,11 +6,11 @@ import itertools
 import time
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.operators.linear import Fitted, linear_expression, linear_fit, moments, ridge_weights
-from loomframe.operators.metrics import METRICS, metric, metric_list
+from loomframe.operators.metrics import metric, metric_list
 from loomframe.operators.split import kfold, stratified_kfold
 from loomframe.plans.runtime import cut_lineage, require_columns
 

@@ -6,13 +6,11 @@ import math
 
 import numpy as np
 import pandas as pd
-import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomframe.operators.series import _names, positions
-from loomframe.plans.nearest import matrix_of
-from loomframe.plans.runtime import CELL_ROWS, cut_lineage, limit_of, null_safe_join, settle
+from loomframe.plans.runtime import CELL_ROWS, limit_of, null_safe_join, settle
 
 
 def spectrogram(df: DataFrame, series, order, value: str, window: int, hop: int) -> DataFrame:

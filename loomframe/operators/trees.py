@@ -245,9 +245,10 @@ class Boosting:
             raise ValueError("subsampling needs an id column")
         keep = [F.col(id_col).alias("_id")] if id_col else []
         state = df.select(*keep, *self.features, F.col(self.target).cast("double").alias("_y"), F.lit(0.0).alias("_f"))
+        state = cut_lineage(state)  # the columns needed, written once; every level of every tree reads them
         self.trees = []
         for i in range(self.n_trees):
-            data = state if self.subsample >= 1.0 else subsample(state, "_id", self.subsample, self.seed + i)
+            data = state if self.subsample >= 1.0 else cut_lineage(subsample(state, "_id", self.subsample, self.seed + i))
             tree = self._tree(data)
             self.trees.append(tree)
             state = state.withColumn("_f", F.col("_f") + F.lit(self.learning_rate) * tree.score())

@@ -10,8 +10,6 @@ Only k candidates per query leave a task in any of them.
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 import pyarrow as pa
