@@ -191,3 +191,18 @@ def test_active_bounds(spark):
     for n in (0, 3):
         with pytest.raises(ValueError):
             active.query_probabilities(pool, "id", "p", n)
+
+
+def test_betweenness_of_a_large_graph_by_joins(spark):
+    """The search by joins, in several batches of sources, gives the value of the search in tasks."""
+    ring = [(0, i, (i + 1) % 9) for i in range(9)] + [(0, 0, 4)]
+    edges = frame(spark, ring, "graph_id int, src int, dst int")
+    nodes = frame(spark, [(0, i) for i in range(9)], "graph_id int, node int")
+    want = graph.avg_betweenness(edges, nodes).first()["avg_betweenness"]
+    spark.conf.set("spark.loomframe.broadcastRows", "3")
+    spark.conf.set("spark.loomframe.blockRows", "4")
+    try:
+        assert graph.avg_betweenness(edges, nodes).first()["avg_betweenness"] == pytest.approx(want)
+    finally:
+        spark.conf.unset("spark.loomframe.broadcastRows")
+        spark.conf.unset("spark.loomframe.blockRows")
