@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("duplicates", "mixes", "tokens")
+MODULES = ("chats", "duplicates", "mixes", "tokens")
 
 
 def load():
