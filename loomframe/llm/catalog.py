@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chats", "duplicates", "mixes", "tokens")
+MODULES = ("chats", "duplicates", "languages", "mixes", "tokens")
 
 
 def load():

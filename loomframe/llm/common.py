@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -60,3 +61,10 @@ def written(df: DataFrame) -> DataFrame:
     folder = shared_folder(spark)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def batches_of(schema: pa.Schema, columns: list, rows: int = 8192):
+    """Record batches of bounded size from whole columns."""
+    arrays = [pa.array(c, t) for c, t in zip(columns, schema.types)]
+    for i in range(0, len(arrays[0]), rows):
+        yield pa.RecordBatch.from_arrays([a.slice(i, rows) for a in arrays], schema=schema)
