@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chats", "duplicates", "languages", "mixes", "tokens", "toxic")
+MODULES = ("chats", "duplicates", "languages", "leaks", "mixes", "tokens", "toxic")
 
 
 def load():
