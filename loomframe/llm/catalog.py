@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chats", "duplicates", "languages", "leaks", "licenses", "mixes", "tokens", "toxic")
+MODULES = ("chats", "duplicates", "languages", "leaks", "licenses", "mixes", "neighbours", "tokens", "toxic")
 
 
 def load():
