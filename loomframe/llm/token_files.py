@@ -2,8 +2,8 @@
 
 Documents are range-partitioned by id, so that shard after shard holds ids in ascending doc_id order. A shard is closed
 at the first document end at or after `shard_tokens` ids; it is a row of a Parquet table (written through Spark's
-committer, so that it works on every store and survives lost executors) with its place, the documents' ids and
-lengths, and the bytes of the wavelet matrix.
+committer, so that it works on every store and survives lost executors) with its place, the ids before it in the same
+task, the documents' ids and lengths, and the bytes of the wavelet matrix.
 
 Nulls and edge cases: a null text is empty and has the end id alone. Null doc_ids come first. Documents with equal doc_id
 follow each other, ordered by the hash of the text and the text; repeated rows are all kept. An empty table gives no shard.
@@ -102,7 +102,7 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-SHARD_SCHEMA = ("part int, seq int, n_docs int, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary")
+SHARD_SCHEMA = ("part int, seq int, before long, n_tokens long, doc_ids array<long>, lengths array<long>, matrix binary")
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS,
@@ -117,11 +117,11 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         encoder, end = _encoder(tokenizer), int(end_id).to_bytes(4, "little")
         levels = max(len(encoder.starts) - 1, end_id).bit_length()
-        part, seq, held, ids, lengths, size = TaskContext.get().partitionId(), 0, [], [], [], 0
+        part, seq, before, held, ids, lengths, size = TaskContext.get().partitionId(), 0, 0, [], [], [], 0
 
         def close():
             matrix = WaveletMatrix.of(np.frombuffer(b"".join(held), "<u4"), levels)
-            row = [[part], [seq], [len(ids)], [size], [list(ids)], [list(lengths)], [matrix.to_bytes()]]
+            row = [[part], [seq], [before], [size], [list(ids)], [list(lengths)], [matrix.to_bytes()]]
             return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, FIELDS)], schema=FIELDS)
 
         for batch in batches:
@@ -134,7 +134,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                     size += lengths[-1]
                     if size >= shard_tokens:
                         yield close()
-                        seq, held, ids, lengths, size = seq + 1, [], [], [], 0
+                        seq, before, held, ids, lengths, size = seq + 1, before + size, [], [], [], 0
         if ids:
             yield close()
 
@@ -144,7 +144,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
      .mapInArrow(shards, SHARD_SCHEMA).write.parquet(folder))
 
 
-FIELDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("n_docs", pa.int32()), ("n_tokens", pa.int64()),
+FIELDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
                     ("doc_ids", pa.list_(pa.int64())), ("lengths", pa.list_(pa.int64())), ("matrix", pa.binary())])
 
 
@@ -157,10 +157,8 @@ def token_shards(spark: SparkSession, folder: str) -> DataFrame:
         rows.append((r["part"], before))
         before += r["n"]
     parts = spark.createDataFrame(rows, "part int, part_start long")
-    places = (shards.select("part", "seq", "n_tokens")
-              .selectExpr("part", "seq", "sum(n_tokens) OVER (PARTITION BY part ORDER BY seq) - n_tokens AS seq_start")
-              .join(parts, "part").selectExpr("part", "seq", "part_start + seq_start AS start"))
-    return shards.join(places, ["part", "seq"])
+    return (shards.join(F.broadcast(parts), "part")  # a row per writing task
+            .withColumn("start", F.col("part_start") + F.col("before")).drop("part_start"))
 
 
 def read_documents(spark: SparkSession, folder: str, tokens: bool = False) -> DataFrame:
