@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import col, written
+from loomframe.llm.common import col, columns, fresh, written
 
 RADIUS = 3
 SHINGLE = 3
@@ -228,16 +228,26 @@ def near_duplicates(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGL
 
 def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The table with one row of each component: the one of the smallest doc_id (nulls last), of repeated rows the first.
+    """The table with one row of each component: the one of the smallest doc_id (nulls last), then of the smallest text hash.
 
-    `docs` should be a stored table: rows are told apart by their place in it, and texts are not shuffled.
+    Rows of equal id and text count as one document; one of them stays.
     """
-    from loomframe.llm.common import columns, fresh
-
-    (place,) = fresh(docs, "_place")
-    placed = docs.withColumn(place, F.monotonically_increasing_id())
-    prints = written(fingerprints(placed, shingle, (id_col, place), text_col).toDF("doc_id", "place", "fingerprint"))
-    firsts = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "place")).alias("first"))
-    kept = (near_duplicate_map(prints, radius).join(firsts, "fingerprint").groupBy("component")
-            .agg(F.min("first").alias("first")).select(F.col("first.place").alias(place)))
-    return placed.join(written(kept), place, "left_semi").select(*columns(docs.columns))
+    key = F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit("")))
+    rows = docs.select(col(id_col).alias("doc_id"), key.alias("text_hash"), col(text_col).alias("text"))
+    prints = written(fingerprints(rows, shingle, ("doc_id", "text_hash")))
+    firsts = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
+    kept = near_duplicate_map(prints, radius).join(firsts, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
+    kept_id, kept_hash = fresh(docs, "_kept_id", "_kept_hash")
+    kept = written(kept.select(F.col("first.doc_id").alias(kept_id), F.col("first.text_hash").alias(kept_hash)))
+    repeated = prints.groupBy("doc_id", "text_hash").count().filter("count > 1")
+    same = F.col(kept_id).eqNullSafe(F.col("doc_id")) & (F.col(kept_hash) == F.col("text_hash"))
+    repeated = written(kept.join(repeated, same, "left_semi"))
+    match = col(id_col).eqNullSafe(F.col(kept_id)) & (key == F.col(kept_hash))
+    if repeated.isEmpty():
+        return docs.join(kept, match, "left_semi").select(*columns(docs.columns))
+    (mark,) = fresh(docs, "_mark")
+    again = repeated.toDF("_again_id", "_again_hash")
+    single = kept.join(again, F.col(kept_id).eqNullSafe(F.col("_again_id")) & (F.col(kept_hash) == F.col("_again_hash")), "left_anti")
+    several = docs.join(repeated, match, "left_semi").withColumn(mark, key)
+    single = docs.join(single, match, "left_semi")
+    return single.select(*columns(docs.columns)).unionByName(several.dropDuplicates([id_col, mark]).select(*columns(docs.columns)))
