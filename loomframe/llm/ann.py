@@ -89,8 +89,9 @@ def fit_hashing(sample: np.ndarray, norm: float, rows: int, k: int) -> Hashing:
     near[np.arange(len(q)), np.arange(len(q))] = -np.inf
     m = int(np.clip(round(k * len(sample) / max(rows, 1)), 1, max(1, len(sample) - 1)))
     best = np.argsort(-near, axis=1)[:, :m]
-    distance = np.sqrt(np.maximum(0.0, 2 - 2 * np.median(np.take_along_axis(near, best, axis=1))))
-    h.width = float(max(1e-6, 1.1 * distance))
+    if len(sample) > 1:
+        distance = np.sqrt(np.maximum(0.0, 2 - 2 * np.median(np.take_along_axis(near, best, axis=1))))
+        h.width = float(max(1e-3, 1.1 * distance))
     h.shifts = h.shifts * h.width
     steps = sorted({1, 3, 9, 16, 24, 32, 48, 64, len(MOVES)})
     found = np.zeros((len(steps), len(q), m), bool)
@@ -214,7 +215,7 @@ def _search(left: pa.Table, right: pa.Table, k: int) -> list[np.ndarray]:
     if not found:
         return [[], [], []]
     who, at = np.divmod(np.unique(np.concatenate(found)), len(x))  # a point may come from more than one table
-    score = (q[who] * x[at]).sum(axis=1)
+    score = np.concatenate([(q[who[i:i + 4096]] * x[at[i:i + 4096]]).sum(axis=1) for i in range(0, len(who), 4096)])
     order = np.lexsort((point[at], -score, who))
     who, at, score = who[order], at[order], score[order]
     keep = np.arange(len(who)) - np.searchsorted(who, who, "left") < k
