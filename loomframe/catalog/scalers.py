@@ -1,7 +1,6 @@
 """Scalers, encoders, imputers, sources."""
 
-import os
-import tempfile
+import uuid
 
 from pyspark.sql import functions as F
 
@@ -11,6 +10,7 @@ from loomframe.operators import missing as M
 from loomframe.operators import scale as C
 from loomframe.operators.fitted import load_fitted, save_fitted
 from loomframe.operators.compose import Steps
+from loomframe.plans.runtime import ensure_checkpoint_dir
 from loomframe.sources import tables as S
 
 KEY = "l_orderkey, l_partkey, l_suppkey, l_linenumber"
@@ -22,12 +22,9 @@ def _li(spark, sf, *more):
 
 
 def scratch(spark, name):
-    """A fresh folder for a write/read round trip, beside the session's checkpoint folder if it has one."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is not None:
-        import uuid
-        return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    return os.path.join(tempfile.mkdtemp(prefix="loomframe-"), name)
+    """A fresh folder for a write/read round trip, below the checkpoint folder that driver and executors share."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext._jsc.sc().getCheckpointDir().get()}/{name}-{uuid.uuid4().hex}"
 
 
 def _scale_sql(fit, expr):

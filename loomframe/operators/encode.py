@@ -36,18 +36,8 @@ def sorted_codes(df: DataFrame, col: str) -> DataFrame:
     n = cats.count()
     if n <= limit_of(df.sparkSession, CELL_ROWS):
         return cats.select("category", (F.row_number().over(Window.orderBy("category")) - 1).cast("long").alias("code"))
-    # many categories: order by the leading characters in cells of bounded size
-    if df.schema[col].dataType.typeName() == "string":
-        lead = _text_lead(F.col("category"))
-    else:
-        lead = F.col("category")
-    return Ordered(cats, [], [F.col("category")], lead, n).positions("code").rows().select("category", "code")
-
-
-def _text_lead(c: Column) -> Column:
-    """A number that grows with the order of strings: their first six bytes."""
-    head = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+    # many categories: in cells of bounded size along their own order
+    return Ordered(cats, [], [F.col("category")], F.col("category"), n, derived=True).positions("code").rows().select("category", "code")
 
 
 def label_encode(df: DataFrame, cols, unknown: str = "error", suffix: str = "_code") -> Fitted:

@@ -132,7 +132,7 @@ def edited_selection(points: DataFrame, id_col: str, cols, label: str, k: int =
     return points.join(kept, id_col, "left_semi")
 
 
-def condensed_selection(points: DataFrame, id_col: str, cols, label: str, max_rounds: int = 10_000) -> DataFrame:
+def condensed_selection(points: DataFrame, id_col: str, cols, label: str) -> DataFrame:
     """Prototypes grown in rounds: the lowest id of each class first, then per round the lowest missed id of each class.
 
     Only distances to the newest prototypes are computed; each row carries its nearest prototype so far.
@@ -148,9 +148,7 @@ def condensed_selection(points: DataFrame, id_col: str, cols, label: str, max_ro
     state = data.select("*", F.lit(float("inf")).alias("best"), F.lit(None).cast(kind).alias("near"),
                         F.lit(None).cast(idt).alias("near_id"))
     chosen = []
-    for turn in range(max_rounds):
-        if not newest:
-            break
+    while newest:  # every round adds a missed row, so it ends
         chosen += newest
         batch = sorted(newest)
         ids, matrix, labels = [b[0] for b in batch], np.array([b[1] for b in batch]), [b[2] for b in batch]

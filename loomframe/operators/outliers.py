@@ -11,11 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.functions.arrays import EPSILON
-from loomframe.functions.keys import hash_key
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.fitted import Fitted, transform_of
 from loomframe.operators.neighbors import neighbors
-from loomframe.operators.split import sample_rows
 from loomframe.plans.quantiles import quantiles
 from loomframe.plans.runtime import cut_lineage
 
@@ -80,19 +78,13 @@ class IsolationForest:
         n = df.count()
         per_tree = min(self.max_samples, n)
         height = math.ceil(math.log2(per_tree)) if per_tree > 1 else 0
-        wanted = self.n_trees * per_tree
         vec = F.array(*[F.col(c).cast("double") for c in self.cols]).alias("vec")
         slim = df.select(F.col(id_col).alias("id"), vec)
-        pool = slim if n <= wanted else sample_rows(slim, "id", wanted, self.seed)
-        if n <= wanted:  # few rows: every tree draws its own sample from all of them
-            bags = pool.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(self.n_trees - 1))))
-        else:  # many rows: the pool is dealt out to the trees
-            bags = pool.withColumn("tree", F.pmod(F.xxhash64(hash_key(self.seed, "id")), F.lit(self.n_trees)).cast("int"))
-        bags = bags.withColumn("h", hash_key(self.seed, "tree", "id"))
+        bags = self._bags(slim, n, per_tree)
         seed = self.seed
 
         def build(key, pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values("h").head(per_tree)
+            pdf = pdf.sort_values(["h", "id"]).head(per_tree)
             digest = hashlib.md5(f"{seed}|{key[0]}".encode()).digest()
             rng = np.random.default_rng(int.from_bytes(digest[:8], "big"))
             nodes = _grow(np.stack(pdf["vec"]), height, rng)
@@ -106,6 +98,21 @@ class IsolationForest:
         self.threshold = quantiles(scored, ["path_length"], [self.contamination])["path_length"][0]
         return self
 
+    def _bags(self, slim: DataFrame, n: int, per_tree: int) -> DataFrame:
+        """(tree, id, vec, h) with at least the per_tree rows of the lowest hash of (seed, tree, id), for every tree.
+
+        Rows above a bound on the hash are left out before anything is shuffled; should a tree be short, the bound grows.
+        """
+        share = min(1.0, (4 * per_tree + 100) / max(n, 1))
+        h = lambda t: F.xxhash64(F.lit(self.seed), t, F.col("id").cast("string"))
+        while True:
+            bound = F.lit(int(min(2 ** 63 - 1, -(2 ** 63) + share * 2 ** 64))).cast("long")
+            trees = F.filter(F.sequence(F.lit(0), F.lit(self.n_trees - 1)), lambda t: h(t) <= bound)
+            bags = cut_lineage(slim.withColumn("tree", F.explode(trees)).withColumn("h", h(F.col("tree"))))
+            if share >= 1.0 or bags.groupBy("tree").count().filter(F.col("count") >= per_tree).count() == self.n_trees:
+                return bags
+            share = min(1.0, 4 * share)
+
     def score(self, df: DataFrame, out: str = "path_length") -> DataFrame:
         """Add the mean path length over all trees."""
         forest = [t[["feature", "value", "left", "right", "depth"]].to_numpy() for _, t in self.nodes.groupby("tree")]

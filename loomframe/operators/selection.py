@@ -139,22 +139,24 @@ def sample_params(space: dict, rng: np.random.Generator) -> dict:
 
 
 def random_search(models: dict, df: DataFrame, id_col, label: str, scoring="accuracy", n_trials: int = 10,
-                  max_time: float = 3600.0, k: int = 5, seed: int = 42):
-    """models: name -> (make, space). Returns (scores table, best model name, best params, refitted model)."""
+                  max_time: float | None = None, k: int = 5, seed: int = 42):
+    """models: name -> (make, space). Returns (scores table, best model name, best params, refitted model).
+
+    All trials are drawn first and then scored in order. With max_time (seconds) the trials not begun by then are in
+    the table with a NULL score.
+    """
     rng = np.random.default_rng(seed)
     metric_name, _ = metric(scoring)
-    started, rows, best = time.time(), [], None
-    for name, (make, space) in models.items():
-        for trial in range(n_trials):
-            if time.time() - started > max_time:
-                break
-            params = sample_params(space, rng)
-            folds = cross_validate(make(**params), df, id_col, label, [scoring], k, "kfold", seed)
-            mean = folds.agg(F.avg(metric_name)).first()[0]
-            rows.append((name, trial, str(params), mean))
-            if best is None or mean > best[0]:
-                best = (mean, name, params)
-    if best is None:
+    trials = [(name, i, sample_params(space, rng)) for name, (_, space) in models.items() for i in range(n_trials)]
+    started, scores = time.time(), []
+    for name, _, params in trials:
+        late = max_time is not None and time.time() - started > max_time
+        folds = None if late else cross_validate(models[name][0](**params), df, id_col, label, [scoring], k, "kfold", seed)
+        scores.append(None if late else folds.agg(F.avg(metric_name)).first()[0])
+    tried = [i for i, s in enumerate(scores) if s is not None]
+    if not tried:
         raise ValueError("no model was trained")
+    name, _, params = trials[max(tried, key=lambda i: scores[i])]
+    rows = [(n, i, str(p), s) for (n, i, p), s in zip(trials, scores)]
     table = df.sparkSession.createDataFrame(rows, "model string, trial int, params string, mean_score double")
-    return table, best[1], best[2], models[best[1]][0](**best[2])(df)
+    return table, name, params, models[name][0](**params)(df)

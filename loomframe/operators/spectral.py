@@ -100,13 +100,14 @@ def fourier_transform(df: DataFrame, series, order, value: str) -> DataFrame:
         out = _group_fft(null_safe_join(rows, settle(sizes).hinted(), series), [*series], "n", "j")
         return out.select(*series, F.col("_q").alias("k"), "re", "im", "n")
 
-    lengths = [r["n"] for r in sizes.select("n").distinct().orderBy(F.desc("n")).limit(limit_of(df.sparkSession, CELL_ROWS)).collect()]
-    factor = {n: _factor(n, limit) for n in lengths if n > limit}
+    # lengths above the limit are at most rows / cellRows; the short ones are told by the column alone
+    lengths = [r["n"] for r in sizes.filter(F.col("n") > limit).select("n").distinct().collect()]
+    factor = {n: _factor(n, limit) for n in lengths}
     plan = df.sparkSession.createDataFrame([(n, f or 0) for n, f in factor.items()], "n long, n1 long")
     parts = null_safe_join(sizes, plan, ["n"]).withColumn("n1", F.coalesce("n1", F.lit(-1)))
     rows = null_safe_join(rows, settle(parts).hinted(), series)
     outs = []
-    if any(n <= limit for n in lengths):
+    if not sizes.filter(F.col("n") <= limit).isEmpty():
         short = _group_fft(rows.filter("n1 = -1"), series, "n", "j")
         outs.append(short.select(*series, F.col("_q").alias("k"), "re", "im", "n"))
     if any(f for f in factor.values()):

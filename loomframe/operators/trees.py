@@ -42,10 +42,10 @@ class _ClassSplit:
         (left, nl), (total, n) = self._side("l"), self._side("t")
         return left, nl, [t - x for t, x in zip(total, left)], n - nl, total, n
 
-    def gain(self) -> Column:
+    def gain(self) -> tuple[Column, Column]:
         left, nl, right, nr, total, n = self._sides()
         return (_impurity(self.kind, total, n) - nl / n * _impurity(self.kind, left, nl)
-                - nr / n * _impurity(self.kind, right, nr))
+                - nr / n * _impurity(self.kind, right, nr)), F.lit(1.0)
 
     def valid(self) -> Column:
         _, nl, _, nr, _, _ = self._sides()
@@ -59,10 +59,10 @@ class _SquareSplit:
         self.min_leaf = min_leaf
         self.stats = {"n": F.lit(1.0), "s": y, "ss": y * y}
 
-    def gain(self) -> Column:
+    def gain(self) -> tuple[Column, Column]:
         # sum of squared errors = ss - s^2 / n; ss is the same for all splits of a node
         nl, sl, n, s = F.col("l_n"), F.col("l_s"), F.col("t_n"), F.col("t_s")
-        return sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n
+        return sl * sl / nl + (s - sl) * (s - sl) / (n - nl) - s * s / n, F.col("t_ss")
 
     def valid(self) -> Column:
         return (F.col("l_n") >= self.min_leaf) & (F.col("t_n") - F.col("l_n") >= max(self.min_leaf, 1))
@@ -74,10 +74,11 @@ class _GradientSplit:
     def __init__(self, g: Column, h: Column):
         self.stats = {"n": F.lit(1.0), "g": g, "h": h}
 
-    def gain(self) -> Column:
+    def gain(self) -> tuple[Column, Column]:
         gl, hl, g, h = F.col("l_g"), F.col("l_h"), F.col("t_g"), F.col("t_h")
         part = lambda a, b: a * a / (b + REG)
-        return part(gl, hl) + part(g - gl, h - hl) - part(g, h)
+        both = part(gl, hl) + part(g - gl, h - hl)
+        return both - part(g, h), both + part(g, h)
 
     def valid(self) -> Column:
         return F.col("t_n") - F.col("l_n") >= 1
@@ -170,7 +171,7 @@ class DecisionTreeRegressor:
         rule = _SquareSplit(F.col(self.target).cast("double"), self.min_samples_leaf)
         self.tree = grow(
             df, self.features, rule.stats, rule.gain, rule.valid, leaf=lambda s: [s["s"] / s["n"]],
-            splittable=lambda s: s["n"] >= self.min_samples_split and s["ss"] - s["s"] ** 2 / s["n"] > 1e-12 * max(s["ss"], 1.0),
+            splittable=lambda s: s["n"] >= self.min_samples_split and s["ss"] - s["s"] ** 2 / s["n"] > 1e-12 * s["ss"],
             max_depth=self.max_depth, bins=self.bins, max_features=self.max_features, seed=self.seed)
         return self
 
@@ -232,7 +233,7 @@ class Boosting:
         if self.method == "squares":
             rule = _SquareSplit(residual, 1)
             leaf, accept = (lambda s: [s["s"] / s["n"]]), (lambda g: True)
-            enough = lambda s: s["n"] >= self.min_samples_split and s["ss"] - s["s"] ** 2 / s["n"] > 1e-12 * max(s["ss"], 1.0)
+            enough = lambda s: s["n"] >= self.min_samples_split and s["ss"] - s["s"] ** 2 / s["n"] > 1e-12 * s["ss"]
         else:
             rule = _GradientSplit(residual, F.lit(1.0))
             leaf, accept = (lambda s: [s["g"] / (s["h"] + REG)]), (lambda g: g > 0)

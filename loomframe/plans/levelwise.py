@@ -132,9 +132,16 @@ def split_points(df: DataFrame, node: Column, features, stats: dict[str, Column]
     return ordered.running(**{f"l_{s}": ("sum", F.col(s)) for s in stats}).rows()
 
 
-def best_of(points: DataFrame, gain: Column, valid: Column, stats) -> DataFrame:
-    """Per node the split of largest gain; lowest feature, then lowest value on ties. Gains are compared to 12 places."""
-    ranked = F.struct(F.round(gain, 12).alias("gain"), (-F.col("f")).alias("f"), (-F.col("x")).alias("x"),
+def best_of(points: DataFrame, gain: tuple[Column, Column], valid: Column, stats) -> DataFrame:
+    """Per node the split of largest gain; lowest feature, then lowest value on ties.
+
+    `gain` is (gain, scale): a gain within 1e-14 of the scale counts as zero, others are compared to 12 digits, so that the choice
+    does not depend on the unit of the target.
+    """
+    value, scale = gain
+    unit = F.pow(F.lit(10.0), F.ceil(F.log10(F.abs(value))).cast("double"))
+    value = F.when(F.abs(value) <= 1e-14 * scale, 0.0).otherwise(F.round(value / unit, 12) * unit)
+    ranked = F.struct(value.alias("gain"), (-F.col("f")).alias("f"), (-F.col("x")).alias("x"),
                       *[F.col(f"l_{s}") for s in stats])
     return (points.filter(valid).groupBy("node").agg(F.max(ranked).alias("b"))
             .select("node", F.col("b.gain").alias("gain"), (-F.col("b.f")).alias("f"), (-F.col("b.x")).alias("x"),
@@ -167,7 +174,7 @@ def feature_count(max_features, p: int) -> int:
 def grow(df: DataFrame, features, stats: dict[str, Column], gain: Callable, valid: Callable, leaf: Callable,
          splittable: Callable, max_depth: int, accept: Callable = lambda g: True, bins: int | None = None,
          max_features=None, seed: int = 42) -> Tree:
-    """Grow one tree. gain and valid are Columns of l_<stat> and t_<stat>; leaf and splittable look at a node's sums."""
+    """Grow one tree. gain (with its scale) and valid are Columns of l_<stat> and t_<stat>; leaf and splittable look at a node's sums."""
     features = list(features)
     data = df.select(*[F.col(c).cast("double").alias(c) for c in features], *[c.cast("double").alias(s) for s, c in stats.items()])
     names = list(stats)

@@ -1,10 +1,10 @@
 """Running sums, ranks and frames over ordered groups of any size.
 
 A window partitioned by a group key puts the whole group into one task. Here a group is
-first divided into cells of bounded size along its order; a cell is what one task
+first divided into cells of bounded size along its order, if any group is larger than a cell; a cell is what one task
 sorts. Totals of the cells (a small table) give each cell the sum of all cells before it.
-Cell bounds are literals taken from approximate quantiles, so that every evaluation and
-every task retry sees the same cells.
+Cell bounds are literals taken from approximate quantiles (or cells are parts of a stored copy), so that every evaluation
+and every task retry sees the same cells.
 """
 
 from __future__ import annotations
@@ -17,41 +17,73 @@ from pyspark.sql import functions as F
 
 from loomframe.plans.runtime import CELL_ROWS, cut_lineage, limit_of, null_safe_join
 
+# Above so many cells (and for orders that are not numbers) cells are the parts of a range-partitioned copy.
 MAX_CELLS = 10_000
+NUMBERS = {"byte", "short", "integer", "long", "float", "double", "decimal", "timestamp", "boolean"}
 
 
-def cell_bounds(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
-    """Inner bounds of about n_rows / cellRows cells of equal weight (empty: one cell)."""
-    cells = min(MAX_CELLS, -(-n_rows // limit_of(df.sparkSession, CELL_ROWS)))
+def cell_count(df: DataFrame, n_rows: int) -> int:
+    return -(-n_rows // limit_of(df.sparkSession, CELL_ROWS))
+
+
+def numeric(df: DataFrame, lead: Column) -> Column | None:
+    """The order column as a number that grows with it, or None if its type has none (texts)."""
+    kind = df.select(lead.alias("lead")).schema[0].dataType.typeName()
+    if kind == "date":
+        return F.unix_date(lead)
+    if kind == "timestamp_ntz":
+        return lead.cast("timestamp")
+    return lead if kind in NUMBERS else None
+
+
+def quantile_values(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
+    """The values at the inner bounds of about n_rows / cellRows cells of equal weight, repeated for copies."""
+    cells = cell_count(df, n_rows)
     if cells <= 1:
         return []
     probs = [i / cells for i in range(1, cells)]
-    row = df.agg(
-        F.percentile_approx(lead.cast("double"), probs, max(10_000, 20 * cells)).alias("q")
-    ).first()
-    return sorted({float(v) for v in (row["q"] or []) if v is not None})
+    row = df.agg(F.percentile_approx(lead.cast("double"), probs, max(10_000, 20 * cells)).alias("q")).first()
+    return [float(v) for v in (row["q"] or []) if v is not None]
+
+
+def cell_bounds(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
+    """Inner bounds of the cells (empty: one cell)."""
+    return sorted(set(quantile_values(df, lead, n_rows)))
 
 
-def hot_values(df: DataFrame, lead: Column, n_rows: int) -> list[float]:
+def hot_values(found: list[float]) -> list[float]:
     """Values that fill more than one cell alone (copies of one time stamp, say): repeated quantiles."""
-    cells = min(MAX_CELLS, -(-n_rows // limit_of(df.sparkSession, CELL_ROWS)))
-    probs = [i / cells for i in range(1, cells)]
-    row = df.agg(F.percentile_approx(lead.cast("double"), probs, max(10_000, 20 * cells)).alias("q")).first()
-    seen = [v for v in (row["q"] or []) if v is not None]
-    return sorted({float(a) for a, b in zip(seen, seen[1:]) if a == b})
+    return sorted({a for a, b in zip(found, found[1:]) if a == b})
 
 
-def split_hot(df: DataFrame, lead: Column, tie: Column, hot: list[float], bounds: list[float], n_rows: int) -> DataFrame:
-    """Cells over (lead, tie): a hot value of lead gets a cell of its own, cut further along the tie column."""
+def split_hot(df: DataFrame, lead: Column, tie: Column, hot: list[float], bounds: list[float]) -> DataFrame:
+    """Cells over (lead, tie): a hot value of lead gets a cell of its own, cut further along the tie column.
+
+    The cuts of all hot values come from one grouped aggregation, and a row finds its own in a map of arrays.
+    """
+    limit = limit_of(df.sparkSession, CELL_ROWS)
     alone = sorted({*bounds, *hot, *[math.nextafter(v, math.inf) for v in hot]})
     out = add_cell(df, lead, alone)
+    value = lead.cast("double")
+    sizes = {r["v"]: r["n"] for r in df.filter(value.isin(hot)).groupBy(value.alias("v")).agg(F.count("*").alias("n")).collect()}
+    most = max(-(-n // limit) for n in sizes.values())
+    probs = [i / most for i in range(1, most)]
+    cuts = {}
+    if probs:
+        rows = df.filter(value.isin(hot)).groupBy(value.alias("v")).agg(
+            F.percentile_approx(tie.cast("double"), probs, max(10_000, 20 * most)).alias("q"))
+        cuts = {r["v"]: sorted({float(x) for x in r["q"] or []}) for r in rows.collect()}
     part = F.lit(0.0)
-    for i, v in enumerate(hot):
-        same = df.filter(lead.cast("double") == F.lit(v))
-        out = add_cell(out, tie, cell_bounds(same, tie, same.count()), f"_sub{i}")
-        part = F.when(lead.cast("double") == F.lit(v), F.col(f"_sub{i}")).otherwise(part)
-    out = out.withColumn("_cell", F.col("_cell") * F.lit(float(2 * MAX_CELLS)) + part)
-    return out.drop(*[f"_sub{i}" for i in range(len(hot))])
+    if any(cuts.values()):
+        own = F.element_at(F.create_map(*[x for v, q in cuts.items() for x in (F.lit(v), F.array(*[F.lit(c) for c in q]).cast("array<double>"))]), value)
+        part = F.coalesce(F.size(F.filter(own, lambda c: c <= tie.cast("double"))).cast("double"), F.lit(0.0))
+    return out.withColumn("_cell", F.col("_cell") * F.lit(float(most + 1)) + F.when(value.isin(hot), part).otherwise(0.0))
+
+
+def range_cells(df: DataFrame, lead: Column, tie: Column | None, n_rows: int) -> DataFrame:
+    """Cells along an order of any type: the parts of a range-partitioned copy, written once so that they stay as they are."""
+    order = [lead] if tie is None else [lead, tie]
+    return cut_lineage(df.repartitionByRange(cell_count(df, n_rows), *order).withColumn("_cell", F.spark_partition_id().cast("double")))
 
 
 def add_cell(df: DataFrame, lead: Column, bounds: list[float], name: str = "_cell") -> DataFrame:
@@ -61,7 +93,8 @@ def add_cell(df: DataFrame, lead: Column, bounds: list[float], name: str = "_cel
     source = f"{name}_lead"
     splits = [float("-inf"), *bounds, float("inf")]
     bucketizer = Bucketizer(splits=splits, inputCol=source, outputCol=name, handleInvalid="keep")
-    return bucketizer.transform(df.withColumn(source, lead.cast("double"))).drop(source)
+    out = bucketizer.transform(df.withColumn(source, lead.cast("double")))
+    return out.withColumn(name, F.when(F.col(source).isNull(), -1.0).otherwise(F.col(name))).drop(source)  # NULLs come first
 
 
 class Ordered:
@@ -79,12 +112,26 @@ class Ordered:
         self.n_rows = n
         if derived and n > limit_of(df.sparkSession, CELL_ROWS):
             df = cut_lineage(df)
-        bounds = cell_bounds(df, lead, n)
-        self.split = bool(bounds)
-        hot = hot_values(df, lead, n) if self.split and tie is not None else []
-        self.df = split_hot(df, lead, tie, hot, bounds, n) if hot else add_cell(df, lead, bounds) if self.split else df
+        self.split = cell_count(df, n) > 1 and self._crowded(df)
+        self.df = df
+        if self.split:
+            number = numeric(df, lead) if cell_count(df, n) <= MAX_CELLS else None
+            if number is None or (tie is not None and numeric(df, tie) is None):
+                self.df = range_cells(df, lead, tie, n)
+            else:
+                found = quantile_values(df, number, n)
+                bounds = sorted(set(found))
+                hot = hot_values(found) if tie is not None else []
+                self.split = bool(bounds)
+                self.df = split_hot(df, number, numeric(df, tie), hot, bounds) if hot else add_cell(df, number, bounds)
         self.parts = self.keys + (["_cell"] if self.split else [])
 
+    def _crowded(self, df: DataFrame) -> bool:
+        """Whether any group holds more rows than a cell may."""
+        if not self.keys:
+            return True
+        return not df.groupBy(*self.keys).count().filter(F.col("count") > limit_of(df.sparkSession, CELL_ROWS)).isEmpty()
+
     def _combine(self, op, value):
         return {"sum": F.sum, "max": F.max, "min": F.min}[op](value)
 
