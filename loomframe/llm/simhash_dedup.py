@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.llm.common import col, columns, fresh, written
+from loomframe.plans.runtime import settle
 
 RADIUS = 3
 SHINGLE = 3
@@ -237,17 +238,17 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_c
     prints = written(fingerprints(rows, shingle, ("doc_id", "text_hash")))
     firsts = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
     kept = near_duplicate_map(prints, radius).join(firsts, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
-    kept_id, kept_hash = fresh(docs, "_kept_id", "_kept_hash")
-    kept = written(kept.select(F.col("first.doc_id").alias(kept_id), F.col("first.text_hash").alias(kept_hash)))
-    repeated = prints.groupBy("doc_id", "text_hash").count().filter("count > 1")
-    same = F.col(kept_id).eqNullSafe(F.col("doc_id")) & (F.col(kept_hash) == F.col("text_hash"))
-    repeated = written(kept.join(repeated, same, "left_semi"))
-    match = col(id_col).eqNullSafe(F.col(kept_id)) & (key == F.col(kept_hash))
+    kept = kept.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
+    counts = prints.groupBy("doc_id", "text_hash").count()
+    counts = written(counts.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left"))
+    gone_id, gone_hash, mark = fresh(docs, "_gone_id", "_gone_hash", "_mark")
+    names = [F.col("doc_id").alias(gone_id), F.col("text_hash").alias(gone_hash)]
+    match = col(id_col).eqNullSafe(F.col(gone_id)) & (key == F.col(gone_hash))
+    # what goes is less than what stays: broadcast if counted to be few
+    gone = settle(counts.filter("_hash IS NULL OR count > 1").select(*names)).hinted()
+    single = docs.join(gone, match, "left_anti").select(*columns(docs.columns))
+    repeated = counts.filter("_hash IS NOT NULL AND count > 1").select(*names)
     if repeated.isEmpty():
-        return docs.join(kept, match, "left_semi").select(*columns(docs.columns))
-    (mark,) = fresh(docs, "_mark")
-    again = repeated.toDF("_again_id", "_again_hash")
-    single = kept.join(again, F.col(kept_id).eqNullSafe(F.col("_again_id")) & (F.col(kept_hash) == F.col("_again_hash")), "left_anti")
-    several = docs.join(repeated, match, "left_semi").withColumn(mark, key)
-    single = docs.join(single, match, "left_semi")
-    return single.select(*columns(docs.columns)).unionByName(several.dropDuplicates([id_col, mark]).select(*columns(docs.columns)))
+        return single
+    several = docs.join(settle(repeated).hinted(), match, "left_semi").withColumn(mark, key).dropDuplicates([id_col, mark])
+    return single.unionByName(several.select(*columns(docs.columns)))
