@@ -92,6 +92,21 @@ def benchmark_items(benchmark: DataFrame, shingle: int, id_col: str = "item_id",
     return rows.select("item_id", "length", width.alias("width"), parts.alias("shingles"))
 
 
+def window_starts(width: int, similarity: float) -> Column:
+    """Starts of the windows to compare, from the columns n, length and at (the sorted places of shared shingles).
+
+    Similarity s of a window with A shingles to an item with B needs at least s(A+B)/(1+s) places in the window. A window starts
+    at a place or, where the document ends too early for that, as late as possible.
+    """
+    last = F.greatest(F.lit(0), F.col("n") - F.col("length"))
+    both = F.least(F.col("n"), F.col("length")) - width + 1 + F.col("length") - width + 1
+    need = F.greatest(F.lit(1), F.ceil(both * (similarity / (1 + similarity)) - 1e-9).cast("int"))
+    reach = F.col("length") - width
+    full = F.transform("at", lambda p, i: F.when((p <= last) & (F.coalesce(F.get(F.col("at"), i + need - 1), F.lit(1 << 30)) <= p + reach), p))
+    late = F.when(F.size(F.filter("at", lambda p: p >= last)) >= need, F.array(last)).otherwise(F.array().cast("array<int>"))
+    return F.array_union(F.array_compact(full), late)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE, similarity: float = SIMILARITY, radius: int = RADIUS,
                  blocks: int = BLOCKS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, text_hash, item_id, start, words and similarity: of each document and item its most similar window
@@ -100,17 +115,23 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, shingle: int = SHINGLE,
     # (hash, width, length) of the items' shingles: broadcast only if counted to be small
     index = settle(items.select(F.explode("shingles").alias("h"), "width", "length").distinct()).hinted()
     texts = docs.select(col(id_col).alias("doc_id"), text_of(text_col).alias("text"))
-    texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
+    texts = texts.select("doc_id", F.xxhash64("text").alias("text_hash"), "text")
     key = ["doc_id", "text_hash"]
     found = None
     for (width,) in items.select("width").distinct().orderBy("width").collect():  # at most `shingle` values
-        places = texts.select(*key, F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words"), width)).alias("at", "h"))
-        hits = places.join(index.filter(F.col("width") == width), "h")
-        start = F.least(F.col("at"), F.greatest(F.lit(0), F.col("n") - F.col("length")))
-        windows = written(hits.select(*key, "length", start.alias("start")).distinct()
+        places = texts.select(*key, words_of(F.col("text")).alias("words")).select(*key, F.size("words").alias("n"), F.posexplode(shingles_of(F.col("words"), width)).alias("at", "h"))
+        hits = places.join(index.filter(F.col("width") == width), "h").select(*key, "n", "length", "at").distinct()
+        # a document's places for one length, in order; windows with too few of them to be similar are left out
+        hits = hits.groupBy(*key, "n", "length").agg(F.array_sort(F.collect_list("at")).alias("at"))
+        windows = written(hits.select(*key, "length", F.explode(window_starts(width, similarity)).alias("start"))
                           .groupBy(*key).agg(F.collect_list(F.struct("length", "start")).alias("windows")))
-        same = (texts["doc_id"].eqNullSafe(windows["doc_id"])) & (texts["text_hash"] == windows["text_hash"])
-        held = texts.join(windows, same).select(texts["doc_id"], texts["text_hash"], shingles_of(F.col("words"), width).alias("hs"), "windows")
+        # texts of these documents only: by broadcast if they are counted to be few
+        some = settle(windows.select(F.col("doc_id").alias("some_id"), F.col("text_hash").alias("some_hash"))).hinted()
+        again = texts.join(some, F.col("doc_id").eqNullSafe(F.col("some_id")) & (F.col("text_hash") == F.col("some_hash")), "left_semi")
+        again = again.select(*key, words_of(F.col("text")).alias("words"))  # a projection of its own: computed once a row
+        again = again.select(*key, shingles_of(F.col("words"), width).alias("hs")).dropDuplicates(key)
+        same = again["doc_id"].eqNullSafe(windows["doc_id"]) & (again["text_hash"] == windows["text_hash"])
+        held = again.join(windows, same).select(again["doc_id"], again["text_hash"], "hs", "windows")
         part = held.select(*key, "hs", F.explode("windows").alias("w")).select(
             *key, F.col("w.length").alias("length"), F.col("w.start").alias("start"),
             F.slice("hs", F.col("w.start") + 1, F.col("w.length") - width + 1).alias("bag"))
@@ -145,6 +166,6 @@ def without_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "d
     """The rows of the table that hold no window similar to an item."""
     found = contaminated(docs, benchmark, id_col=id_col, text_col=text_col, **options)
     bad_id, bad_hash = fresh(docs, "_bad_id", "_bad_hash")
-    bad = written(found.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct())
+    bad = settle(found.select(F.col("doc_id").alias(bad_id), F.col("text_hash").alias(bad_hash)).distinct()).hinted()
     same = col(id_col).eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_of(text_col)) == F.col(bad_hash))
     return docs.join(bad, same, "left_anti").select(*columns(docs.columns))
