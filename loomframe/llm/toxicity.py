@@ -3,7 +3,7 @@
 Texts are folded first (case, accents, look-alike letters, digit substitutions). The lexicon has a hand-written part and
 a learned part: words and word beginnings that stand almost only in toxic training documents. Evidence for an entry is
 counted in distinct neighbourhoods (the words next to it), over all training documents, so that a text copied a
-thousand times counts once. The score is a logistic function of the matched weight, normalised by the text's length.
+thousand times counts once; it alone decides which entries are learned, whatever their number. The score is a logistic function of the matched weight, normalised by the text's length.
 
 Nulls and edge cases: a null or empty text scores as one without a match. Labels that are null are not learned from; of
 several labels of a document the largest counts. Without labels the hand-written part and default slopes are used.
@@ -13,6 +13,7 @@ Repeated rows get equal scores.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,10 @@ ERRORS, HALF = 2.5, 0.5
 SHORT = 60
 # The heaviest weight of an entry (its weight is the logarithm of its rates' ratio).
 HEAVIEST = 5.0
-# Most learned entries; those with the most evidence stay.
-ENTRIES = 20_000
+# Clean neighbourhoods are counted in a part of this size first: a lower bound, which rules most words out.
+PART = 4
+# Neighbourhoods that a task holds at once.
+MOST = 50_000
 # The score's slope and intercept where no labels say otherwise.
 SLOPE, INTERCEPT = 1.5, -3.0
 # General insults and their weights, and harmless phrases that contain one.
@@ -103,11 +106,16 @@ def with_seeds() -> dict[str, float]:
     return {fold(w): v for w, v in SEEDS.items()}
 
 
-def bounded_share(toxic, clean) -> np.ndarray:
-    """Lower Wilson bound of the toxic share."""
-    n = np.maximum(toxic + clean, 1)
-    p, z = toxic / n, ERRORS
-    return (p + z * z / (2 * n) - z * np.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+def bounded_share_of(toxic: Column, clean: Column) -> Column:
+    """Lower Wilson bound of the toxic share; it falls as clean evidence is added."""
+    n, z = F.greatest(toxic + clean, F.lit(1)), ERRORS
+    p = toxic / n
+    return (p + z * z / (2 * n) - z * F.sqrt(p * (1 - p) / n + z * z / (4 * n * n))) / (1 + z * z / n)
+
+
+def forms_of(word: Column) -> Column:
+    """The word between spaces and its beginnings after one; null for beginnings that are the whole word."""
+    return F.array(F.concat(F.lit(" "), word, F.lit(" ")), *[F.when(F.length(word) > n, F.concat(F.lit(" "), F.substring(word, 1, n))) for n in STEMS])
 
 
 def strongest(entries: dict[str, float], gain: dict[str, float]) -> dict[str, float]:
@@ -122,8 +130,7 @@ def strongest(entries: dict[str, float], gain: dict[str, float]) -> dict[str, fl
     return kept
 
 
-WORDS = pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())])
-SEEN = pa.schema([("entry", pa.string()), ("toxic", pa.int32()), ("place", pa.int64())])
+SEEN = pa.schema([("word", pa.string()), ("toxic", pa.int32()), ("place", pa.int64())])
 STRENGTHS = pa.schema([("strength", pa.int64()), ("toxic", pa.int32()), ("n", pa.int64())])
 # Strengths are counted in steps of this size for the fit of the slope.
 STEP = 0.02
@@ -142,56 +149,57 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", tex
 
     known = written(texts.join(marks, "id").select("text", "toxic").mapInArrow(folded, "toxic int, folded string"))
 
-    def words(batches):
-        counts: dict[str, list[int]] = {}
-        for b in batches:
-            for toxic, text in zip(*(c.to_pylist() for c in b.columns)):
-                for w in set(text.split()):
-                    counts.setdefault(w, [0, 0])[0 if toxic else 1] += 1
-            if len(counts) > 300_000:
-                yield from batches_of(WORDS, [list(counts), *zip(*counts.values())])
-                counts = {}
-        if counts:
-            yield from batches_of(WORDS, [list(counts), *zip(*counts.values())])
+    def neighbourhoods(part: int, among: frozenset[str] | None = None):
+        """(word, toxic, place), mostly distinct: all toxic ones and that part of the clean ones, of the words given."""
+        def flush(out):
+            held = [(w, t, h) for w, left, right, t in out if among is None or w in among
+                    if not (h := xxhash.xxh64_intdigest(f"{left}|{w}|{right}")) % part or t]
+            yield from batches_of(SEEN, [[x[0] for x in held], [x[1] for x in held], [x[2] - (1 << 63) for x in held]])
+
+        def places(batches):
+            for b in batches:
+                out = set()
+                for toxic, text in zip(*b.columns):
+                    ws = text.as_py().split()
+                    for i in range(0, len(ws), MOST):  # of a long text too, a bounded number at a time
+                        part_of = ws[i:i + MOST]
+                        out.update(zip(part_of, [ws[i - 1] if i else "", *part_of], [*ws[i + 1:i + MOST + 1], ""], repeat(int(toxic.as_py() > 0))))
+                        if len(out) > MOST:
+                            yield from flush(out)
+                            out = set()
+                yield from flush(out)
+
+        return known.mapInArrow(places, "word string, toxic int, place long")
+
+    def evidence(seen):
+        """Distinct neighbourhoods of each form of the words: toxic ones and clean ones."""
+        counted = seen.distinct().groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum(1 - F.col("toxic")).alias("clean"))
+        counted = counted.select("word", F.explode(forms_of(F.col("word"))).alias("entry"), "toxic", "clean").filter("entry IS NOT NULL")
+        return counted.groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
     sizes = known.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.sum(F.length("folded") - F.length(F.replace("folded", F.lit(" "))) + 1).alias("n"))
     sizes = {r["toxic"]: r["n"] for r in sizes.collect()}
     odds = np.log(max(1, sizes.get(False, 0)) / max(1, sizes.get(True, 0)))  # of clean to toxic words in all
 
-    seen = known.mapInArrow(words, "word string, toxic long, clean long").groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    forms = F.array(F.concat(F.lit(" "), F.col("word"), F.lit(" ")),
-                    *[F.when(F.length("word") > n, F.concat(F.lit(" "), F.substring("word", 1, n))) for n in STEMS])
-    forms = (seen.select(F.explode(forms).alias("entry"), "toxic", "clean").filter("entry IS NOT NULL")
-             .groupBy("entry").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean")))
-    z2 = ERRORS * ERRORS
-    likely = forms.filter(F.col("toxic") > (HALF / (1 - HALF)) * F.col("clean")).filter(F.col("toxic") >= F.lit(z2)).orderBy(
-        F.desc("toxic"), "entry").limit(ENTRIES).toPandas()
-    likely = likely[bounded_share(likely["toxic"].to_numpy(float), likely["clean"].to_numpy(float)) > HALF]
-    found = ToxicLexicon({e: 1.0 for e in likely["entry"]}, ())
-
-    def places(batches):
-        for b in batches:
-            out = set()
-            for toxic, text in zip(*(c.to_pylist() for c in b.columns)):
-                for last, (size, _) in found.automaton().iter(text):
-                    start = last - size + 1
-                    after = text.find(" ", max(start + 1, last))
-                    left, right = text.rfind(" ", 0, max(start, 1)), text.find(" ", after + 1)
-                    near = f"{text[left + 1:start]}|{text[start + 1:after]}|{text[after + 1:right]}"
-                    out.add((text[start:last + 1], toxic, xxhash.xxh64_intdigest(near) - (1 << 63)))
-            if out:
-                yield from batches_of(SEEN, list(zip(*out)))
+    # all toxic neighbourhoods and a part of the clean ones: forms below the bound on these are below it on all
+    some = evidence(neighbourhoods(PART))
+    likely = settle(some.filter(bounded_share_of(F.col("toxic"), F.col("clean")) > HALF).select("entry"))
 
     entries = with_seeds()
-    if found.entries:
-        evidence = (known.mapInArrow(places, "entry string, toxic int, place long").distinct().groupBy("entry")
-                    .agg(F.sum("toxic").alias("toxic"), F.count("*").alias("n"))).toPandas()
-        toxic = evidence["toxic"].to_numpy(float)
-        clean = evidence["n"].to_numpy(float) - toxic
-        share = bounded_share(toxic, clean)
+    if not likely.df.isEmpty():
+        # then all neighbourhoods of the words that have such a form
+        words = known.select(F.explode(F.split("folded", " ")).alias("word")).distinct().select("word", F.explode(forms_of(F.col("word"))).alias("entry"))
+        words = settle(words.join(likely.hinted(), "entry", "left_semi").select("word").distinct())
+        if words.small:
+            seen = neighbourhoods(1, frozenset(r["word"] for r in words.df.collect()))
+        else:
+            seen = neighbourhoods(1).join(words.df, "word", "left_semi")
+        found = evidence(seen).join(likely.hinted(), "entry", "left_semi")
+        found = found.filter(bounded_share_of(F.col("toxic"), F.col("clean")) > HALF).toPandas()
+        toxic, clean = found["toxic"].to_numpy(float), found["clean"].to_numpy(float)
         ratio = np.log((toxic + 0.5) / (clean + 0.5)) + odds
-        learned = {e: float(min(w, HEAVIEST)) for e, w, p in zip(evidence["entry"], ratio, share) if p > HALF and w > 0}
-        entries |= strongest(learned, dict(zip(evidence["entry"], toxic * ratio)))
+        learned = {e: float(min(w, HEAVIEST)) for e, w in zip(found["entry"], ratio) if w > 0}
+        entries |= strongest(learned, dict(zip(found["entry"], toxic * ratio)))
     lexicon = ToxicLexicon(entries)
 
     def strengths(batches):
