@@ -206,11 +206,10 @@ FITTED = pa.schema([("tree", pa.int32()), ("feature", pa.list_(pa.int32())), ("t
 
 
 def fit_extractor(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE) -> BoostedTrees:
-    """Fit the trees on at most `sample` distinct pages, drawn by hash."""
+    """Fit the trees on `sample` distinct pages, drawn by hash (all if there are fewer)."""
     rows = pages.select(col(html_col).cast("string").alias("html")).filter("html IS NOT NULL").withColumn("h", F.xxhash64("html"))
-    count = rows.count()
-    share = min(1.0, 3 * sample / max(1, count))
-    drawn = rows.filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30))).dropDuplicates(["h"]).orderBy("h").limit(sample)
+    chosen = [r["h"] for r in rows.select("h").distinct().orderBy("h").limit(sample).collect()]  # of distinct pages: copies count once
+    drawn = rows.filter(F.col("h").isin(chosen)).dropDuplicates(["h"]).orderBy("h")
 
     def train(batches):
         found = training_pages([t for b in batches for t in b.column(0).to_pylist()])

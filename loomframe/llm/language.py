@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from loomframe.llm.codepoints import SPACE, codes, letters_table, pieces
 from loomframe.llm.common import batches_of, col, written
+from loomframe.plans.runtime import settle
 
 BITS = 14
 FEATURES = 1 << BITS
@@ -146,8 +147,8 @@ FITTED = pa.schema([("feature", pa.int32()), ("w", pa.list_(pa.float64()))])
 
 
 def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
-    """Fit on rows of (text, language). At most `sample` rows per language, drawn by hash, fit the weights; document
-    frequencies cover all rows."""
+    """Fit on rows of (text, language). `sample` distinct texts per language, drawn by hash (all if there are fewer), fit
+    the weights; document frequencies cover all rows."""
     rows = labelled.select(col(text_col).cast("string").alias("text"), col(lang_col).cast("string").alias("lang")).filter(
         "text IS NOT NULL AND lang IS NOT NULL")
 
@@ -174,11 +175,11 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "te
     if not langs:
         return LanguageModel([], idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
 
-    # about twice the sample by hash, then exactly the bound: no language is sorted as a whole
-    share = F.create_map(*[x for lang, n in zip(per_lang["lang"], per_lang["n"]) for x in (F.lit(lang), F.lit(min(1.0, 2 * sample / max(n, 1))))])
-    h = F.pmod(F.xxhash64("text"), F.lit(1 << 32)) / float(1 << 32)
-    drawn = rows.withColumn("h", h).filter(F.col("h") < share[F.col("lang")]).dropDuplicates(["lang", "h"])  # copies count once
-    drawn = drawn.withColumn("r", F.row_number().over(W.partitionBy("lang").orderBy("h", "text"))).filter(F.col("r") <= sample)
+    # the smallest hashes of each language's distinct texts; the row limit is applied before and after the shuffle
+    hashed = rows.filter(F.col("text").rlike(r"\p{L}")).withColumn("h", F.xxhash64("text"))
+    order = W.partitionBy("lang").orderBy(F.pmod("h", F.lit(1 << 32)), "h")
+    chosen = hashed.select("lang", "h").distinct().withColumn("r", F.row_number().over(order)).filter(F.col("r") <= sample)
+    drawn = hashed.join(settle(chosen).hinted(), ["lang", "h"]).dropDuplicates(["lang", "h"])  # copies count once
 
     def features(batches):
         for batch in batches:
