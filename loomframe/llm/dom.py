@@ -5,11 +5,12 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from collections import Counter
 from functools import lru_cache
 
 TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.DOTALL)
-# Content that is never text of the page.
-RAW = frozenset("script style noscript template textarea title iframe svg math object canvas audio video".split())
+# Content that is never text of the page (annotations are a formula's source, which browsers do not show).
+RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html label legend li main menu nav ol optgroup option p pre section select
@@ -133,10 +134,13 @@ SHOWN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden|(?:^|\s)hidden(?
 CAMEL = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]*")
 
 
-@lru_cache(maxsize=20_000)
 def meanings(attrs: str) -> frozenset[int]:
-    """Groups of the words in an element's attributes."""
-    if not attrs or len(attrs) > 4000:
+    """Groups of the words in an element's attributes; long ones are read but not remembered."""
+    return _remembered(attrs) if len(attrs) <= 4000 else _meanings(attrs)
+
+
+def _meanings(attrs: str) -> frozenset[int]:
+    if not attrs:
         return frozenset()
     found = {MEANING[w.lower()] for v in NAMED.findall(attrs) for w in CAMEL.findall(v) if w.lower() in MEANING}
     if SHOWN.search(attrs):
@@ -144,6 +148,9 @@ def meanings(attrs: str) -> frozenset[int]:
     return frozenset(found)
 
 
+_remembered = lru_cache(maxsize=20_000)(_meanings)
+
+
 KINDS = ["#text", "p", "div", "section", "article", "main", "nav", "header", "footer", "aside", "form", "ul", "ol", "li", "table", "td", "th", "tr", "h1", "h2", "h3",
          "blockquote", "pre", "figure", "figcaption", "button", "label", "select", "option", "fieldset", "address", "dl", "dd", "dt", "body", "input"]
 KIND = {k: i for i, k in enumerate(KINDS)}
@@ -183,7 +190,10 @@ def features(page: Page) -> list[tuple[list[float], set[int]]]:
     log, whole, total = math.log1p, max(1, chars[0]), max(1, number)
     place = [0] * n
     longest = [0] * n
+    alike: list[Counter] = [Counter()] * n  # the children's tags
     for i in range(n):
+        if kids[i]:
+            alike[i] = Counter(tags[c] for c in kids[i])
         for k, c in enumerate(kids[i]):
             place[c] = k
         longest[i] = max([chars[c] for c in kids[i]], default=0)
@@ -195,7 +205,7 @@ def features(page: Page) -> list[tuple[list[float], set[int]]]:
         within[i] = within[p] | {tags[i]} if tags[i] in WITHIN else within[p]
         c, b, siblings = chars[i], max(1, blocks[i]), len(kids[p])
         numbers = [log(c), linked[i] / max(1, c), log(c / (below[i] + 1)), log(c / b), c / whole, depth[i], log(siblings), place[i] / siblings,
-                   c / max(1, longest[p]), sum(tags[k] == tags[i] for k in kids[p]) / siblings if siblings < 50 else 1.0, first[i] / total, marks[i] / max(1, c), items[i] / b,
+                   c / max(1, longest[p]), alike[p][tags[i]] / siblings, first[i] / total, marks[i] / max(1, c), items[i] / b,
                    paras[i] / b, inputs[i], c / max(1, chars[p]), linked[p] / max(1, chars[p]), log(chars[p]), paras[p] / max(1, blocks[p]), log(below[i])]
         yes = {NUMBERS + KIND.get(tags[i], len(KINDS))}
         yes.update(NUMBERS + len(KINDS) + 1 + WITHIN.index(t) for t in within[i])
