@@ -48,19 +48,21 @@ def letters_table() -> np.ndarray:
 # Letters of other scripts that look like Latin ones, and signs that stand for letters.
 LOOKS_LIKE = dict(zip("аеорсухіјѕԁԛԝһӏкмтвнгαβεικνορτυχγωηλ", "aeopcyxijsdqwhlkmtbhrabeiknoptuxywnl"))
 SIGNS = dict(zip("0134578@$!|€", "oieastbasiie"))
+# Marks in the folding table, above all code points: a sign that stands for a letter, and an exclamation mark.
+SIGN, BANG = 1 << 21, 1 << 22
 
 
 @lru_cache(maxsize=1)
 def folding_table() -> np.ndarray:
     """Lower case, accents off, look-alikes and digit substitutions to Latin letters; marks dropped, the rest spaces.
 
-    `l` and `1` both stand for `i`, because they are used for each other.
+    `l` and `1` both stand for `i`, because they are used for each other. Signs carry the mark SIGN, `!` also BANG.
     """
     table = np.full(SIZE, SPACE, np.uint32)
     for i in range(SIZE):
         c = chr(i)
         if c in SIGNS:
-            table[i] = ord(SIGNS[c])
+            table[i] = ord(SIGNS[c]) | SIGN | (BANG if c == "!" else 0)
             continue
         kind = unicodedata.category(c)
         if kind in ("Mn", "Cf"):
@@ -73,8 +75,14 @@ def folding_table() -> np.ndarray:
 
 
 def fold(whole: str) -> str:
-    """Folded words with one space before, between and after them."""
+    """Folded words with one space before, between and after them; exclamation marks are letters only before a letter."""
     table = folding_table()
     parts = [table[codes(p)] for p in pieces(whole)]
     points = np.concatenate([[SPACE], *parts, [SPACE]]).astype(np.uint32)
-    return text(squeeze(points[points != DROP]))
+    points = points[points != DROP]
+    bang = (points & BANG) > 0
+    if bang.any():
+        places = np.arange(len(points))
+        follow = points[np.minimum.accumulate(np.where(bang, len(points), places)[::-1])[::-1]]  # the first point after a run of marks
+        points[bang & ((follow == SPACE) | (follow & SIGN > 0))] = SPACE
+    return text(squeeze(points & (SIGN - 1)))
