@@ -14,7 +14,8 @@ copies of one vector are no hot bucket; buckets above CHUNK points are split.
 
 Nulls and edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, neither as queries nor as candidates; so do rows of null id. Ties go to the smaller id. Repeated rows (equal id and
-vector) are one. With fewer candidates than wanted all of them are returned. An empty table gives no row.
+vector) are one. A query whose buckets held fewer than wanted is compared with all points; with fewer candidates than wanted
+all of them are returned. An empty table gives no row.
 """
 
 from __future__ import annotations
@@ -181,11 +182,33 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     met = met.groupBy("query", "point").agg(F.max("score").alias("score"))
     ids = points.select("point", "ids")
     best = met.withColumn("r", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "point"))).filter(F.col("r") <= k + 1)
-    spread = best.join(ids, "point").select("query", "score", F.explode("ids").alias("id"))
-    spread = spread.withColumn("r", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("r") <= k + 1)
-    lists = spread.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))).alias("near"))
-    # a query leaves itself out
-    own = askers.join(lists, askers["point"] == lists["query"]).select("query_id", F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k).alias("near"))
+    best = written(best.select("query", "point", "score"))
+
+    def listed(best: DataFrame) -> DataFrame:
+        spread = best.join(ids, "point").select("query", "score", F.explode("ids").alias("id"))
+        spread = spread.withColumn("r", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "id"))).filter(F.col("r") <= k + 1)
+        lists = spread.groupBy("query").agg(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "id"))).alias("near"))
+        # a query leaves itself out
+        near = F.slice(F.filter("near", lambda x: x["id"] != F.col("query_id")), 1, k)
+        return askers.join(lists, askers["point"] == lists["query"], "left").select("query_id", "point", F.coalesce(near, F.array()).alias("near"))
+
+    own = listed(best)
+    candidates = points.agg(F.sum(F.size("ids")).alias("n")).first()["n"] - 1
+    short = written(own.filter(F.size("near") < min(k, candidates)).select("point").distinct())
+    few = short.count()
+    if few:  # they meet all points, in chunks of CHUNK points
+        chunked, parts, per = -(-n // CHUNK), -(-few // QUERY_BLOCK), SLOT // CHUNK
+        chunk = F.pmod(F.xxhash64("point"), F.lit(chunked)).alias("bucket")
+        everyone = points.select("point", "v", chunk).withColumn("slot", F.floor(F.col("bucket") / per).cast("int")).withColumn(
+            "block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        seeking = (points.join(short, "point", "left_semi").select(F.col("point").alias("query"), F.col("v").alias("v"), F.explode(F.sequence(F.lit(0), F.lit((chunked - 1) // per))).alias("slot"))
+                   .withColumn("buckets", F.sequence(F.col("slot").cast("long") * per, (F.col("slot").cast("long") + 1) * per - 1))
+                   .withColumn("block", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int")))
+        exact = (everyone.groupBy("slot", "block").cogroup(seeking.groupBy("slot", "block"))
+                 .applyInArrow(search, "query long, point long, score double"))
+        exact = exact.withColumn("r", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "point"))).filter(F.col("r") <= k + 1)
+        others = best.join(short, best["query"] == short["point"], "left_anti")
+        own = listed(others.unionByName(exact.select("query", "point", "score")))
     return own.select("query_id", F.posexplode("near").alias("p", "x")).select(
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias("id"), (-F.col("x.s")).alias("score"))
 
