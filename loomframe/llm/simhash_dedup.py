@@ -236,8 +236,14 @@ def keep_one(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE, id_c
     key = F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit("")))
     rows = docs.select(col(id_col).alias("doc_id"), key.alias("text_hash"), col(text_col).alias("text"))
     prints = written(fingerprints(rows, shingle, ("doc_id", "text_hash")))
+    return keep_first(docs, prints, near_duplicate_map(prints, radius), id_col, text_col)
+
+
+def keep_first(docs: DataFrame, prints: DataFrame, groups: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """keep_one for groups (fingerprint, component) of the documents' prints (doc_id, text_hash, fingerprint)."""
+    key = F.xxhash64(F.coalesce(col(text_col).cast("string"), F.lit("")))
     firsts = prints.groupBy("fingerprint").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("first"))
-    kept = near_duplicate_map(prints, radius).join(firsts, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
+    kept = groups.join(firsts, "fingerprint").groupBy("component").agg(F.min("first").alias("first"))
     kept = kept.select(F.col("first.doc_id").alias("_id"), F.col("first.text_hash").alias("_hash"))
     counts = prints.groupBy("doc_id", "text_hash").count()
     counts = written(counts.join(kept, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash")), "left"))
