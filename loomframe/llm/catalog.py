@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("chats", "duplicates", "languages", "leaks", "licenses", "mixes", "neighbours", "pages", "tokens", "toxic")
+MODULES = ("audits", "chats", "duplicates", "languages", "leaks", "licenses", "mixes", "neighbours", "pages", "tokens", "toxic")
 
 
 def load():
