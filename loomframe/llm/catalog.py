@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("audits", "chats", "duplicates", "languages", "leaks", "licenses", "mixes", "neighbours", "pages", "spellings", "tokens", "toxic")
+MODULES = ("audits", "chats", "credentials", "duplicates", "languages", "leaks", "licenses", "mixes", "neighbours", "pages", "spellings", "tokens", "toxic")
 
 
 def load():

@@ -1,0 +1,167 @@
+import base64
+import bz2
+import gzip
+import hashlib
+import lzma
+import random
+import re
+import time
+import zlib
+from urllib.parse import quote
+
+import pytest
+
+from loomframe.llm import secret_scan
+from loomframe.llm.queries.credentials import op12
+from loomframe.llm.registry import table
+from loomframe.llm.secret_scan import scan_secrets, secret_spans
+
+KEY = "password=hunter2hunter2"
+
+
+def plain(text):
+    """The base spans, character by character for the kinds without a keyword."""
+    out = []
+    for m in re.finditer(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']? *[:=] *["']?([A-Za-z0-9+/_.=-]+)""", text):
+        if len(m.group(2)) >= 8:
+            out.append((m.start(), 0, m.end()))
+    for kind, letters, least, head in ((1, "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", 16, "AKIA"), (2, "0123456789abcdef", 32, "")):
+        i = 0
+        while i < len(text):
+            if text.startswith(head, i) and (head or text[i] in letters):
+                end = i + len(head)
+                while end < len(text) and text[end] in letters:
+                    end += 1
+                if end > i + len(head) and end - i >= least:
+                    out.append((i, kind, end))
+                i = max(end, i + 1)
+            else:
+                i += 1
+    return [(("assign", "access", "hex")[k], s, e) for s, k, e in sorted(out)]
+
+
+def b64(data):
+    return base64.b64encode(data if isinstance(data, bytes) else data.encode()).decode()
+
+
+def decoded(text):
+    return [(k, s, e, v) for k, s, e, v in secret_spans(text) if v]
+
+
+def test_query_base(spark, sf):
+    out = {r.doc_id: r for r in op12(spark, sf).collect()}
+    docs = table(spark, sf, "documents").collect()
+    assert len(out) == len(docs)
+    for d in docs:
+        want, r = plain(d.text or ""), out[d.doc_id]
+        assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == kind for k, _, _ in want) for kind in ("assign", "access", "hex")]
+        line = ",".join(f"{k}:{s}:{e}" for k, s, e in want)
+        assert r.base_sha256 == hashlib.sha256(line.encode()).hexdigest()
+        assert set(line.split(",")) <= set(r.spans.split(","))
+
+
+def test_base_of_random_texts():
+    draw = random.Random(5)
+    parts = ["password", "Passwd", "SECRET", "to\u212aen", "token", "api_key", "APIKEY", "=", ":", " ", "'", '"', "AKIA", "AKIAAKIA0123456789", "\u017fecret",
+             "0123456789abcdef", "abcdefgh", "\n", "é", "Z9", "+/.=-_", "deadbeef" * 4]
+    for _ in range(3000):
+        text = "".join(draw.choice(parts) for _ in range(draw.randrange(12)))
+        assert [s[:3] for s in secret_spans(text) if not s[3]] == plain(text), text
+
+
+@pytest.mark.parametrize("wrap", [
+    lambda t: "".join(f"%{ord(c):02X}" for c in t),
+    lambda t: quote(quote("".join(f"%{ord(c):02x}" for c in t))),
+    lambda t: "".join(f"\\u{ord(c):04x}" for c in t),
+    lambda t: "".join(f"\\u{{{ord(c):x}}}" for c in t),
+    lambda t: "".join(f"&#{ord(c)};" if i % 2 else f"\\x{ord(c):02x}" for i, c in enumerate(t)),
+    lambda t: "".join(f"%5Cu{ord(c):04x}" for c in t),
+    lambda t: "".join(f"&#x25;{ord(c):02x}" for c in t),
+])
+def test_escapes(wrap):
+    text = "é before " + wrap(KEY) + " after"
+    start = 9
+    assert ("assign", start, len(text) - 6) in [s[:3] for s in decoded(text)]
+
+
+def test_escapes_beside_plain_text():
+    text = "a\npassword%3D%22hunter2hunter2%22 b"
+    assert decoded(text) == [("assign", 2, 2 + len("password%3D%22hunter2hunter2"), "escapes")]
+    assert secret_spans("100% of 50%25 and C:\\new") == []
+
+
+def test_levels_have_no_end():
+    for chain in ("%25", "\\u005c"):
+        deep = chain[0] + chain[1:] * 40 + ("41KIA0123456789ABCDEF" if chain[0] == "%" else "u0041KIA0123456789ABCDEF")
+        assert [s[:3] for s in decoded(deep) if s[0] == "access"][-1:] == [("access", 0, len(deep))]
+
+
+@pytest.mark.parametrize("pack", [lambda b: b, gzip.compress, zlib.compress, bz2.compress, lzma.compress,
+                                  lambda b: gzip.compress(zlib.compress(b)), lambda b: gzip.compress(b64(bz2.compress(b)).encode())])
+@pytest.mark.parametrize("before", ["", "data:x;base64,", "/p/", "/pa/", "/pat/", "/path/"])
+def test_base64_and_streams(pack, before):
+    run = b64(pack((" " + KEY + " token: 'abcdefgh1'\n").encode()))
+    text = f"see {before}{run} there"
+    got = decoded(text)
+    assert len({s[:3] for s in got}) >= (2 if pack(b"x") == b"x" else 1)
+    assert all(4 <= s < e <= 4 + len(before) + len(run) and k == "assign" for k, s, e, _ in got)
+    assert [s for s in secret_spans(text) if not s[3]] == []
+
+
+def test_base64_span_is_exact():
+    text = "x " + b64("say password=hunter2hunter2 to all")
+    (kind, start, end, via), = decoded(text)
+    assert (kind, via) == ("assign", "base64")
+    cut = base64.b64decode(text[2:][(start - 2) // 4 * 4:-(-(end - 2) // 4) * 4])
+    assert KEY.encode() in cut and len(cut) <= len(KEY) + 4
+
+
+def test_base64_over_lines_and_nested():
+    data = gzip.compress("".join(f"{i} filler {i * 37 % 101}\n" for i in range(40)).encode() + KEY.encode())
+    lines = base64.encodebytes(data).decode()
+    assert len(lines.splitlines()) > 2
+    assert [s[0] for s in decoded("-----\n" + lines + "-----")] == ["assign"]
+    nested = KEY
+    for _ in range(5):
+        nested = quote(b64(nested))
+    assert [s[:3] for s in decoded(nested)][0][0] == "assign"
+
+
+def test_cycles_and_cut_streams():
+    whole = gzip.compress(random.Random(1).randbytes(3000) + b"\n" + KEY.encode() + b"\n" + random.Random(2).randbytes(3000))
+    assert "assign" in [s[0] for s in decoded(b64(whole[:-1500]))]
+    layer = secret_scan.Layer("same text here")
+    child = secret_scan.Expanded("other", layer, (0, 4), "gzip")
+    assert secret_scan.Expanded("same text here", child, (0, 4), "gzip").is_cycle() and not child.is_cycle()
+
+
+def test_streams_by_pieces(monkeypatch):
+    body = ("line of text, number %d.\n" * 2000 + KEY + "\n") % tuple(range(2000))
+    run = b64(gzip.compress(body.encode() * 3))
+    whole = decoded(run)
+    monkeypatch.setattr(secret_scan, "PIECE", 1000)
+    assert decoded(run) == whole != []
+    pieces = list(secret_scan.blocks([body.encode()[i:i + 700] for i in range(0, len(body), 700)]))
+    assert b"".join(pieces) == body.encode() and len(pieces) > 10
+
+
+@pytest.mark.parametrize("unit", ["%25", "%5Cu0025", "\\u005cu005c", "token= ", "a" * 18 + " ", "AKIA", "x\x9c", "&#", "%2%35", "YWFh", "VVVV"])
+def test_long_rows_take_linear_time(unit):
+    def took(n):
+        start = time.process_time()
+        secret_spans(unit * (n // len(unit)) + "41")
+        return time.process_time() - start
+
+    took(1000)
+    assert took(400_000) < 15
+
+
+def test_long_run_of_streams():
+    text = b64(b"x\x9c" * 100_000 + gzip.compress(b"A" * 30_000_000 + b"\n" + KEY.encode()))
+    assert [s[0] for s in decoded(text)] == ["assign"]
+
+
+def test_odd_rows(odd, empty):
+    rows = scan_secrets(odd).collect()
+    assert len(rows) == odd.count() and all(r.spans == [] for r in rows)
+    assert scan_secrets(empty).count() == 0 and scan_secrets(empty).columns == ["doc_id", "spans"]
