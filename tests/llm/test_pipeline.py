@@ -6,7 +6,7 @@ from loomframe.llm.catalog import all_oracles, all_queries
 
 def test_names():
     numbers = sorted(int(n[2:].split("_")[0]) for n in all_queries())
-    assert numbers == list(range(1, 11)) and set(all_oracles()) <= set(all_queries())
+    assert numbers == list(range(1, 14)) and set(all_oracles()) <= set(all_queries())
     assert len(corpus_pipeline.STAGES) == 5
 
 
