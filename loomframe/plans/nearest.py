@@ -3,9 +3,14 @@
 Three plans give the same rows:
   * points fit a size-checked broadcast: each query partition finds its neighbors alone, no shuffle of pairs;
   * queries fit: each point partition keeps the k best per query, the partial lists are merged;
-  * neither fits: points are grouped around pivots; the triangle inequality rules out groups that cannot
-    hold a neighbor, and the remaining (group, query) work is cut into blocks of bounded size.
-Only k candidates per query leave a task in any of them.
+  * neither fits: a vector-approximation file. Every point is rounded to one byte per dimension, and the exact length of
+    its rounding error is kept with the code. The distance to a rounded point, less or plus that error, bounds the true
+    distance from both sides. Codes and queries meet in blocks of bounded size; pairs whose lower bound is above
+    the query's k-th smallest upper bound cannot be neighbors. Full vectors are fetched for the survivors alone, a small
+    multiple of k per query also in many dimensions, and their distances are computed exactly. Codes are grouped around
+    pivots, so that in few dimensions the triangle inequality keeps queries away from most groups. Of equal points only as
+    many as can be neighbors are kept.
+Rows that leave a task are a small multiple of k per query in any of them.
 """
 
 from __future__ import annotations
@@ -20,7 +25,9 @@ from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, lim
 
 BROADCAST_VALUES = 32_000_000  # at most 256 MB of doubles in a broadcast matrix
 CHUNK = 4_000_000
-MAX_PIVOTS = 1_000
+PIVOT_VALUES = 4_000_000  # at most 32 MB of doubles in the broadcast table of pivots
+LEVELS = 256  # values of a dimension that one byte tells
+SAMPLE = 4_096  # points that place the levels; they decide how tight bounds are, not whether they hold
 
 
 def matrix_of(column) -> np.ndarray:
@@ -132,7 +139,7 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metric: str = "eucli
     local = local_matrix(queries, "query_id", n_queries)
     if local is not None:
         return _merge(_queries_broadcast(points, local, k, exclude_self, schema), k)
-    return _merge(_pivot_join(queries, points, k, exclude_self, n_points, schema), k)
+    return _merge(_measured(survivors(queries, points, k, exclude_self, n_points), queries, points, schema), k)
 
 
 def _points_broadcast(queries, local, k, exclude_self, n_queries, schema):
@@ -181,32 +188,89 @@ def _queries_broadcast(points, local, k, exclude_self, schema):
     return points.mapInArrow(search, schema)
 
 
-def _pivot_join(queries, points, k, exclude_self, n_points, schema):
+def levels_of(sample: np.ndarray) -> np.ndarray:
+    """LEVELS values per dimension, a row each, at equal shares of the sample."""
+    return np.quantile(sample, (np.arange(LEVELS) + 0.5) / LEVELS, axis=0).T.copy()
+
+
+def encode(vectors: np.ndarray, levels: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One byte per dimension and the length of what the code leaves out."""
+    codes = np.empty(vectors.shape, np.uint8)
+    for d in range(vectors.shape[1]):
+        codes[:, d] = np.searchsorted((levels[d, 1:] + levels[d, :-1]) / 2, vectors[:, d])
+    error = vectors - decode(codes, levels)
+    return codes, np.sqrt((error * error).sum(axis=1)) * (1 + 1e-12)
+
+
+def decode(codes: np.ndarray, levels: np.ndarray) -> np.ndarray:
+    return levels[np.arange(levels.shape[0])[None, :], codes]
+
+
+def bounded(q: np.ndarray, p: np.ndarray, error: np.ndarray, k: int, skip: np.ndarray | None = None):
+    """(row, column, low, high) of all pairs whose lower bound is within the k-th smallest upper bound of the row."""
+    parts = []
+    p2 = (p * p).sum(axis=1)
+    step = max(1, CHUNK // max(len(p), 1))
+    for s in range(0, len(q), step):
+        qs = q[s:s + step]
+        q2 = (qs * qs).sum(axis=1)
+        d2 = q2[:, None] + p2[None, :] - 2.0 * (qs @ p.T)
+        margin = 1e-9 * (1.0 + q2[:, None] + p2[None, :])  # what the matrix product may be off
+        high = np.sqrt(np.maximum(d2, 0) + margin) + error[None, :]
+        low = np.maximum(np.sqrt(np.maximum(d2 - margin, 0)) - error[None, :], 0)
+        if skip is not None:
+            own = skip[s:s + step]
+            hit = np.nonzero(own >= 0)[0]
+            high[hit, own[hit]] = low[hit, own[hit]] = np.inf
+        mask = np.isfinite(low)
+        if k < high.shape[1]:
+            mask &= low <= np.partition(high, k - 1, axis=1)[:, k - 1][:, None]
+        rows, cols = np.nonzero(mask)
+        parts.append((rows + s, cols, low[rows, cols], high[rows, cols]))
+    if not parts:
+        return (np.zeros(0, int),) * 2 + (np.zeros(0),) * 2
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
+def survivors(queries: DataFrame, points: DataFrame, k: int, exclude_self: bool, n_points: int) -> DataFrame:
+    """(query_id, point_id) of all pairs that bounds from codes leave possible; the k nearest are among them, ties included."""
     spark = queries.sparkSession
-    block = limit_of(spark, BLOCK_ROWS)
+    q_block = limit_of(spark, BLOCK_ROWS)
+    p_block = 8 * q_block  # a code takes an eighth of its vector
     want = k + (1 if exclude_self else 0)
-    n_pivots = min(MAX_PIVOTS, max(2, -(-n_points // block)))
-    pivots = matrix_of(points.orderBy(F.md5(F.col("point_id").cast("string"))).limit(n_pivots)
+    dimensions = max(1, points.select(F.size("vec").alias("d")).first()["d"])
+    n_pivots = min(max(2, -(-n_points // p_block)), max(2, PIVOT_VALUES // dimensions))
+    sample = matrix_of(points.orderBy(F.md5(F.col("point_id").cast("string"))).limit(max(n_pivots, SAMPLE))
                        .select("vec").toArrow().column("vec"))
-    shared = spark.sparkContext.broadcast(pivots)
+    pivots, levels = sample[:n_pivots], levels_of(sample[:SAMPLE])
+    shared, grid = spark.sparkContext.broadcast(pivots), spark.sparkContext.broadcast(levels)
     pid = points.schema["point_id"].dataType.simpleString()
     qid = queries.schema["query_id"].dataType.simpleString()
 
-    def assign(batches):
+    def place(batches):
         for batch in batches:
             if batch.num_rows:
-                _, cols, dist, _ = top_k(matrix_of(batch.column(1)), shared.value, 1)
+                vectors = matrix_of(batch.column(1))
+                _, cols, dist, _ = top_k(vectors, shared.value, 1)
+                codes, error = encode(vectors, grid.value)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), batch.column(1), pa.array(cols.astype("int32")), pa.array(dist)],
-                    names=["point_id", "vec", "cell", "r"])
-
-    placed = cut_lineage(points.mapInArrow(assign, f"point_id {pid}, vec array<double>, cell int, r double"))
+                    [batch.column(0), pa.array([c.tobytes() for c in codes], pa.binary()), pa.array(error),
+                     pa.array(cols.astype("int32")), pa.array(dist), batch.column(2)],
+                    names=["point_id", "code", "error", "cell", "r", "same"])
+
+    marked = points.withColumn("same", F.xxhash64("vec"))
+    placed = marked.mapInArrow(place, f"point_id {pid}, code binary, error double, cell int, r double, same long")
+    # of equal points only those of the smallest ids can be neighbors; the limit is applied before the shuffle too
+    equal = Window.partitionBy("same", "code", "error").orderBy("point_id")
+    placed = cut_lineage(placed.withColumn("i", F.row_number().over(equal)).filter(F.col("i") <= want).drop("i", "same"))
     stats = {row["cell"]: (row["n"], row["radius"])
              for row in placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("r").alias("radius")).collect()}
+    n_cells = len(pivots)
+    # the nearest points of each cell, at most so many that their table stays as small as that of the pivots
+    per_cell = max(1, min(want, PIVOT_VALUES // n_cells))
     inner = (placed.select("cell", "r")
              .withColumn("i", F.row_number().over(Window.partitionBy("cell").orderBy("r")))
-             .filter(F.col("i") <= want).select("cell", "r").toPandas())
-    n_cells = len(pivots)
+             .filter(F.col("i") <= per_cell).select("cell", "r").toPandas())
     radius = np.array([stats.get(c, (0, -np.inf))[1] for c in range(n_cells)])
     counts = [stats.get(c, (0, 0.0))[0] for c in range(n_cells)]
     bounds = spark.sparkContext.broadcast((radius, inner["cell"].to_numpy(), inner["r"].to_numpy()))
@@ -219,9 +283,11 @@ def _pivot_join(queries, points, k, exclude_self, n_points, schema):
         for s in range(0, len(q), step):
             qs = q[s:s + step]
             d = np.sqrt(np.maximum(((qs * qs).sum(1)[:, None] + (piv * piv).sum(1)[None, :] - 2 * qs @ piv.T), 0))
-            upper = np.partition(d[:, cells] + rs[None, :], want - 1, axis=1)[:, want - 1]
+            upper = np.full(len(qs), np.inf)
+            if want <= len(cells):
+                upper = np.partition(d[:, cells] + rs[None, :], want - 1, axis=1)[:, want - 1]
             lower = np.maximum(d - rad[None, :], (d - d.min(axis=1)[:, None]) / 2)
-            slack = 1e-6 * (1.0 + upper + d.max(axis=1))
+            slack = 1e-6 * (1.0 + np.where(np.isfinite(upper), upper, 0.0) + d.max(axis=1))
             r, c = np.nonzero((lower <= (upper + slack)[:, None]) & np.isfinite(rad)[None, :])
             out.append((r + s, c))
         return tuple(np.concatenate(x) for x in zip(*out))
@@ -245,9 +311,9 @@ def _pivot_join(queries, points, k, exclude_self, n_points, schema):
 
     visits = {row["cell"]: row["n"] for row in
               queries.mapInArrow(count_visits, "cell int, n bigint").groupBy("cell").agg(F.sum("n").alias("n")).collect()}
-    # blocks per cell on both sides: a hot cell is split until a block holds at most blockRows rows
-    p_blocks = F.lit([max(1, -(-c // block)) for c in counts])
-    q_blocks = F.lit([max(1, -(-visits.get(c, 0) // block)) for c in range(n_cells)])
+    # blocks per cell on both sides: a hot cell is split until a block holds a bounded number of rows
+    p_blocks = F.lit([max(1, -(-c // p_block)) for c in counts])
+    q_blocks = F.lit([max(1, -(-visits.get(c, 0) // q_block)) for c in range(n_cells)])
     at = F.col("cell") + 1
     pts = (
         placed.filter(F.col("cell").isin([int(c) for c in visits])).drop("r")
@@ -262,13 +328,31 @@ def _pivot_join(queries, points, k, exclude_self, n_points, schema):
 
     def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         if left.empty or right.empty:
-            return pd.DataFrame({"query_id": [], "point_id": [], "distance": [], "rank": []})
-        right = right.sort_values("point_id")
+            return pd.DataFrame({"query_id": [], "point_id": [], "low": [], "high": []})
         ids = right["point_id"].to_numpy()
+        codes = np.frombuffer(b"".join(right["code"]), np.uint8).reshape(len(ids), -1)
         own = pd.Index(ids).get_indexer(left["query_id"]) if exclude_self else None
-        rows, cols, dist, rank = top_k(np.stack(left["vec"]), np.stack(right["vec"]), k, own)
-        return pd.DataFrame({"query_id": left["query_id"].to_numpy()[rows], "point_id": ids[cols],
-                             "distance": dist, "rank": rank.astype("int32")})
+        rows, cols, low, high = bounded(np.stack(left["vec"]), decode(codes, grid.value), right["error"].to_numpy(), k, own)
+        return pd.DataFrame({"query_id": left["query_id"].to_numpy()[rows], "point_id": ids[cols], "low": low, "high": high})
 
     groups = ["cell", "pb", "qb"]
-    return qs.groupBy(*groups).cogroup(pts.groupBy(*groups)).applyInPandas(search, schema)
+    found = qs.groupBy(*groups).cogroup(pts.groupBy(*groups)).applyInPandas(
+        search, f"query_id {qid}, point_id {pid}, low double, high double")
+    by_high = Window.partitionBy("query_id").orderBy("high").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return found.withColumn("limit", F.nth_value("high", k).over(by_high)).filter("low <= limit").select("query_id", "point_id")
+
+
+def _measured(pairs: DataFrame, queries: DataFrame, points: DataFrame, schema: str) -> DataFrame:
+    """Exact distances of the surviving pairs, from full vectors."""
+    joined = pairs.join(points.withColumnRenamed("vec", "p"), "point_id").join(queries.withColumnRenamed("vec", "q"), "query_id")
+
+    def measure(batches):
+        for batch in batches:
+            if batch.num_rows:
+                q, p = matrix_of(batch.column(2)), matrix_of(batch.column(3))
+                every = np.arange(batch.num_rows)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0), batch.column(1), pa.array(_exact(q, p, every, every)), pa.array(np.ones(len(every), "int32"))],
+                    names=["query_id", "point_id", "distance", "rank"])
+
+    return joined.select("query_id", "point_id", "q", "p").mapInArrow(measure, schema)

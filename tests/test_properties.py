@@ -37,7 +37,7 @@ def blobs(spark, n=240, seed=1, hot=0.0):
     return spark.createDataFrame(rows, "id long, vec array<double>, y int, a double, b double, c double"), x, y
 
 
-@pytest.mark.parametrize("plan", ["points", "queries", "pivots"])
+@pytest.mark.parametrize("plan", ["points", "queries", "codes"])
 @pytest.mark.parametrize("hot", [0.0, 0.4])
 def test_knn_plans_equal_brute_force(spark, tuned, plan, hot):
     df, x, _ = blobs(spark, hot=hot)
@@ -46,8 +46,8 @@ def test_knn_plans_equal_brute_force(spark, tuned, plan, hot):
     if plan == "queries":
         queries, keep = df.filter("id < 30"), np.arange(30)
         tuned(broadcastRows=50)
-    if plan == "pivots":
-        tuned(broadcastRows=10, blockRows=25)
+    if plan == "codes":
+        tuned(broadcastRows=10, blockRows=5)
     got = neighbors.neighbors(queries, df, "id", "vec", 4, exclude_self=True)
     found = {(r["query_id"], r["rank"]): (r["point_id"], r["distance"]) for r in got.collect()}
     assert len(found) == 4 * len(keep)
