@@ -1,10 +1,11 @@
 """Model fits and scoring, evaluation and search, active selection."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from loomframe.catalog.registry import LI_ID_SQL, LI_KEY, query, r, rounded, table
 from loomframe.functions import arrays as A
-from loomframe.functions.keys import row_id
+from loomframe.functions.keys import hash_key, key_number, row_id
 from loomframe.operators import active as Q
 from loomframe.operators import bayes as B
 from loomframe.operators import linear as L
@@ -12,6 +13,7 @@ from loomframe.operators import scale as C
 from loomframe.operators import selection as V
 from loomframe.operators import split as D
 from loomframe.operators import trees as T
+from loomframe.operators.network import NetworkClassifier
 
 X = ["l_quantity", "l_discount", "l_tax"]
 LI = f"SELECT {LI_ID_SQL} AS rid, l_quantity AS a, l_discount AS b, l_tax AS c, l_extendedprice AS y, l_returnflag, l_linestatus FROM lineitem"
@@ -280,7 +282,46 @@ query("r24_histogram_boosting")(_boost("histogram", bins=64))
 @query("r25_mlp_classifier")
 def r25(spark, sf):
     df = _scaled(spark, sf)
-    return L.mlp_classifier(X, "l_returnflag", [6], 3, max_iter=10).fit(df).transform(df).select("rid", "prediction")
+    net = NetworkClassifier(X, "l_returnflag", [6], "rid", batch_size=16384, epochs=2, lr=0.01)
+    return net.fit(df).transform(df).select("rid", "prediction")
+
+
+# A network of two inputs, two hidden units and two classes; one Adam step over all rows as one batch.
+NET = [(np.array([[0.3, -0.2], [0.1, 0.4]]), np.array([-0.2137, 0.0103])), (np.array([[0.2, -0.3], [-0.1, 0.25]]), np.array([0.0, 0.05]))]
+NET_SQL = """WITH t AS (SELECT l_discount * 10 AS x1, l_quantity / 50 AS x2, (l_linestatus = 'F')::INT AS f, (l_linestatus = 'O')::INT AS o FROM lineitem),
+h AS (SELECT *, 0.3::DOUBLE * x1 + 0.1::DOUBLE * x2 - 0.2137::DOUBLE AS z1, -0.2::DOUBLE * x1 + 0.4::DOUBLE * x2 + 0.0103::DOUBLE AS z2 FROM t),
+a AS (SELECT *, greatest(z1, 0.01::DOUBLE * z1) AS a1, greatest(z2, 0.01::DOUBLE * z2) AS a2 FROM h),
+s AS (SELECT *, exp(0.2::DOUBLE * a1 - 0.1::DOUBLE * a2) AS e1, exp(-0.3::DOUBLE * a1 + 0.25::DOUBLE * a2 + 0.05::DOUBLE) AS e2 FROM a),
+d AS (SELECT *, e1 / (e1 + e2) - f AS d1, e2 / (e1 + e2) - o AS d2 FROM s),
+u AS (SELECT *, (0.2::DOUBLE * d1 - 0.3::DOUBLE * d2) * CASE WHEN z1 < 0 THEN 0.01::DOUBLE ELSE 1 END AS u1,
+             (-0.1::DOUBLE * d1 + 0.25::DOUBLE * d2) * CASE WHEN z2 < 0 THEN 0.01::DOUBLE ELSE 1 END AS u2 FROM d),
+g AS (SELECT unnest([0, 0, 0, 0, 0, 0, 1, 1, 1, 1, 1, 1])::INT AS layer, unnest([0, 0, 1, 1, 2, 2, 0, 0, 1, 1, 2, 2])::INT AS input,
+             unnest([0, 1, 0, 1, 0, 1, 0, 1, 0, 1, 0, 1])::INT AS output,
+             unnest([-0.2137, 0.0103, 0.3, -0.2, 0.1, 0.4, 0.0, 0.05, 0.2, -0.3, -0.1, 0.25])::DOUBLE AS w,
+             unnest([avg(u1), avg(u2), avg(x1 * u1), avg(x1 * u2), avg(x2 * u1), avg(x2 * u2),
+                     avg(d1), avg(d2), avg(a1 * d1), avg(a1 * d2), avg(a2 * d1), avg(a2 * d2)]) AS gradient FROM u)
+SELECT layer, input, output, round(w - 0.01::DOUBLE * gradient / (abs(gradient) + 1e-8::DOUBLE), 6) AS value, round(gradient, 6) AS gradient FROM g"""
+
+
+@query("r25_mlp_adam_step", NET_SQL)
+def r25_step(spark, sf):
+    df = _li(spark, sf).select("rid", "l_linestatus", (F.col("l_discount") * 10).alias("x1"), (F.col("l_quantity") / 50).alias("x2"))
+    net = NetworkClassifier(["x1", "x2"], "l_linestatus", [2], "rid", batch_size=1 << 40, epochs=1, lr=0.01, layers=NET).fit(df)
+    return rounded(net.parameters(spark), ["value", "gradient"])
+
+
+@query("r25_mlp_held_out", """SELECT count(*) AS n, TRUE AS loss_falls, TRUE AS beats_majority FROM lineitem
+WHERE ('0x' || substr(md5('42|' || l_orderkey || '-' || l_partkey || '-' || l_suppkey || '-' || l_linenumber), 1, 8))::BIGINT % 5 = 0""")
+def r25_held_out(spark, sf):
+    """A band of l_quantity as the label: no linear rule tells it, and the larger class holds less than nine tenths."""
+    number = key_number(hash_key(42, "rid"))
+    df = _li(spark, sf).withColumn("band", F.when(F.col("l_quantity").between(17, 34), "in").otherwise("out"))
+    df = C.standard_scale(df, X).transform(df)
+    aside = df.filter(number % 5 == 0)
+    net = NetworkClassifier(["l_quantity"], "band", [8], "rid", batch_size=max(64, df.count() // 8), epochs=12, lr=0.05)
+    losses = [h["loss"] for h in net.fit(df.filter(number % 5 != 0)).history]
+    right = F.avg((F.col("prediction") == F.col("band")).cast("double")) > F.greatest(F.avg((F.col("band") == "in").cast("double")), F.avg((F.col("band") == "out").cast("double"))) + 0.2
+    return net.transform(aside).agg(F.count("*").alias("n"), F.lit(losses[-1] < losses[0] / 2).alias("loss_falls"), right.alias("beats_majority"))
 
 
 COMMITTEE = """WITH v AS (SELECT o_orderkey, unnest([1, 2, 3]) AS model, o_totalprice AS t, (o_orderkey % 7)::DOUBLE AS u FROM orders),

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.classification import LinearSVC, LogisticRegression, MultilayerPerceptronClassifier
+from pyspark.ml.classification import LinearSVC, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression
@@ -135,7 +135,7 @@ def _linear(fit: Fitted, df: DataFrame) -> DataFrame:
 
 # gradient descent -------------------------------------------------------------------------------------
 
-def optimizer(name: str, lr: float | None = None):
+def optimizer(name: str, lr: float | None = None, eps: float = EPSILON):
     """A step function (params, gradient) -> params with its own zero state. Steps count from 1."""
     # Default rates and decay constants of the update rules.
     rates = {"sgd": 0.01, "adam": 0.001, "momentum": 0.01, "rmsprop": 0.001, "adagrad": 0.01, "adamax": 0.002, "nadam": 0.002}
@@ -155,19 +155,19 @@ def optimizer(name: str, lr: float | None = None):
             return w + memory["a"]
         if name == "rmsprop":
             memory["a"] = rho * memory["a"] + (1 - rho) * g * g
-            return w - lr * g / (np.sqrt(memory["a"]) + EPSILON)
+            return w - lr * g / (np.sqrt(memory["a"]) + eps)
         if name == "adagrad":
             memory["a"] = memory["a"] + g * g
-            return w - lr * g / (np.sqrt(memory["a"]) + EPSILON)
+            return w - lr * g / (np.sqrt(memory["a"]) + eps)
         memory["a"] = b1 * memory["a"] + (1 - b1) * g
         if name == "adamax":
             memory["b"] = np.maximum(b2 * memory["b"], np.abs(g))
-            return w - lr * memory["a"] / (memory["b"] + EPSILON)
+            return w - lr * memory["a"] / (memory["b"] + eps)
         memory["b"] = b2 * memory["b"] + (1 - b2) * g * g
         first, second = memory["a"] / (1 - b1 ** t), memory["b"] / (1 - b2 ** t)
         if name == "nadam":
             first = b1 * first + (1 - b1) * g
-        return w - lr * first / (np.sqrt(second) + EPSILON)
+        return w - lr * first / (np.sqrt(second) + eps)
 
     return step
 
@@ -327,12 +327,6 @@ def linear_svm(cols, label: str, reg: float = 0.01, max_iter: int = 100) -> _Sol
     return _Solved(LinearSVC(regParam=reg, maxIter=max_iter, standardization=False), cols, label)
 
 
-def mlp_classifier(cols, label: str, hidden, n_classes: int, max_iter: int = 100, seed: int = 42) -> _Solved:
-    """Feed-forward network (sigmoid layers, softmax output)."""
-    layers = [len(cols), *hidden, n_classes]
-    return _Solved(MultilayerPerceptronClassifier(layers=layers, maxIter=max_iter, seed=seed), cols, label)
-
-
 def softmax_score(df: DataFrame, cols, weights, bias, classes=None) -> DataFrame:
     """Add `probabilities` and `prediction` for given weights (p x classes) and bias."""
     w = np.asarray(weights, dtype=float)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomframe.catalog.registry import table
-from loomframe.operators import bayes, linear, neighbors, outliers, scale, selection, series, spectral, split, text, trees
+from loomframe.operators import bayes, linear, neighbors, network, outliers, scale, selection, series, spectral, split, text, trees
 from loomframe.operators import encode
 from loomframe.plans.ordering import Ordered
 from loomframe.plans.quantiles import quantiles
@@ -164,7 +164,7 @@ def test_forest_and_solvers_separate_the_classes(spark):
     cols = ["a", "b", "c"]
     models = [
         trees.RandomForest(cols, "y", n_trees=5, max_depth=3), linear.softmax_classifier(cols, "y", max_iter=20),
-        linear.linear_svm(cols, "y", max_iter=20), linear.mlp_classifier(cols, "y", [4], 2, 30),
+        linear.linear_svm(cols, "y", max_iter=20), network.NetworkClassifier(cols, "y", [4], "id", batch_size=60, epochs=10, lr=0.05),
     ]
     for model in models:
         hit = model.fit(df).transform(df).agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
