@@ -4,6 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from loomframe.catalog.registry import LI_ID_SQL, LI_KEY, query, r, rounded, table
+from loomframe.catalog.splits import poisson_sql
 from loomframe.functions import arrays as A
 from loomframe.functions.keys import hash_key, key_number, row_id
 from loomframe.operators import active as Q
@@ -259,10 +260,58 @@ def r18(spark, sf):
     return T.tree_score(_li(spark, sf), tree).select("rid", F.col("value")[0].alias("value"))
 
 
+# Three trees of depth two over l_quantity, l_discount and l_tax, whose values all have bins of their own; two features a node.
+_F = "['l_quantity', 'l_discount', 'l_tax']"
+
+
+def _level(k: int, rows: str) -> str:
+    """CTEs: the best split of every node of one level; `rows` has tree, node, w, a, b, c and the class counts ka, kn, kr (weights)."""
+    side = "1 - (pow({p}a / n{p}, 2) + pow({p}n / n{p}, 2) + pow({p}r / n{p}, 2))"
+    return f"""x{k} AS (SELECT tree, node, unnest([0, 1, 2]) AS f, unnest([a, b, c]) AS x, ka, kn, kr FROM {rows}),
+h{k} AS (SELECT tree, node, f, x, sum(ka) AS ka, sum(kn) AS kn, sum(kr) AS kr FROM x{k} GROUP BY ALL),
+k{k} AS (SELECT tree, node, f, row_number() OVER (PARTITION BY tree, node ORDER BY md5('42|' || tree || '|' || node || '|' || f)) AS chosen FROM (SELECT DISTINCT tree, node, f FROM h{k})),
+l{k} AS (SELECT h.*, sum(ka) OVER u AS la, sum(kn) OVER u AS ln, sum(kr) OVER u AS lr, sum(ka) OVER a AS ta, sum(kn) OVER a AS tn, sum(kr) OVER a AS tr
+  FROM h{k} h JOIN k{k} USING (tree, node, f) WHERE chosen <= 2 WINDOW u AS (PARTITION BY tree, node, f ORDER BY x), a AS (PARTITION BY tree, node, f)),
+m{k} AS (SELECT *, la + ln + lr AS nl, ta + tn + tr AS nt, ta + tn + tr - la - ln - lr AS nr, ta - la AS ra, tn - ln AS rn, tr - lr AS rr FROM l{k}),
+g{k} AS (SELECT *, {side.format(p='t')} - nl / nt * ({side.format(p='l')}) - nr / nt * ({side.format(p='r')}) AS gain FROM m{k} WHERE nl >= 1 AND nr >= 1),
+s{k} AS (SELECT tree, node, f, x AS threshold FROM g{k} QUALIFY row_number() OVER (PARTITION BY tree, node ORDER BY round(gain, 12) DESC, f, x) = 1)"""
+
+
+FOREST_SQL = f"""WITH t AS ({LI}),
+w AS (SELECT *, unnest([0, 1, 2]) AS tree FROM t),
+u AS (SELECT *, ('0x' || substr(md5('42|' || tree || '|' || rid), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM w),
+p AS (SELECT *, {{poisson}} AS w FROM u),
+r0 AS (SELECT rid, tree, 1 AS node, a, b, c, w * (l_returnflag = 'A')::DOUBLE AS ka, w * (l_returnflag = 'N')::DOUBLE AS kn, w * (l_returnflag = 'R')::DOUBLE AS kr FROM p),
+q0 AS (SELECT * FROM r0 WHERE ka + kn + kr > 0),
+{_level(0, "q0")},
+r1 AS (SELECT r0.* EXCLUDE (node), 2 + ([a, b, c][f + 1] > threshold)::INT AS node FROM r0 JOIN s0 USING (tree)),
+q1 AS (SELECT * FROM r1 WHERE ka + kn + kr > 0),
+{_level(1, "q1")},
+r2 AS (SELECT r1.* EXCLUDE (node), 2 * r1.node + ([a, b, c][f + 1] > threshold)::INT AS node FROM r1 JOIN s1 ON r1.tree = s1.tree AND r1.node = s1.node)"""
+
+
+@query("r19_random_forest_trees", FOREST_SQL.format(poisson=poisson_sql()) + f"""
+SELECT tree::INT AS tree, node::BIGINT AS node, {_F}[f + 1] AS feature, round(threshold, 6) AS threshold FROM s0
+UNION ALL SELECT tree::INT, node::BIGINT, {_F}[f + 1], round(threshold, 6) FROM s1""")
+def r19_trees(spark, sf):
+    fit = T.RandomForest(X, "l_returnflag", "rid", n_trees=3, max_depth=2, max_features=2).fit(_li(spark, sf))
+    return rounded(fit.table(spark).filter("feature IS NOT NULL").drop("weights"), ["threshold"])
+
+
+@query("r19_random_forest_scores", FOREST_SQL.format(poisson=poisson_sql()) + """,
+z AS (SELECT tree, node, sum(ka) / sum(ka + kn + kr) AS pa, sum(kn) / sum(ka + kn + kr) AS pn, sum(kr) / sum(ka + kn + kr) AS pr FROM r2 GROUP BY tree, node),
+o AS (SELECT rid, avg(pa) AS pa, avg(pn) AS pn, avg(pr) AS pr FROM r2 JOIN z USING (tree, node) GROUP BY rid)
+SELECT rid, CASE WHEN round(pa, 9) >= greatest(round(pn, 9), round(pr, 9)) THEN 'A' WHEN round(pn, 9) >= round(pr, 9) THEN 'N' ELSE 'R' END AS prediction, round(pa, 6) AS p0 FROM o""")
+def r19_scores(spark, sf):
+    df = _li(spark, sf)
+    out = T.RandomForest(X, "l_returnflag", "rid", n_trees=3, max_depth=2, max_features=2).fit(df).transform(df)
+    return out.select("rid", "prediction", r(F.col("probabilities")[0], 6).alias("p0"))
+
+
 @query("r19_random_forest_classifier")
 def r19(spark, sf):
     df = _split_input(spark, sf)
-    out = T.RandomForest(SF, "l_returnflag", n_trees=10, max_depth=4).fit(df).transform(df)
+    out = T.RandomForest(SF, "l_returnflag", "rid", n_trees=10, max_depth=4).fit(df).transform(df)
     return out.select("rid", "prediction", r(F.col("probabilities")[0], 4).alias("p0"))
 
 

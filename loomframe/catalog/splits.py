@@ -42,7 +42,7 @@ def d5(spark, sf):
     return D.stratified_kfold(_li(spark, sf), "rid", "l_returnflag", 5)
 
 
-def _poisson_sql():
+def poisson_sql():
     import math
     total, p, parts = 0.0, math.exp(-1.0), []
     for k in range(16):
@@ -55,7 +55,7 @@ def _poisson_sql():
 @query("d6_bootstrap", f"""
 WITH b AS (SELECT o_orderkey, unnest(range(4))::INT AS bag FROM orders),
 u AS (SELECT o_orderkey, bag, ('0x' || substr(md5('42|' || bag || '|' || o_orderkey), 1, 8))::BIGINT / 4294967296.0::DOUBLE AS u FROM b)
-SELECT o_orderkey, bag, {_poisson_sql()} AS weight FROM u WHERE {_poisson_sql()} > 0""")
+SELECT o_orderkey, bag, {poisson_sql()} AS weight FROM u WHERE {poisson_sql()} > 0""")
 def d6(spark, sf):
     return D.bootstrap(table(spark, sf, "orders").select("o_orderkey"), "o_orderkey", 4)
 

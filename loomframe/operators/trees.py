@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.ml.classification import RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.split import subsample
+from loomframe.plans.forest import Grown, grow_forest, leaves
 from loomframe.plans.levelwise import Node, Tree, best_of, grow, split_points, with_totals
 from loomframe.plans.runtime import cut_lineage
 
@@ -185,30 +185,54 @@ def tree_score(df: DataFrame, tree: DataFrame, out: str = "value") -> DataFrame:
 
 
 class RandomForest:
-    """Bagged trees with random features; the mean of the trees' probabilities decides."""
+    """Bagged trees with random features; the mean of the trees' probabilities decides.
 
-    def __init__(self, features, label: str, n_trees: int = 100, max_depth: int = 10, max_features: str = "sqrt",
-                 min_samples_leaf: int = 1, criterion: str = "gini", seed: int = 42, max_bins: int = 32):
+    A bag is a Poisson(1) weight per row and tree. Features are cut into at most `bins` bins (each value its own if there are
+    no more values), and a node looks at `max_features` of them. NULL goes right at every split.
+    """
+
+    def __init__(self, features, label: str, id_col: str, n_trees: int = 100, max_depth: int = 10, max_features="sqrt",
+                 min_samples_split: int = 2, min_samples_leaf: int = 1, criterion: str = "gini", seed: int = 42, bins: int = 64):
+        if criterion not in ("gini", "entropy"):
+            raise ValueError("criterion must be 'gini' or 'entropy'")
         self.__dict__.update(locals())
-        self.model = None
+        self.trees: list[Grown] = []
 
     def fit(self, df: DataFrame) -> "RandomForest":
-        self.classes = classes_of(df, self.label)
-        index = F.array_position(F.lit(self.classes), F.col(self.label)) - 1
-        data = VectorAssembler(inputCols=list(self.features), outputCol="_x").transform(
-            df.select(*self.features, index.cast("double").alias("_y")))
-        self.model = RandomForestClassifier(
-            featuresCol="_x", labelCol="_y", numTrees=self.n_trees, maxDepth=self.max_depth, impurity=self.criterion,
-            featureSubsetStrategy=self.max_features, minInstancesPerNode=self.min_samples_leaf,
-            subsamplingRate=1.0, seed=self.seed, maxBins=self.max_bins).fit(data)
+        require_numeric(df, self.features)
+        # the trees' leaves, which the driver holds, have a number for each class
+        found = df.select(self.label).filter(F.col(self.label).isNotNull()).distinct().orderBy(self.label)
+        self.classes = [r[0] for r in found.collect()]
+        code = F.array_position(F.lit(self.classes), F.col(self.label)) - 1
+        self.trees, self.edges = grow_forest(
+            df, self.features, code, len(self.classes), self.id_col, self.n_trees, self.max_depth, self.max_features,
+            self.min_samples_split, self.min_samples_leaf, self.criterion, self.bins, self.seed)
         return self
 
+    def table(self, spark) -> DataFrame:
+        """A row per node: tree, node (1 is the root, 2 n and 2 n + 1 are the children of n), feature, threshold, class weights."""
+        rows = [(t, g.heap[i], self.features[g.feature[i]] if g.feature[i] >= 0 else None,
+                 float(self.edges[g.feature[i]][g.code[i]]) if g.feature[i] >= 0 else None, [float(v) for v in g.weights[i]])
+                for t, g in enumerate(self.trees) for i in range(len(g.feature))]
+        return spark.createDataFrame(rows, "tree int, node long, feature string, threshold double, weights array<double>")
+
     def transform(self, df: DataFrame) -> DataFrame:
-        data = VectorAssembler(inputCols=list(self.features), outputCol="_x").transform(df)
-        out = self.model.setPredictionCol("_p").setProbabilityCol("_pr").setRawPredictionCol("_r").transform(data)
-        return (out.withColumn("probabilities", vector_to_array("_pr"))
-                .withColumn("prediction", F.element_at(F.lit(self.classes), F.col("_p").cast("int") + 1))
-                .drop("_x", "_p", "_pr", "_r"))
+        """Add `probabilities` (classes in sorted order) and `prediction`."""
+        walks = []
+        for g in self.trees:
+            feature, code, left, right = g.arrays()
+            limit = np.array([self.edges[f][c] if f >= 0 else 0.0 for f, c in zip(feature, code)])
+            weights = np.array(g.weights)
+            walks.append(((feature, limit, left, right), weights / np.maximum(weights.sum(axis=1, keepdims=True), 1)))
+
+        @F.pandas_udf("array<double>")
+        def predict(*cols: pd.Series) -> pd.Series:
+            x = np.column_stack([c.to_numpy(dtype="float64") for c in cols])
+            return pd.Series(list(sum(p[leaves(arrays, x)] for arrays, p in walks) / len(walks)))
+
+        scored = df.withColumn("probabilities", predict(*[F.col(c).cast("double") for c in self.features]))
+        best = F.array_position("probabilities", F.array_max("probabilities")).cast("int")
+        return scored.withColumn("prediction", F.element_at(F.lit(self.classes), best))
 
 
 class Boosting:

@@ -163,7 +163,7 @@ def test_forest_and_solvers_separate_the_classes(spark):
     df, _, y = blobs(spark)
     cols = ["a", "b", "c"]
     models = [
-        trees.RandomForest(cols, "y", n_trees=5, max_depth=3), linear.softmax_classifier(cols, "y", max_iter=20),
+        trees.RandomForest(cols, "y", "id", n_trees=5, max_depth=3), linear.softmax_classifier(cols, "y", max_iter=20),
         linear.linear_svm(cols, "y", max_iter=20), network.NetworkClassifier(cols, "y", [4], "id", batch_size=60, epochs=10, lr=0.05),
     ]
     for model in models:
