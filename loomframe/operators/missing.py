@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -55,40 +54,31 @@ def _fill(fit: Fitted, df: DataFrame) -> DataFrame:
 def knn_impute(df: DataFrame, id_col: str, cols, k: int = 5, weights: str = "uniform") -> DataFrame:
     """Fill missing cells by the mean over the k nearest complete rows.
 
-    Distances use the columns the row has. Rows are handled per pattern of missing columns, so each
-    pattern is one neighbor search; rows without any value stay as they are.
+    Distances use the columns the row has; rows of all patterns of missing columns are searched in one join. Rows without
+    any value stay as they are.
     """
     if k < 1:
         raise ValueError("k must be positive")
     if weights not in ("uniform", "distance"):
         raise ValueError("weights must be 'uniform' or 'distance'")
     require_numeric(df, cols)
-    data = df.select(id_col, *[F.col(c).cast("double").alias(c) for c in cols])
-    pattern = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in cols])
-    patterns = [row[0] for row in data.select(pattern.alias("p")).distinct().collect()]
-    full, none = "0" * len(cols), "1" * len(cols)
-    if full not in patterns:
+    values = [F.col(c).cast("double") for c in cols]
+    data = df.select(F.col(id_col).alias("id"), F.array(*values).alias("vec"))
+    lost = F.size(F.filter("vec", lambda v: v.isNull()))
+    sizes = data.agg(F.count_if(lost == 0).alias("complete"), F.count_if((lost > 0) & (lost < len(cols))).alias("partly")).first()
+    if sizes["complete"] == 0:
         raise ValueError("no complete rows to learn from")
-    complete = data.filter(pattern == full)
-    fills = []
-    for p in sorted(set(patterns) - {full, none}):
-        seen = [c for c, flag in zip(cols, p) if flag == "0"]
-        lost = [c for c, flag in zip(cols, p) if flag == "1"]
-        near = knn_join(
-            data.filter(pattern == p).select(F.col(id_col).alias("query_id"), F.array(*seen).alias("vec")),
-            complete.select(F.col(id_col).alias("point_id"), F.array(*seen).alias("vec")), k)
-        values = complete.select(F.col(id_col).alias("point_id"), *lost)
-        w = F.lit(1.0) if weights == "uniform" else 1.0 / (F.col("distance") + FLOAT_EPS)
-        fills.append(
-            near.join(values, "point_id").groupBy("query_id")
-            .agg(*[(F.sum(w * F.col(c)) / F.sum(w)).alias(f"_f_{c}") for c in lost])
-            .select("query_id", *[F.col(f"_f_{c}") if c in lost else F.lit(None).cast("double").alias(f"_f_{c}")
-                                  for c in cols]))
-    if not fills:
+    if sizes["partly"] == 0:
         return df
-    filled = reduce(DataFrame.unionByName, fills)
+    complete = data.filter(lost == 0).withColumnRenamed("id", "point_id")
+    partly = data.filter((lost > 0) & (lost < len(cols))).withColumnRenamed("id", "query_id")
+    near = knn_join(partly, complete, k, n_queries=sizes["partly"], n_points=sizes["complete"], masked=True)
+    w = F.lit(1.0) if weights == "uniform" else 1.0 / (F.col("distance") + FLOAT_EPS)
+    filled = near.join(complete, "point_id").groupBy("query_id").agg(
+        *[(F.sum(w * F.col("vec")[i]) / F.sum(w)).alias(f"_f_{i}") for i in range(len(cols))])
     joined = df.join(filled, df[id_col] == filled["query_id"], "left").drop("query_id")
-    return joined.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_f_{c}")).alias(c) if c in cols else F.col(c)
+    place = {c: i for i, c in enumerate(cols)}
+    return joined.select(*[F.coalesce(F.col(c).cast("double"), F.col(f"_f_{place[c]}")).alias(c) if c in place else F.col(c)
                            for c in df.columns])
 
 

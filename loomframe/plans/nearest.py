@@ -40,29 +40,37 @@ def matrix_of(column) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(n, -1)
 
 
-def _exact(q: np.ndarray, p: np.ndarray, rows: np.ndarray, cols: np.ndarray) -> np.ndarray:
+def _exact(q: np.ndarray, p: np.ndarray, rows: np.ndarray, cols: np.ndarray, seen: np.ndarray | None = None) -> np.ndarray:
     out = np.empty(len(rows))
     step = max(1, CHUNK // max(q.shape[1], 1))
     for s in range(0, len(rows), step):
         d = q[rows[s:s + step]] - p[cols[s:s + step]]
+        if seen is not None:
+            d *= seen[rows[s:s + step]]
         out[s:s + step] = np.sqrt((d * d).sum(axis=1))
     return out
 
 
-def top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None = None):
+def top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None = None, masked: bool = False):
     """(row, column, distance) of the k nearest p of each q, ties by the order of p.
 
     A matrix product gives candidates with a margin for its rounding error; their order is
-    decided by distances computed directly.
+    decided by distances computed directly. Masked rows of q hold NaN where they have no value: their distances are over
+    the values they have, which is a second product, of the masks with the squares of p.
     """
     parts = []
+    seen = None
+    if masked:
+        seen = (~np.isnan(q)).astype(float)
+        q = np.where(np.isnan(q), 0.0, q)
     p2 = (p * p).sum(axis=1)
     margin_base = 1e-9 * (1.0 + (p2.max() if len(p2) else 0.0))
     step = max(1, CHUNK // max(len(p), 1))
     for s in range(0, len(q), step):
         qs = q[s:s + step]
         q2 = (qs * qs).sum(axis=1)
-        d2 = q2[:, None] + p2[None, :] - 2.0 * (qs @ p.T)
+        own_p2 = p2[None, :] if seen is None else seen[s:s + step] @ (p * p).T
+        d2 = q2[:, None] + own_p2 - 2.0 * (qs @ p.T)
         if skip is not None:
             own = skip[s:s + step]
             hit = np.nonzero(own >= 0)[0]
@@ -74,7 +82,7 @@ def top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None = None):
             mask = np.ones(d2.shape, dtype=bool)
         mask &= np.isfinite(d2)
         rows, cols = np.nonzero(mask)
-        dist = _exact(qs, p, rows, cols)
+        dist = _exact(qs, p, rows, cols, None if seen is None else seen[s:s + step])
         order = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         starts = np.searchsorted(rows, np.arange(len(qs)))
@@ -122,8 +130,12 @@ def _merge(partial: DataFrame, k: int) -> DataFrame:
 
 
 def knn_join(queries: DataFrame, points: DataFrame, k: int, metric: str = "euclidean",
-             exclude_self: bool = False, n_queries: int | None = None, n_points: int | None = None) -> DataFrame:
-    """Rows (query_id, point_id, distance, rank 1..k) for queries (query_id, vec) and points (point_id, vec)."""
+             exclude_self: bool = False, n_queries: int | None = None, n_points: int | None = None,
+             masked: bool = False) -> DataFrame:
+    """Rows (query_id, point_id, distance, rank 1..k) for queries (query_id, vec) and points (point_id, vec).
+
+    Masked queries may hold NULL values; each one's distances are over the values it has.
+    """
     if metric != "euclidean":
         raise ValueError(f"unsupported metric {metric!r}")
     queries = queries.select("query_id", F.col("vec").cast("array<double>").alias("vec"))
@@ -135,14 +147,16 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metric: str = "eucli
     schema = _schema(queries, points)
     local = local_matrix(points, "point_id", n_points)
     if local is not None:
-        return _points_broadcast(queries, local, k, exclude_self, n_queries, schema)
+        return _points_broadcast(queries, local, k, exclude_self, n_queries, schema, masked)
     local = local_matrix(queries, "query_id", n_queries)
     if local is not None:
-        return _merge(_queries_broadcast(points, local, k, exclude_self, schema), k)
+        return _merge(_queries_broadcast(points, local, k, exclude_self, schema, masked), k)
+    if masked:  # the nearest by some values need not be near by all, so no group of points can be left out
+        return _merge(_block_join(queries, points, k, exclude_self, n_queries, n_points, schema), k)
     return _merge(_measured(survivors(queries, points, k, exclude_self, n_points), queries, points, schema), k)
 
 
-def _points_broadcast(queries, local, k, exclude_self, n_queries, schema):
+def _points_broadcast(queries, local, k, exclude_self, n_queries, schema, masked=False):
     shared = queries.sparkSession.sparkContext.broadcast(local)
 
     def search(batches):
@@ -153,7 +167,7 @@ def _points_broadcast(queries, local, k, exclude_self, n_queries, schema):
                 continue
             q = matrix_of(batch.column(1))
             own = index.get_indexer(batch.column(0).to_pandas()) if exclude_self else None
-            rows, cols, dist, rank = top_k(q, p, k, own)
+            rows, cols, dist, rank = top_k(q, p, k, own, masked)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), pa.array(ids[cols]), pa.array(dist),
                  pa.array(rank.astype("int32"))],
@@ -162,7 +176,7 @@ def _points_broadcast(queries, local, k, exclude_self, n_queries, schema):
     return spread(queries, "query_id", n_queries).mapInArrow(search, schema)
 
 
-def _queries_broadcast(points, local, k, exclude_self, schema):
+def _queries_broadcast(points, local, k, exclude_self, schema, masked=False):
     shared = points.sparkSession.sparkContext.broadcast(local)
 
     def search(batches):
@@ -175,7 +189,7 @@ def _queries_broadcast(points, local, k, exclude_self, schema):
             order = np.argsort(ids, kind="stable")
             ids, p = ids[order], matrix_of(batch.column(1))[order]
             own = pd.Index(ids).get_indexer(pd.Index(qids)) if exclude_self else None
-            rows, cols, dist, _ = top_k(q, p, k, own)
+            rows, cols, dist, _ = top_k(q, p, k, own, masked)
             found = pd.DataFrame({"row": rows, "point_id": ids[cols], "distance": dist})
             best = found if best is None else pd.concat([best, found])
             best = best.sort_values(["row", "distance", "point_id"]).groupby("row", sort=False).head(k)
@@ -188,6 +202,28 @@ def _queries_broadcast(points, local, k, exclude_self, schema):
     return points.mapInArrow(search, schema)
 
 
+def _block_join(queries, points, k, exclude_self, n_queries, n_points, schema):
+    """Every block of masked queries meets every block of points; k rows per query leave a block."""
+    block = limit_of(queries.sparkSession, BLOCK_ROWS)
+    q_blocks, p_blocks = max(1, -(-n_queries // block)), max(1, -(-n_points // block))
+    qs = (queries.withColumn("qb", F.pmod(F.xxhash64("query_id"), F.lit(q_blocks)))
+          .withColumn("pb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(p_blocks - 1).cast("long")))))
+    pts = (points.withColumn("pb", F.pmod(F.xxhash64("point_id"), F.lit(p_blocks)))
+           .withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(q_blocks - 1).cast("long")))))
+
+    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        if left.empty or right.empty:
+            return pd.DataFrame({"query_id": [], "point_id": [], "distance": [], "rank": []})
+        right = right.sort_values("point_id")
+        ids = right["point_id"].to_numpy()
+        own = pd.Index(ids).get_indexer(left["query_id"]) if exclude_self else None
+        q = np.array([[np.nan if v is None else v for v in row] for row in left["vec"]], dtype=float)
+        rows, cols, dist, rank = top_k(q, np.stack(right["vec"]), k, own, masked=True)
+        return pd.DataFrame({"query_id": left["query_id"].to_numpy()[rows], "point_id": ids[cols], "distance": dist, "rank": rank.astype("int32")})
+
+    return qs.groupBy("qb", "pb").cogroup(pts.groupBy("qb", "pb")).applyInPandas(search, schema)
+
+
 def levels_of(sample: np.ndarray) -> np.ndarray:
     """LEVELS values per dimension, a row each, at equal shares of the sample."""
     return np.quantile(sample, (np.arange(LEVELS) + 0.5) / LEVELS, axis=0).T.copy()
