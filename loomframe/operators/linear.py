@@ -19,6 +19,7 @@ from loomframe.operators.fitted import Fitted, transform_of
 from loomframe.plans.runtime import require_columns
 
 BUILTIN_MOMENTS = 20  # up to this many columns the moments are built-in aggregates
+BLOCK = 512  # columns of one block of a covariance matrix, 2 MB
 
 
 @dataclass
@@ -45,7 +46,11 @@ class Moments:
 
 
 def moments(df: DataFrame, cols, by: str | None = None) -> dict:
-    """Moments of complete rows, per value of `by` (key None without it). One aggregation, p^2 / 2 numbers."""
+    """Moments of complete rows, per value of `by` (key None without it). One aggregation, p^2 / 2 numbers.
+
+    Many columns: each partition's covariance is cut into blocks, which executors merge in two rounds, by about the root of
+    the number of partitions; a row per key and block reaches the driver, whatever the number of partitions.
+    """
     require_columns(df, cols)
     p = len(cols)
     keys = [by] if by else []
@@ -62,27 +67,69 @@ def moments(df: DataFrame, cols, by: str | None = None) -> dict:
             cov = np.array([[r[f"c{min(i, j)}_{max(i, j)}"] for j in range(p)] for i in range(p)], dtype=float)
             out[r[by] if by else None] = Moments(r["n"], np.array([r[f"m{i}"] for i in range(p)], dtype=float), cov)
         return out
-    kind = f"k {df.schema[by].dataType.simpleString()}, " if by else ""
+    return _blocked_moments(data, p, by)
+
+
+def _blocked_moments(data: DataFrame, p: int, by: str | None) -> dict:
+    names = [f"_{i}" for i in range(p)]
+    key = data.schema[by].dataType.simpleString() if by else "int"
+    cuts = list(range(0, p, BLOCK))
+
+    def blocks(key, m: Moments) -> pd.DataFrame:
+        at = [(i, j) for i in cuts for j in cuts if i <= j]
+        return pd.DataFrame({
+            "k": [key] * len(at), "i": [i for i, _ in at], "j": [j for _, j in at], "n": [float(m.n)] * len(at),
+            "mean_i": [m.mean[i:i + BLOCK] for i, _ in at], "mean_j": [m.mean[j:j + BLOCK] for _, j in at],
+            "cov": [m.cov[i:i + BLOCK, j:j + BLOCK].ravel() for i, j in at]})
 
     def partial(batches):
         acc: dict = {}
         for pdf in batches:
-            parts = pdf.groupby(by, sort=False) if by else [(None, pdf)]
+            parts = pdf.groupby(by, sort=False, dropna=False) if by else [(0, pdf)]
             for key, part in parts:
-                x = part[[f"_{i}" for i in range(p)]].to_numpy(dtype="float64")
+                x = part[names].to_numpy(dtype="float64")
                 if len(x):
                     m = Moments(len(x), x.mean(axis=0), np.cov(x, rowvar=False, bias=True).reshape(p, p))
                     acc[key] = acc[key] + m if key in acc else m
         for key, m in acc.items():
-            row = {"n": [float(m.n)], "mean": [m.mean], "cov": [m.cov.ravel()]}
-            yield pd.DataFrame({"k": [key], **row} if by else row)
-
-    out = {}
-    # one short row per partition and key
-    for r in data.mapInPandas(partial, kind + "n double, mean array<double>, cov array<double>").toLocalIterator():
-        key = r["k"] if by else None
-        m = Moments(r["n"], np.array(r["mean"]), np.array(r["cov"]).reshape(p, p))
-        out[key] = out[key] + m if key in out else m
+            yield blocks(key, m)
+
+    def merged(batches):
+        """Sums of blocks that come sorted by key and place, one at a time."""
+        held, last = None, None
+        for pdf in batches:
+            for k, i, j, n, a, b, cov in zip(*(pdf[c] for c in ("k", "i", "j", "n", "mean_i", "mean_j", "cov"))):
+                now = (None if pd.isna(k) else k, i, j)
+                if last is not None and now != last:
+                    yield row(last, held)
+                    held = None
+                last, cov = now, cov.reshape(len(a), len(b))
+                if held is None:
+                    held = [n, a.copy(), b.copy(), cov.copy()]
+                    continue
+                total = held[0] + n
+                to, da, db = n / total, a - held[1], b - held[2]
+                held[3] += (cov - held[3]) * to + np.outer(da, db) * to * (1 - to)
+                held[0], held[1], held[2] = total, held[1] + da * to, held[2] + db * to
+        if last is not None:
+            yield row(last, held)
+
+    def row(place, held):
+        return pd.DataFrame({"k": [place[0]], "i": [place[1]], "j": [place[2]], "n": [held[0]], "mean_i": [held[1]],
+                             "mean_j": [held[2]], "cov": [held[3].ravel()]})
+
+    schema = f"k {key}, i int, j int, n double, mean_i array<double>, mean_j array<double>, cov array<double>"
+    slots = max(1, int(data.rdd.getNumPartitions() ** 0.5))
+    parts = data.mapInPandas(partial, schema).withColumn("slot", F.spark_partition_id() % slots)
+    parts = parts.repartition("k", "i", "j", "slot").sortWithinPartitions("k", "i", "j", "slot").drop("slot").mapInPandas(merged, schema)
+    parts = parts.repartition("k", "i", "j").sortWithinPartitions("k", "i", "j").mapInPandas(merged, schema)
+    out: dict = {}
+    for r in parts.toLocalIterator():
+        m = out.setdefault(r["k"] if by else None, Moments(r["n"], np.zeros(p), np.zeros((p, p))))
+        i, j = r["i"], r["j"]
+        cov = np.array(r["cov"]).reshape(len(r["mean_i"]), len(r["mean_j"]))
+        m.mean[i:i + BLOCK], m.mean[j:j + BLOCK] = r["mean_i"], r["mean_j"]
+        m.cov[i:i + BLOCK, j:j + BLOCK], m.cov[j:j + BLOCK, i:i + BLOCK] = cov, cov.T
     return out
 
 
