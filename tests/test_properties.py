@@ -164,7 +164,7 @@ def test_forest_and_solvers_separate_the_classes(spark):
     cols = ["a", "b", "c"]
     models = [
         trees.RandomForest(cols, "y", "id", n_trees=5, max_depth=3), linear.softmax_classifier(cols, "y", max_iter=20),
-        linear.linear_svm(cols, "y", max_iter=20), network.NetworkClassifier(cols, "y", [4], "id", batch_size=60, epochs=10, lr=0.05),
+        linear.linear_svm(cols, "y", max_iter=20), network.NetworkClassifier(cols, "y", [4], "id", batch_size=60, epochs=30, lr=0.05),
     ]
     for model in models:
         hit = model.fit(df).transform(df).agg(F.avg((F.col("prediction") == F.col("y")).cast("double"))).first()[0]
