@@ -107,7 +107,8 @@ def target_encode(df: DataFrame, cols, target: str, smoothing: float = 10.0, suf
     mean = df.agg(F.avg(y).alias("g")).first()["g"]
     tables = {}
     for c in cols:
-        code = (F.sum(y) + F.lit(smoothing * mean)) / (F.count(y) + F.lit(float(smoothing)))
+        # without any target all codes are NULL
+        code = (F.sum(y) + F.lit(smoothing) * F.lit(mean).cast("double")) / (F.count(y) + F.lit(float(smoothing)))
         tables[c] = settle(df.groupBy(F.col(c).alias("category")).agg(code.alias("code")))
     return Fitted("lookup", {"columns": {c: mean for c in cols}, "suffix": suffix}, tables)
 

@@ -251,6 +251,7 @@ def gradient_fit(df: DataFrame, cols, label: str, loss: str = "elastic_net", met
         return _descend_moments(df, cols, label, method, lr, max_iter, tol, alpha, l1_ratio, validation, patience)
     if loss not in ("softmax", "hinge"):
         raise ValueError("loss must be elastic_net, softmax or hinge")
+    df = df.filter(F.col(label).isNotNull())
     classes = [r[0] for r in df.select(label).distinct().orderBy(label).collect()]
     if loss == "softmax":
         index = (F.array_position(F.lit(classes), F.col(label)) - 1).cast("double")
@@ -344,6 +345,7 @@ class _Solved:
         return VectorAssembler(inputCols=self.cols, outputCol="_x").transform(df)
 
     def fit(self, df: DataFrame):
+        df = df.filter(F.col(self.label).isNotNull())
         self.classes = [r[0] for r in df.select(self.label).distinct().orderBy(self.label).collect()]
         index = (F.array_position(F.lit(self.classes), F.col(self.label)) - 1).cast("double")
         self.model = self.estimator.setFeaturesCol("_x").setLabelCol("_y").fit(

@@ -100,15 +100,15 @@ def information_gain(df: DataFrame, label: str, split: str, kind: str = "entropy
 # curves -----------------------------------------------------------------------------------------------
 
 def _threshold_counts(df: DataFrame, label: str, score: str) -> DataFrame:
-    """Per distinct score ascending: positives and negatives at or above it, and the totals."""
+    """Per distinct score ascending: positives and negatives at or above it, and the totals; NULL labels are neither."""
     counts = df.groupBy(F.col(score).cast("double").alias("threshold")).agg(
         F.count_if(F.col(label) == 1).alias("pos"), F.count_if(F.col(label) == 0).alias("neg"),
         F.count("*").alias("n"))
-    totals = df.agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count("*").alias("n_all")).first()
+    totals = df.agg(F.count_if(F.col(label) == 1).alias("n_pos"), F.count_if(F.col(label) == 0).alias("n_neg"),
+                    F.count("*").alias("n_all")).first()
     ordered = Ordered(counts, [], [F.col("threshold")], F.col("threshold"), totals["n_all"], derived=True)
     run = ordered.running(reverse=True, tp=("sum", F.col("pos")), fp=("sum", F.col("neg")))
-    n_pos = totals["n_pos"]
-    return run.rows().withColumn("n_pos", F.lit(n_pos)).withColumn("n_neg", F.lit(totals["n_all"] - n_pos))
+    return run.rows().withColumn("n_pos", F.lit(totals["n_pos"])).withColumn("n_neg", F.lit(totals["n_neg"]))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
