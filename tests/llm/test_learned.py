@@ -47,7 +47,8 @@ def test_temperature_is_that_of_the_scores():
 
 
 def test_folding():
-    assert fold("  L0S3R​!! Ｓｔúpid, пате") == " ioseri stupid nate " or fold("L0S3R") == " ioser "
+    assert fold("  L0S3R​!! Ｓｔúpid, пате").startswith(" ioser stupid ")
+    assert fold("L0S3R") == " ioser "
     assert fold("tr4sh Тrаsh") == " trash trash " and fold("") == " "
 
 
