@@ -5,12 +5,21 @@ from __future__ import annotations
 import html as entities
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
+from collections.abc import Iterator
 from functools import lru_cache
 
-TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.DOTALL)
+TAG = re.compile(r"""<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>"']++|"[^"]*+"|'[^']*+'|["'])*+)>""", re.DOTALL)
+NAME = re.compile(r"</?[a-zA-Z][a-zA-Z0-9:-]*+")
+MARKS = re.compile(r"[>\"']")
 # Content that is never text of the page (annotations are a formula's source, which browsers do not show).
 RAW = frozenset("script style noscript template textarea title iframe svg annotation annotation-xml object canvas audio video".split())
+# Those that hide the rest of the page if nothing closes them; the others are passed over.
+HIDES_REST = frozenset("script style noscript template textarea title iframe".split())
+# Numbers of characters: leading zeros say nothing, eight digits are beyond every character.
+ZEROS = re.compile(r"&#(x?)0++(?=[0-9a-f])", re.IGNORECASE)
+BEYOND = re.compile(r"&#(?:[0-9]{8,}+|x[0-9a-f]{8,}+);?", re.IGNORECASE)
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 BLOCK = frozenset("""address article aside blockquote body button caption center dd details dialog dir div dl dt fieldset figcaption
 figure footer form h1 h2 h3 h4 h5 h6 head header hgroup html label legend li main menu nav ol optgroup option p pre section select
@@ -22,6 +31,56 @@ CLOSES = {"li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl
 INLINE_IN_P = frozenset({"button", "label", "select", "option", "optgroup", "legend"})
 
 
+class Tags:
+    """Tags of a page by place, in time linear in its length whatever it holds.
+
+    `TAG` decides. Once a tag was found that nothing ends, the places where tags end are worked out for the whole page
+    from the back: an end is the first `>` outside quotes, and a quote that nothing closes is an ordinary character.
+    """
+
+    def __init__(self, source: str):
+        self.source, self.last = source, source.rfind(">")
+        self._places: list[int] | None = None
+        self._ends: list[int] = []
+
+    def match(self, at: int):
+        """The tag that starts here, or None."""
+        if self._places is not None and not self._ended(at):
+            return None
+        if at > self.last and not self.source.startswith("<!--", at):
+            return None
+        found = TAG.match(self.source, at)
+        if found is None and self._places is None and NAME.match(self.source, at):
+            self._work_out()
+        return found
+
+    def _ended(self, at: int) -> bool:
+        name = NAME.match(self.source, at)
+        if name is None:
+            return True  # no tag of this kind, TAG says at once
+        k = bisect_left(self._places, name.end())
+        return k < len(self._places) and self._ends[k] >= 0
+
+    def _work_out(self):
+        self._places = [m.start() for m in MARKS.finditer(self.source)]
+        self._ends = [-1] * (len(self._places) + 1)  # by mark: where a tag ends that reads it outside quotes
+        following = {}
+        for k in range(len(self._places) - 1, -1, -1):
+            mark = self.source[self._places[k]]
+            if mark == ">":
+                self._ends[k] = self._places[k]
+            else:
+                self._ends[k] = self._ends[following.get(mark, k) + 1]
+                following[mark] = k
+
+
+def unescaped(text: str) -> str:
+    """Character references decoded; numbers of any length, beyond the characters the replacement character."""
+    if "&#" in text:
+        text = BEYOND.sub("\ufffd", ZEROS.sub(r"&#\1", text))
+    return entities.unescape(text)
+
+
 class Page:
     """Nodes in page order: node 0 is the root, a parent comes before its children, `#text` nodes are text blocks."""
 
@@ -39,50 +98,54 @@ class Page:
 
     def _flush(self):
         if self._chars:
-            text = " ".join(entities.unescape("".join(self._chars)).split())
+            text = " ".join(unescaped("".join(self._chars)).split())
             if text:
                 self._node("#text", text=text, linked=min(len(text), self._linked))
             self._chars, self._linked = [], 0
 
     def _pop(self):
-        tag = self.tags[self._stack.pop()]
-        self._open[tag] -= 1
+        self._open[self.tags[self._stack.pop()]].pop()
 
     def _close_group(self, names, bounds):
         """Close the nearest open element of these names, if no bound lies above it."""
-        if not any(self._open.get(n) for n in names):
-            return
-        for i in range(len(self._stack) - 1, 0, -1):
-            tag = self.tags[self._stack[i]]
-            if tag in names:
-                while len(self._stack) > i:
-                    self._pop()
-                return
-            if tag in bounds:
-                return
+        nearest = max((self._open[n][-1] for n in names if self._open.get(n)), default=0)
+        if nearest > max((self._open[n][-1] for n in bounds if self._open.get(n)), default=0):
+            while len(self._stack) > nearest:
+                self._pop()
 
     def _read(self, source):
-        at, size = 0, len(source)
+        at, look, size, tags, unclosed = 0, 0, len(source), Tags(source), set()
         while at < size:
-            m = TAG.search(source, at)
-            if m is None:
+            start = source.find("<", look)
+            if start < 0:
                 self._text(source[at:])
                 break
-            if m.start() > at:
-                self._text(source[at:m.start()])
-            at = m.end()
+            m = tags.match(start)
+            if m is None:
+                look = start + 1
+                continue
+            if start > at:
+                self._text(source[at:start])
+            at = look = m.end()
             if not m[2]:
                 continue
             tag = m[2].lower()
             if m[1]:
                 self._end(tag)
             elif tag in RAW:
-                if not m[3].endswith("/"):
-                    close = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(source, at)
-                    at = close.end() if close else size
+                if not m[3].endswith("/") and tag not in unclosed:
+                    close = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(source, at, tags.last + 1)
+                    if close:
+                        at = look = close.end()
+                    elif tag in HIDES_REST:
+                        break
+                    else:
+                        unclosed.add(tag)
             elif tag == "a":
                 self._link = True
-            elif tag in ("br", "hr"):
+            elif tag == "br":
+                self._chars.append(" ")
+            elif tag == "hr":
                 self._flush()
             elif tag in BLOCK or "-" in tag:
                 self._start(tag, m[3])
@@ -104,8 +167,8 @@ class Page:
         if tag in CLOSES:
             self._close_group(*CLOSES[tag])
         self._node(tag, attrs)
+        self._open.setdefault(tag, []).append(len(self._stack))
         self._stack.append(len(self.tags) - 1)
-        self._open[tag] = self._open.get(tag, 0) + 1
 
     def _end(self, tag):
         if tag == "a":
@@ -160,7 +223,7 @@ SELF, ABOVE = NUMBERS + len(KINDS) + 1 + len(WITHIN), NUMBERS + len(KINDS) + 1 +
 WIDTH = ABOVE + len(MEANINGS)
 
 
-def features(page: Page) -> list[tuple[list[float], set[int]]]:
+def features(page: Page) -> Iterator[tuple[list[float], set[int]]]:
     """For every node but the root: its numbers, and the positions of its yes/no features."""
     tags, parents, n = page.tags, page.parents, len(page.tags)
     chars, linked, below, blocks, marks, paras, items, inputs, first = ([0] * n for _ in range(9))
@@ -186,7 +249,7 @@ def features(page: Page) -> list[tuple[list[float], set[int]]]:
         paras[p] += paras[i]
         items[p] += items[i]
         inputs[p] += inputs[i]
-    depth, above, within, out = [0] * n, [frozenset()] * n, [frozenset()] * n, []
+    depth, above, within = [0] * n, [frozenset()] * n, [frozenset()] * n
     log, whole, total = math.log1p, max(1, chars[0]), max(1, number)
     place = [0] * n
     longest = [0] * n
@@ -211,5 +274,4 @@ def features(page: Page) -> list[tuple[list[float], set[int]]]:
         yes.update(NUMBERS + len(KINDS) + 1 + WITHIN.index(t) for t in within[i])
         yes.update(SELF + m for m in own)
         yes.update(ABOVE + m for m in above[p])
-        out.append((numbers, yes))
-    return out
+        yield numbers, yes

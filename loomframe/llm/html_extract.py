@@ -9,8 +9,10 @@ element with the most paragraph text); each sampled page is also rebuilt with ot
 sidebars and comments made of its own sentences, so that the trees learn from more layouts than the corpus shows.
 
 Nulls and edge cases: a null html is empty and gives the empty text. Broken markup is read as browsers do (open paragraphs end
-at the next block). Line breaks (<br>) end a block. Repeated rows give equal texts. Without any page the trees are empty and keep
-every block.
+at the next block; a tag that nothing ends is text; elements that only show media hide nothing if they are not closed). Line breaks
+(<br>) are white space inside their block. Very long pages are read whole, in time linear in their length, and their nodes are
+decided in blocks of NODES. Repeated rows give equal texts. Without any page the trees are empty and keep every block. Columns of
+the pages other than html are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from __future__ import annotations
 import random
 import re
 from dataclasses import dataclass
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -31,6 +34,8 @@ from loomframe.llm.dom import NUMBERS, WIDTH, Page, features
 # Pages that the trees are fitted on, and rebuilt forms of each.
 SAMPLE, FORMS = 300, 3
 TREES, DEPTH, RATE, BINS, LEAST = 40, 4, 0.25, 24, 20
+# Nodes whose features are held at a time.
+NODES = 20_000
 MAIN, NOISE = "data-main-text", "data-other-text"
 
 
@@ -92,7 +97,10 @@ def fit_trees(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> BoostedTrees:
 
 
 def matrix(pages: list[Page]) -> np.ndarray:
-    rows = [f for p in pages for f in features(p)]
+    return dense([f for p in pages for f in features(p)])
+
+
+def dense(rows: list) -> np.ndarray:
     x = np.zeros((len(rows), WIDTH), np.float32)
     if rows:
         x[:, : len(rows[0][0])] = [r[0] for r in rows]
@@ -230,17 +238,29 @@ def fit_extractor(pages: DataFrame, html_col: str = "html", sample: int = SAMPLE
     return BoostedTrees(np.stack(trees["feature"]).astype(np.int64), np.stack(trees["threshold"]), np.stack(trees["value"]), start)
 
 
+def odds_of(model: BoostedTrees, pages: list[Page]) -> np.ndarray:
+    """Log-odds of all nodes of the pages, a block of nodes at a time."""
+    rows = chain.from_iterable(features(p) for p in pages)
+    parts = [np.zeros(0)]
+    while block := list(islice(rows, NODES)):
+        parts.append(model.decision(dense(block)))
+    return np.concatenate(parts)
+
+
 def extract(model: BoostedTrees, sources: list[str | None]) -> list[str]:
-    """Main texts of pages, some at a time."""
-    out = []
-    for a in range(0, len(sources), 64):
-        pages = [Page(s or "") for s in sources[a:a + 64]]
-        odds = model.decision(matrix(pages))
-        at = 0
+    """Main texts of pages; small ones are decided together."""
+    out, pages, nodes = [], [], 0
+    for k, source in enumerate(sources, 1):
+        pages.append(Page(source or ""))
+        nodes += len(pages[-1].tags) - 1
+        if nodes < NODES and k < len(sources):
+            continue
+        odds, at = odds_of(model, pages), 0
         for page in pages:
             n = len(page.tags) - 1
             out.append("\n".join(page.texts[i] for i in decode(page, odds[at:at + n])))
             at += n
+        pages, nodes = [], 0
     return out
 
 
