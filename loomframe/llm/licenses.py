@@ -4,8 +4,9 @@ A text that holds none of the gate words is not searched further; of the others,
 keywords occurs. All matches are sorted by start (the longer, then the higher priority first), and a detection is suppressed if it
 lies within another one of the same or a higher priority. Detections that overlap otherwise all stay.
 
-Nulls and edge cases: a null text is empty and has no word and no detection. Null ids and repeated rows are kept. A text
-with very many matches costs time in proportion to them, but for the copying of short arrays.
+Nulls and edge cases: a null text is empty and has no word and no detection. Null ids and repeated rows are kept, an empty table
+gives none. Very long texts are read whole; matches are gathered in blocks, so a text with very many costs time in proportion to
+them. Extra columns stay out of the result unless they are named in `keep`, and may have any name.
 """
 
 from __future__ import annotations
@@ -25,28 +26,44 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 CONFIDENCE = {1: 0.95, 2: 0.8, 3: 0.5}
 
 SPAN = "struct<start:int,back:int,priority:int,rule:int,label:string>"
+# An append copies its array: spans are gathered in blocks of this size, and whole blocks in an array of blocks.
+BLOCK = 256
+
+
+def no_spans() -> list[Column]:
+    return [F.array().cast(f"array<array<{SPAN}>>").alias("blocks"), F.array().cast(f"array<{SPAN}>").alias("spans")]
+
+
+def gathered(state: Column, span: Column, taken: Column) -> list[Column]:
+    """The state's blocks and open block, with the span if it is taken."""
+    full = taken & (F.size(state["spans"]) >= BLOCK)
+    return [F.when(full, F.array_append(state["blocks"], state["spans"])).otherwise(state["blocks"]).alias("blocks"),
+            F.when(full, F.array(span)).when(taken, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans")]
+
+
+def all_spans(state: Column) -> Column:
+    return F.flatten(F.array_append(state["blocks"], state["spans"]))
 
 
 def spans_of(text: Column, rule: Column) -> Column:
     """All matches of a rule: texts between matches and matches, laid end to end, give the places."""
     parts = F.zip_with(F.split(text, rule["pattern"]), F.regexp_extract_all(text, rule["pattern"], F.lit(0)),
                        lambda gap, found: F.struct(F.length(gap).alias("gap"), F.length(found).alias("size")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("spans"))
+    start = F.struct(F.lit(0).alias("at"), *no_spans())
 
     def step(s, p):
         begin = s["at"] + p["gap"]
         span = F.struct(begin.alias("start"), (-(begin + p["size"])).alias("back"), rule["priority"].alias("priority"),
                         rule["number"].alias("rule"), rule["label"].alias("label"))
-        return F.struct((begin + F.coalesce(p["size"], F.lit(0))).alias("at"),
-                        F.when(p["size"].isNull(), s["spans"]).otherwise(F.array_append(s["spans"], span)).alias("spans"))
+        return F.struct((begin + F.coalesce(p["size"], F.lit(0))).alias("at"), *gathered(s, span, p["size"].isNotNull()))
 
-    return F.aggregate(parts, start, step, lambda s: s["spans"])
+    return F.aggregate(parts, start, step, all_spans)
 
 
 def unsuppressed(spans: Column) -> Column:
     """Sorted spans without those within an earlier one of the same or a higher priority."""
     ends = [f"end{p}" for p in sorted(CONFIDENCE)]
-    start = F.struct(*[F.lit(-1).alias(e) for e in ends], F.array().cast(f"array<{SPAN}>").alias("kept"))
+    start = F.struct(*[F.lit(-1).alias(e) for e in ends], *no_spans())
 
     def step(s, x):
         end = -x["back"]
@@ -54,9 +71,9 @@ def unsuppressed(spans: Column) -> Column:
         for p, e in zip(sorted(CONFIDENCE), ends):
             covered = covered | ((x["priority"] >= p) & (s[e] >= end))
         grown = [F.when((x["priority"] == p) & (end > s[e]), end).otherwise(s[e]).alias(e) for p, e in zip(sorted(CONFIDENCE), ends)]
-        return F.struct(*grown, F.when(covered, s["kept"]).otherwise(F.array_append(s["kept"], x)).alias("kept"))
+        return F.struct(*grown, *gathered(s, x, ~covered))
 
-    return F.aggregate(F.array_sort(spans), start, step, lambda s: s["kept"])
+    return F.aggregate(F.array_sort(spans), start, step, all_spans)
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:

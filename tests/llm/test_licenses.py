@@ -43,3 +43,11 @@ def test_scan_equals_brute_force(spark, odd, empty):
 def test_contained_detections_are_suppressed(spark):
     df = spark.createDataFrame([(1, "under the Apache License, Version 2.0 here")], "doc_id long, text string")
     assert [d["label"] for d in scan_licenses(df).first()["detections"]] == ["apache-2.0"]
+
+
+def test_a_long_text_of_matches_equals_brute_force(spark):
+    text = "licensed under the mit license, apache license 2.0; " * 12_000
+    r = scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).first()
+    n, base, kept = brute(text)
+    assert r["n_words"] == n and [(b["start"], b["label"]) for b in r["base"]] == base and len(kept) >= 24_000
+    assert [(d["start"], d["end"], d["priority"], d["rule"], d["label"]) for d in r["detections"]] == kept
