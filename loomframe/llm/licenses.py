@@ -5,12 +5,14 @@ keywords occurs. All matches are sorted by start (the longer, then the higher pr
 lies within another one of the same or a higher priority. Detections that overlap otherwise all stay.
 
 Nulls and edge cases: a null text is empty and has no word and no detection. Null ids and repeated rows are kept, an empty table
-gives none. Very long texts are read whole; matches are gathered in blocks, so a text with very many costs time in proportion to
+gives none. Very long texts are read whole; places are added up in blocks, so a text with very many matches costs time in proportion to
 them. Extra columns stay out of the result unless they are named in `keep`, and may have any name.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,55 +27,57 @@ BASE = {"mit license": "mit", "apache license": "apache", "general public licens
 # How sure a detection is, by priority.
 CONFIDENCE = {1: 0.95, 2: 0.8, 3: 0.5}
 
-SPAN = "struct<start:int,back:int,priority:int,rule:int,label:string>"
-# An append copies its array: spans are gathered in blocks of this size, and whole blocks in an array of blocks.
-BLOCK = 256
+KNOWN = "array<struct<number:int,label:string,priority:int,keywords:array<string>,pattern:string>>"
+# Elements that a running total adds up one by one; blocks of them are added up as blocks.
+BLOCK = 32
 
 
-def no_spans() -> list[Column]:
-    return [F.array().cast(f"array<array<{SPAN}>>").alias("blocks"), F.array().cast(f"array<{SPAN}>").alias("spans")]
+def let(value: Column, use) -> Column:
+    """`use` of a value that is computed once, however often `use` names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
-def gathered(state: Column, span: Column, taken: Column) -> list[Column]:
-    """The state's blocks and open block, with the span if it is taken."""
-    full = taken & (F.size(state["spans"]) >= BLOCK)
-    return [F.when(full, F.array_append(state["blocks"], state["spans"])).otherwise(state["blocks"]).alias("blocks"),
-            F.when(full, F.array(span)).when(taken, F.array_append(state["spans"], span)).otherwise(state["spans"]).alias("spans")]
+def running(values: Column, zero: Column, add, levels: int = 2) -> Column:
+    """What comes before each element, added up from `zero`. `aggregate` copies its state at every step, so no state holds an
+    array: elements are added up within blocks, and blocks as elements of a shorter array."""
+    total = lambda a, start: F.aggregate(a, start, add)
+    if not levels:
+        return let(values, lambda v: F.transform(v, lambda x, i: total(F.slice(v, 1, i), zero)))
 
+    def blocked(v):
+        last = F.floor((F.size(v) - 1) / BLOCK).cast("int")
+        blocks = F.when(F.size(v) > 0, F.transform(F.sequence(F.lit(0), last), lambda k: F.slice(v, k * BLOCK + 1, BLOCK))).otherwise(F.array(v))
+        return let(blocks, lambda bs: F.flatten(F.zip_with(
+            bs, running(F.transform(bs, lambda b: total(b, zero)), zero, add, levels - 1),
+            lambda b, before: F.transform(b, lambda x, i: total(F.slice(b, 1, i), before)))))
 
-def all_spans(state: Column) -> Column:
-    return F.flatten(F.array_append(state["blocks"], state["spans"]))
+    return let(values, blocked)
 
 
 def spans_of(text: Column, rule: Column) -> Column:
     """All matches of a rule: texts between matches and matches, laid end to end, give the places."""
     parts = F.zip_with(F.split(text, rule["pattern"]), F.regexp_extract_all(text, rule["pattern"], F.lit(0)),
                        lambda gap, found: F.struct(F.length(gap).alias("gap"), F.length(found).alias("size")))
-    start = F.struct(F.lit(0).alias("at"), *no_spans())
 
-    def step(s, p):
-        begin = s["at"] + p["gap"]
-        span = F.struct(begin.alias("start"), (-(begin + p["size"])).alias("back"), rule["priority"].alias("priority"),
-                        rule["number"].alias("rule"), rule["label"].alias("label"))
-        return F.struct((begin + F.coalesce(p["size"], F.lit(0))).alias("at"), *gathered(s, span, p["size"].isNotNull()))
+    def placed(p):
+        before = running(F.transform(p, lambda x: x["gap"] + F.coalesce(x["size"], F.lit(0))), F.lit(0), lambda a, b: a + b)
+        spans = F.zip_with(p, before, lambda x, at: F.when(x["size"].isNotNull(), F.struct(
+            (at + x["gap"]).alias("start"), (-(at + x["gap"] + x["size"])).alias("back"), rule["priority"].alias("priority"),
+            rule["number"].alias("rule"), rule["label"].alias("label"))))
+        return F.filter(spans, lambda x: x.isNotNull())
 
-    return F.aggregate(parts, start, step, all_spans)
+    return let(parts, placed)
 
 
 def unsuppressed(spans: Column) -> Column:
     """Sorted spans without those within an earlier one of the same or a higher priority."""
-    ends = [f"end{p}" for p in sorted(CONFIDENCE)]
-    start = F.struct(*[F.lit(-1).alias(e) for e in ends], *no_spans())
 
-    def step(s, x):
-        end = -x["back"]
-        covered = F.lit(False)
-        for p, e in zip(sorted(CONFIDENCE), ends):
-            covered = covered | ((x["priority"] >= p) & (s[e] >= end))
-        grown = [F.when((x["priority"] == p) & (end > s[e]), end).otherwise(s[e]).alias(e) for p, e in zip(sorted(CONFIDENCE), ends)]
-        return F.struct(*grown, *gathered(s, x, ~covered))
+    def kept(s):
+        reached = F.create_map(*[x for p in sorted(CONFIDENCE) for x in (F.lit(p), running(
+            F.transform(s, lambda x: F.when(x["priority"] <= p, -x["back"]).otherwise(F.lit(-1))), F.lit(-1), lambda a, b: F.greatest(a, b)))])
+        return let(reached, lambda r: F.filter(s, lambda x, i: F.get(F.element_at(r, x["priority"]), i) < -x["back"]))
 
-    return F.aggregate(F.array_sort(spans), start, step, all_spans)
+    return let(F.array_sort(spans), kept)
 
 
 def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -81,8 +85,9 @@ def scan_licenses(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...]
     in characters, priority, rule, label), in order of their start."""
     text, low, words, gated = fresh(docs, "_text", "_low", "_words", "_gated")
     names = ("n_words", "base", "detections")
-    known = F.array(*[F.struct(F.lit(r.number).alias("number"), F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"),
-                               F.array(*[F.lit(k) for k in r.keywords]).alias("keywords"), F.lit(r.pattern).alias("pattern")) for r in rules()])
+    # as one literal, which the optimizer reads once
+    known = F.from_json(F.lit(json.dumps([{"number": r.number, "label": r.label, "priority": r.priority, "keywords": list(r.keywords), "pattern": r.pattern}
+                                          for r in rules()])), KNOWN)
     # one pass over every text: words, and whether any gate word occurs (in any case)
     rows = docs.select(*columns(keep), text_of(text_col).alias(text)).withColumn(low, F.lower(text))
     gate = F.lit(False)
