@@ -14,8 +14,9 @@ copies of one vector are no hot bucket; buckets above CHUNK points are split.
 
 Nulls and edge cases: vectors that are null, zero, of another length than most, or hold null or non-finite components take no
 part, neither as queries nor as candidates; so do rows of null id. Ties go to the smaller id. Repeated rows (equal id and
-vector) are one. A query whose buckets held fewer than wanted is compared with all points; with fewer candidates than wanted
-all of them are returned. An empty table gives no row.
+vector) are one. A query whose buckets held fewer than wanted is compared with all points (as are all queries, if the fit
+does not reach LEAST); with fewer candidates than wanted all of them are returned. Very many equal scores are decided by id. An
+empty table gives no row. Extra columns are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,6 +38,8 @@ DIRECTIONS = 4
 MOVES = np.array(list(product((-1, 0, 1), repeat=DIRECTIONS)))
 # Rows the parameters are fitted on, and the recall wanted there (above the 0.9 wanted of all rows).
 SAMPLE, QUERIES, RECALL = 4096, 256, 0.96
+# If no width, tables and probes reach this recall on the sample, all points are compared with all queries.
+LEAST = 0.9
 MOST_TABLES = 12
 # Points of a bucket that are searched in one piece; rows of points and queries that meet in one task.
 CHUNK, SLOT, QUERY_BLOCK = 4096, 32768, 16384
@@ -44,13 +47,15 @@ CHUNK, SLOT, QUERY_BLOCK = 4096, 32768, 16384
 
 @dataclass
 class Hashing:
-    """Directions (tables x components x DIRECTIONS), shifts, cell width, probes per table, and the largest norm."""
+    """Directions (tables x components x DIRECTIONS), shifts, cell width, probes per table, the largest norm, and the recall
+    on the sample."""
 
     directions: np.ndarray
     shifts: np.ndarray
     width: float
     probes: int
     norm: float
+    recall: float = 0.0
 
     def points(self, v: np.ndarray) -> np.ndarray:
         x = v / self.norm
@@ -102,6 +107,7 @@ def fit_hashing(sample: np.ndarray, norm: float, rows: int, k: int) -> Hashing:
         hit = probes[:, :, None] == codes[best][:, None, :]
         for s, n in enumerate(steps):
             found[s] |= hit[:, :n].any(axis=1)
+        h.recall = float(found[-1].mean())
         good = [n for s, n in enumerate(steps) if found[s].mean() >= RECALL]
         if tables >= 4 and good:
             h.probes = good[0]
@@ -161,15 +167,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
     asked = rows.filter("asks").select(F.col("id").alias("query_id"), "v").distinct()
     askers = written(asked.join(points.select("v", "point"), "v").select("query_id", "point"))
     sought = askers.select("point").distinct()
-    count = sought.count()
-    blocks = max(1, -(-count // QUERY_BLOCK))
     sought = points.join(sought, "point", "left_semi").select(F.col("point").alias("query"), "v", probes("v").alias("codes"))
     visits = (sought.select("query", "v", F.posexplode("codes").alias("table", "c")).select("query", "v", "table", F.explode("c").alias("code"))
               .join(crowded, ["table", "code"], "left").withColumn("chunk", F.explode(F.sequence(F.lit(0), chunks - 1)))
-              .withColumn("bucket", bucket).groupBy("query", slot.alias("slot")).agg(F.first("v").alias("v"), F.collect_list("bucket").alias("buckets"))
-              .withColumn("block", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")))
+              .withColumn("bucket", bucket).groupBy("query", slot.alias("slot")).agg(F.first("v").alias("v"), F.collect_list("bucket").alias("buckets")))
     placed = (placed.join(crowded, ["table", "code"], "left").withColumn("chunk", F.pmod(F.xxhash64("point"), chunks).cast("int"))
-              .withColumn("bucket", bucket).select("point", "v", "bucket", slot.alias("slot"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block")))
+              .withColumn("bucket", bucket).select("point", "v", "bucket", slot.alias("slot")))
 
     fields = pa.schema([("query", pa.int64()), ("point", pa.int64()), ("score", pa.float64())])
 
@@ -177,8 +180,12 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
         found = _search(left, right, k + 1) if left.num_rows and right.num_rows else [[], [], []]
         return pa.Table.from_batches(list(batches_of(fields, found)), schema=fields)
 
-    met = (placed.groupBy("slot", "block").cogroup(visits.groupBy("slot", "block"))
-           .applyInArrow(search, "query long, point long, score double"))
+    if h.recall >= LEAST:
+        placed, visits = dealt(placed, visits)
+        met = (placed.groupBy("slot", "block").cogroup(visits.groupBy("slot", "block"))
+               .applyInArrow(search, "query long, point long, score double"))
+    else:
+        met = spark.createDataFrame([], "query long, point long, score double")
     met = met.groupBy("query", "point").agg(F.max("score").alias("score"))
     ids = points.select("point", "ids")
     best = met.withColumn("r", F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "point"))).filter(F.col("r") <= k + 1)
@@ -213,6 +220,18 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 20, id_col: str = "vec
         "query_id", (F.col("p") + 1).cast("int").alias("rank"), F.col("x.id").alias("id"), (-F.col("x.s")).alias("score"))
 
 
+def dealt(placed: DataFrame, visits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Points and queries of each slot with a block. A slot that more than QUERY_BLOCK queries visit has a block for each so
+    many of them, and its points go to all of these; other slots' points are not copied. A query visits a bounded number of
+    slots, so copies grow with the rows and not with their square."""
+    busy = settle(visits.select("query", "slot").groupBy("slot").count().filter(F.col("count") > QUERY_BLOCK)
+                  .select("slot", F.ceil(F.col("count") / QUERY_BLOCK).cast("int").alias("blocks"))).hinted()
+    blocks = F.coalesce("blocks", F.lit(1))
+    copied = placed.join(busy, "slot", "left").withColumn("block", F.explode(F.sequence(F.lit(0), blocks - 1))).drop("blocks")
+    shared = visits.join(busy, "slot", "left").withColumn("block", F.pmod(F.xxhash64("query"), blocks).cast("int")).drop("blocks")
+    return copied, shared
+
+
 def _search(left: pa.Table, right: pa.Table, k: int) -> list[np.ndarray]:
     """(query, point, score) of the k best points of each query among the buckets it visits."""
     x, point, bucket = _matrix(left["v"]), left["point"].to_numpy(), left["bucket"].to_numpy()
