@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from loomframe.functions.arrays import EPSILON
 from loomframe.functions.scalar import ACTIVATIONS
+from loomframe.plans.ordering import Ordered
 from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, limit_of, settle
 
 
@@ -67,9 +68,9 @@ def avg_betweenness(edges: DataFrame, nodes: DataFrame, graph: str = "graph_id")
     """Mean normalized betweenness.
 
     The sum of betweenness over all nodes equals the sum of (distance - 1) over reachable pairs, so one search per
-    source node with its plain distances is enough. Graphs whose edges fit a task are searched there, their
-    sources spread over many tasks; a larger graph is searched by joins, a batch of sources at a time.
-    Pairs are summed where they are found.
+    source node with its plain distances is enough. 64 sources are searched at once, a bit of a long each. Graphs whose
+    edges fit a task are searched there, their sources spread over many tasks; a larger graph is searched by joins, all
+    sources together up to 64 times blockRows of them. Pairs are summed where they are found.
     """
     spark = edges.sparkSession
     limit, block = limit_of(spark, BROADCAST_ROWS), limit_of(spark, BLOCK_ROWS)
@@ -106,48 +107,56 @@ def _search_in_tasks(e: DataFrame, sources: DataFrame, small: DataFrame, graph:
         heads, tails = np.concatenate([a, b]), np.concatenate([b, a])
         order = np.argsort(heads, kind="stable")
         tails, starts = tails[order], np.searchsorted(heads[order], np.arange(len(ids) + 1))
-        total = 0
-        for source in ids.get_indexer(nodes["node"]):
-            seen = np.zeros(len(ids), dtype=bool)
-            seen[source] = True
-            frontier, level = np.array([source]), 0
-            while len(frontier):
-                reached = np.concatenate([tails[starts[f]:starts[f + 1]] for f in frontier])
-                frontier = np.unique(reached[~seen[reached]])
-                seen[frontier] = True
+        total, mine = 0, ids.get_indexer(nodes["node"])
+        for i in range(0, len(mine), 64):
+            some = mine[i:i + 64]
+            seen = np.zeros(len(ids), np.uint64)
+            np.bitwise_or.at(seen, some, np.uint64(1) << np.arange(len(some), dtype=np.uint64))
+            bits, level = seen.copy(), 0
+            while (active := np.flatnonzero(bits)).size:
+                # the edges of active nodes only: their places in `tails`, laid end to end
+                sizes = starts[active + 1] - starts[active]
+                at = np.repeat(starts[active] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
+                reached = np.zeros(len(ids), np.uint64)
+                np.bitwise_or.at(reached, tails[at], np.repeat(bits[active], sizes))
+                bits = reached & ~seen
+                seen |= bits
+                total += int(np.bitwise_count(bits).sum()) * level
                 level += 1
-                total += len(frontier) * (level - 1)
         return pd.DataFrame({graph: [key[0]], "s": [total]})
 
     return (src.groupBy(graph, "chunk").cogroup(copies.groupBy(graph, "chunk"))
             .applyInPandas(search, f"{graph} {kind}, s long"))
 
 
-def _search_by_joins(e: DataFrame, sources: DataFrame, graph: str, g, batch: int) -> DataFrame:
-    """The same sum for one large graph: breadth-first levels as joins, for a batch of sources at a time."""
+def _search_by_joins(e: DataFrame, sources: DataFrame, graph: str, g, block: int) -> DataFrame:
+    """The same sum for one large graph: a level is a join with the edges and one `bit_or` per node and group of 64 sources.
+
+    Edges lead from a level to itself, the one before and the one after, so what was seen earlier is not needed.
+    """
     spark = e.sparkSession
     one = e.filter(F.col(graph) == F.lit(g))
     both = one.select("src", "dst").unionByName(one.select(F.col("dst").alias("src"), F.col("src").alias("dst")))
     both = cut_lineage(both)
-    mine = sources.filter(F.col(graph) == F.lit(g)).select("node")
-    n = mine.count()
-    batches = max(1, -(-n // batch))
-    total = 0
-    for i in range(batches):
-        start = mine.filter(F.pmod(F.xxhash64("node"), F.lit(batches)) == i)
-        frontier = start.select(F.col("node").alias("s"), F.col("node").alias("v"))
-        seen, level = cut_lineage(frontier), 0
-        frontier = seen
+    mine = cut_lineage(sources.filter(F.col(graph) == F.lit(g)).select("node"))
+    numbered = cut_lineage(Ordered(mine, [], [F.col("node")], F.col("node")).positions("_i").rows().select("node", "_i"))
+    batch, total = 64 * block, 0
+    for first in range(0, numbered.count(), batch):
+        some = numbered.filter((F.col("_i") >= first) & (F.col("_i") < first + batch))
+        frontier = cut_lineage(some.select(F.col("node").alias("v"), F.expr("_i DIV 64").alias("many"),
+                                           F.expr("shiftleft(1L, CAST(_i % 64 AS INT))").alias("bits")))
+        before, level = frontier.limit(0), 0
         while True:
-            step = (frontier.join(both, frontier["v"] == both["src"]).select("s", F.col("dst").alias("v")).distinct()
-                    .join(seen, ["s", "v"], "left_anti"))
-            frontier = cut_lineage(step)
-            found = frontier.count()
-            if found == 0:
+            reached = frontier.join(both, frontier["v"] == both["src"]).select(
+                F.col("dst").alias("v"), "many", "bits", F.lit(0).cast("long").alias("old"))
+            known = frontier.unionByName(before).select("v", "many", F.lit(0).cast("long").alias("bits"), F.col("bits").alias("old"))
+            met = reached.unionByName(known).groupBy("v", "many").agg(F.bit_or("bits").alias("bits"), F.bit_or("old").alias("old"))
+            found = cut_lineage(met.select("v", "many", F.col("bits").bitwiseAND(F.bitwise_not("old")).alias("bits")).filter("bits <> 0"))
+            pairs = found.agg(F.sum(F.bit_count("bits")).alias("n")).first()["n"]
+            if not pairs:
                 break
-            level += 1
-            total += found * (level - 1)
-            seen = seen.unionByName(frontier)
+            total += pairs * level
+            before, frontier, level = frontier, found, level + 1
     kind = e.schema[graph].dataType.simpleString()
     return spark.createDataFrame([(g, total)], f"{graph} {kind}, s long")
 
