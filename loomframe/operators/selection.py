@@ -9,7 +9,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.operators.linear import Fitted, linear_expression, linear_fit, moments, ridge_weights
+from loomframe.operators.linear import Fitted, linear_expression, moments, ridge_weights
 from loomframe.operators.metrics import metric, metric_list
 from loomframe.operators.split import kfold, stratified_kfold
 from loomframe.plans.runtime import cut_lineage, require_columns
@@ -70,13 +70,22 @@ def cross_validate_ridge(df: DataFrame, cols, id_col, label: str, metrics=("mse"
     Pass one: moments per fold; a training set is the total minus its fold. Pass two: every fold is scored
     with its own weights for all alphas at once.
     """
+    return _scored_ridge(*_fold_moments(df, cols, id_col, label, k, strategy, seed), cols, label, metrics, alphas)
+
+
+def _fold_moments(df: DataFrame, cols, id_col, label: str, k: int, strategy: str, seed: int):
+    """The table with its folds, and the moments of each fold and of all rows."""
     require_columns(df, [*cols, label])
-    named = [metric(m) for m in metrics]
     folded = _folded(df, id_col, label, k, strategy, seed)
     parts = moments(folded, [*cols, label], by="_fold")
     whole = None
     for m in parts.values():
         whole = m if whole is None else whole + m
+    return folded, parts, whole
+
+
+def _scored_ridge(folded: DataFrame, parts: dict, whole, cols, label: str, metrics, alphas) -> DataFrame:
+    named = [metric(m) for m in metrics]
     aggs = []
     for j, alpha in enumerate(alphas):
         pred = None
@@ -96,12 +105,14 @@ def cross_validate_ridge(df: DataFrame, cols, id_col, label: str, metrics=("mse"
 def grid_search_ridge(df: DataFrame, cols, id_col, label: str, alphas, scoring: str = "r2", k: int = 5,
                       strategy: str = "kfold", seed: int = 42) -> tuple[DataFrame, Fitted]:
     """Scores (alpha, mean_score) and the best model refitted on all rows; the first alpha wins ties."""
-    folds = cross_validate_ridge(df, cols, id_col, label, [scoring], k, alphas, strategy, seed)
+    folded, parts, whole = _fold_moments(df, cols, id_col, label, k, strategy, seed)
+    folds = _scored_ridge(folded, parts, whole, cols, label, [scoring], alphas)
     scores = folds.groupBy("alpha").agg(F.avg(scoring).alias("mean_score"))
     found = {r["alpha"]: r["mean_score"] for r in scores.collect()}
     best = max(alphas, key=lambda a: (found[float(a)], -list(alphas).index(a)))
+    w, b = ridge_weights(whole, best)  # the folds' moments add up to those of all rows
     return df.sparkSession.createDataFrame([(float(a), found[float(a)]) for a in alphas], "alpha double, mean_score double"), \
-        linear_fit(df, cols, label, best)
+        Fitted("linear", {"cols": list(cols), "weights": [float(v) for v in w], "intercept": float(b), "out": "prediction"})
 
 
 def combinations(grid: dict) -> list[dict]:
