@@ -8,12 +8,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 # Session settings and their defaults. A group, window or sort inside one task is split
 # once it may exceed cellRows; a table is broadcast only after it was counted to be
-# at most broadcastRows.
+# at most broadcastRows, and its texts and arrays at most broadcastBytes (as text).
 CELL_ROWS = ("spark.loomframe.cellRows", 1_000_000)
 BROADCAST_ROWS = ("spark.loomframe.broadcastRows", 100_000)
+BROADCAST_BYTES = ("spark.loomframe.broadcastBytes", 64 << 20)
 BLOCK_ROWS = ("spark.loomframe.blockRows", 20_000)
 
 
@@ -63,19 +65,35 @@ class Settled:
 def settle(df: DataFrame) -> Settled:
     """Compute a parameter table once.
 
-    Up to broadcastRows rows it becomes a local relation that joins by broadcast;
-    above that it is written to the checkpoint folder and joins by shuffle.
+    Up to broadcastRows rows, with texts and arrays of up to broadcastBytes, it becomes a local relation that joins
+    by broadcast; above that it is written to the checkpoint folder and joins by shuffle. Columns of varying length are
+    measured before anything is fetched. A table that the caller caches stays cached.
     """
     spark = df.sparkSession
     limit = limit_of(spark, BROADCAST_ROWS)
-    held = df.persist()  # what the size check computes is not computed again by the write
+    level = df.storageLevel
+    cached = level.useMemory or level.useDisk
+    held = df if cached else df.persist()  # what the size check computes is not computed again by the write
     try:
-        head = held.limit(limit + 1).toArrow()
-        if head.num_rows <= limit:
-            return Settled(spark.createDataFrame(head, df.schema), True)
+        if _bytes_within(held, limit):
+            head = held.limit(limit + 1).toArrow()
+            if head.num_rows <= limit:
+                return Settled(spark.createDataFrame(head, df.schema), True)
         return Settled(cut_lineage(held), False)
     finally:
-        held.unpersist()
+        if not cached:
+            held.unpersist()
+
+
+def _bytes_within(df: DataFrame, rows: int) -> bool:
+    """Whether the first rows + 1 rows' texts, arrays and the like are within broadcastBytes."""
+    varying = [f.name for f in df.schema if isinstance(f.dataType, (StringType, BinaryType, ArrayType, MapType, StructType))]
+    if not varying:
+        return True
+    columns = [F.col("`" + name.replace("`", "``") + "`").cast("string") for name in varying]
+    length = sum((F.coalesce(F.octet_length(c), F.lit(0)).cast("long") for c in columns), F.lit(0).cast("long"))
+    total = df.limit(rows + 1).agg(F.sum(length).alias("n")).first()["n"]
+    return (total or 0) <= limit_of(df.sparkSession, BROADCAST_BYTES)
 
 
 def widen(df: DataFrame, n_rows: int) -> DataFrame:
