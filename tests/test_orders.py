@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from loomframe.operators import encode, outliers, selection, split, text, trees
+from loomframe.operators import encode, outliers, selection, split, text, topics, trees
 from loomframe.operators.series import positions
 from loomframe.operators.spectral import fourier_transform
 from loomframe.plans.ordering import Ordered
@@ -93,8 +93,9 @@ def test_every_tree_has_its_whole_sample(spark, n):
 
 def test_topics_read_all_documents_and_words(spark):
     docs = spark.createDataFrame([(i, f"common word{i} other") for i in range(30)], "id long, t string")
-    model = text.TopicModel(k=2, max_iter=2).fit(docs, "t")
-    assert model.lda.getSubsamplingRate() == 1.0 and len(model.words.vocabulary) == 32
+    model = topics.TopicModel(k=2, max_iter=2).fit(docs, "t")
+    assert model.vocabulary.df.count() == 32
+    assert abs(sum(model.totals) - 90) < 1e-6  # every word of every document was counted in the last step
 
 
 def test_search_reports_trials_left_out(spark):
