@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from loomframe.catalog.registry import table
-from loomframe.operators import bayes, linear, neighbors, network, outliers, scale, selection, series, spectral, split, text, topics, trees
+from loomframe.operators import bayes, linear, neighbors, network, outliers, scale, selection, series, spectral, split, text, topics, trees, word_vectors
 from loomframe.operators import encode
 from loomframe.plans.ordering import Ordered
 from loomframe.plans.quantiles import quantiles
@@ -287,7 +287,7 @@ def test_random_draws_do_not_depend_on_partitions(spark):
 
 def test_text_models(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    v = text.word2vec_document_vectors(docs, "doc_id", "text", size=8, min_count=3)
+    v = word_vectors.word2vec_document_vectors(docs, "doc_id", "text", size=8, min_count=3)
     assert v.count() == docs.count() and v.filter(F.size("vec") != 8).count() == 0
     model = topics.TopicModel(k=3, max_iter=3).fit(docs, "text")
     shares = model.transform(docs, "text").select(F.aggregate("topics", F.lit(0.0), lambda s, x: s + x).alias("s"))
