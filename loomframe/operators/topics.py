@@ -13,57 +13,85 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.operators.text import number_words, word_counts
-from loomframe.plans.runtime import CELL_ROWS, cut_lineage, limit_of, settle, stored
+from loomframe.functions.text import tokens
+from loomframe.plans.runtime import CELL_ROWS, limit_of, settle, stored
 
 KEY = "_topic_key"
 BLOCK_NUMBERS = 4_000_000  # topic counts of a block's words that a task holds: 32 MB
 THETA, COUNTS, LIKELIHOOD = 0, 1, 2  # what a row of a step says
+STEP = "block int, kind int, _topic_key binary, word string, v array<double>"
+FOUND = "_topic_key binary, v array<double>, log_likelihood double"
 
 
 def _matrix(column: pa.ChunkedArray, k: int) -> np.ndarray:
     return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
 
 
+def _lists(matrix: np.ndarray) -> pa.Array:
+    ends = np.arange(len(matrix) + 1, dtype="int32") * matrix.shape[1]
+    return pa.ListArray.from_arrays(ends, matrix.ravel())
+
+
 def _key(text: str):
     return F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias(KEY)
 
 
+def _documents(df: DataFrame, text: str) -> DataFrame:
+    """(key, copies, words, ns) per distinct text that holds a word. Words are sorted and counted in their row."""
+    texts = df.select(_key(text), F.col(text).alias("_t")).filter(F.col("_t").isNotNull())
+    one = texts.groupBy(KEY).agg(F.count("*").alias("copies"), F.first("_t").alias("_t"))
+    ordered = one.select(KEY, "copies", F.array_sort(tokens(F.col("_t"))).alias("w")).filter(F.size("w") > 0)
+    new = lambda i: (i == 0) | (F.get("w", i) != F.get("w", i - 1))
+    starts = ordered.withColumn("s", F.filter(F.sequence(F.lit(0), F.size("w") - 1), new))
+    return stored(starts.select(
+        KEY, "copies", F.transform("s", lambda i: F.get("w", i)).alias("words"),
+        F.transform("s", lambda i, at: F.coalesce(F.get("s", at + 1), F.size("w")) - i).alias("ns")))
+
+
 class _Block:
-    """A block's documents (word numbers and counts, one after another) and the topics of their words."""
+    """A block's documents (their known words and counts, one after another) and the topics of these words."""
 
     def __init__(self, docs: pa.Table, vectors: pa.Table, k: int, inverse_totals: np.ndarray, beta: float):
-        self.k, self.keys = k, docs[KEY].to_pylist()
-        ids = docs["ids"].combine_chunks()
-        self.sizes = ids.value_lengths().to_numpy(zero_copy_only=False)
-        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
-        self.n = docs["ns"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)
-        self.copies = docs["copies"].to_numpy().astype(float)
+        self.k = k
         of_words = vectors.filter(pc.equal(vectors["kind"], COUNTS))
-        found = of_words["word_id"].to_numpy()
-        order = np.argsort(found)
-        self.words = found[order]
-        self.phi = (_matrix(of_words["v"], k)[order] + beta) * inverse_totals
-        self.at = np.searchsorted(self.words, ids.flatten().to_numpy(zero_copy_only=False))
-        self.theta = np.full((len(self.keys), k), 1.0 / k)
+        self.words = of_words["word"].combine_chunks()
+        self.phi = (_matrix(of_words["v"], k) + beta) * inverse_totals
+        lists = docs["words"].combine_chunks()
+        coded = lists.flatten().dictionary_encode()
+        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy(zero_copy_only=False)
+        at = place[coded.indices.to_numpy(zero_copy_only=False)] if len(place) else np.zeros(0, dtype=int)
+        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        known = at >= 0
+        which, self.doc = np.unique(np.repeat(np.arange(len(docs)), sizes)[known], return_inverse=True)
+        self.at = at[known]
+        self.n = docs["ns"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)[known]
+        self.keys = docs[KEY].take(pa.array(which)).to_pylist()
+        self.copies = docs["copies"].to_numpy().astype(float)[which]
+        self.theta = np.full((len(which), k), 1.0 / k)
         before = vectors.filter(pc.equal(vectors["kind"], THETA))
         if len(before):
-            place = {key: i for i, key in enumerate(self.keys)}
-            self.theta[[place[key] for key in before[KEY].to_pylist()]] = _matrix(before["v"], k)
+            row = {key: i for i, key in enumerate(self.keys)}
+            self.theta[[row[key] for key in before[KEY].to_pylist()]] = _matrix(before["v"], k)
+
+    def _sums(self, by: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
+        return np.stack([np.bincount(by, r[:, t], n) for t in range(self.k)], axis=1)
 
     def shares(self) -> tuple[np.ndarray, np.ndarray]:
         """Expected counts per word of a document and topic, and the words' probabilities."""
-        r = np.repeat(self.theta, self.sizes, axis=0) * self.phi[self.at]
+        r = self.theta[self.doc] * self.phi[self.at]
         p = r.sum(axis=1)
         return r * (self.n / p)[:, None], p
 
     def move(self, r: np.ndarray, alpha: float) -> None:
-        counts = np.add.reduceat(r, self.starts, axis=0) + alpha
+        counts = self._sums(self.doc, r, len(self.keys)) + alpha
         self.theta = counts / counts.sum(axis=1, keepdims=True)
 
     def word_counts(self, r: np.ndarray) -> np.ndarray:
-        weighted = r * np.repeat(self.copies, self.sizes)[:, None]
-        return np.stack([np.bincount(self.at, weighted[:, t], len(self.words)) for t in range(self.k)], axis=1)
+        return self._sums(self.at, r * self.copies[self.doc][:, None], len(self.words))
+
+    def likelihood(self, p: np.ndarray) -> np.ndarray:
+        """Per document, of all its copies."""
+        return np.bincount(self.doc, self.n * np.log(p), len(self.keys)) * self.copies
 
 
 class TopicModel:
@@ -83,26 +111,13 @@ class TopicModel:
         self.__dict__.update(locals())
         self.vocabulary = self.counts = self.totals = self.history = None
 
-    @staticmethod
-    def _pairs(df: DataFrame, text: str) -> DataFrame:
-        """(key, word, n, copies) per distinct text and word; n counts all copies, which are added up before the shuffle."""
-        keyed = df.select(_key(text), F.col(text).alias("_text"))
-        copies = keyed.groupBy(KEY).agg(F.count("*").alias("copies"))
-        return word_counts(keyed, KEY, "_text").join(copies, KEY)
-
-    def _blocks(self, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(block, key, copies, ids, ns) per distinct text, and the distinct (block, word_id)."""
-        known = pairs.join(self.vocabulary.hinted().select("word", "word_id"), "word")
-        one = (F.col("n") / F.col("copies")).cast("long")
-        found = cut_lineage(
-            known.groupBy(KEY, "copies").agg(F.array_sort(F.collect_list(F.struct("word_id", one.alias("n")))).alias("w"))
-            .select(KEY, "copies", F.col("w.word_id").alias("ids"), F.col("w.n").alias("ns")))
-        size = found.agg(F.sum(F.size("ids"))).first()[0] or 0
-        most = max(1, min(limit_of(pairs.sparkSession, CELL_ROWS), BLOCK_NUMBERS // self.k))
+    def _blocks(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """Documents with their block, and the distinct (block, word)."""
+        size = docs.agg(F.sum(F.size("words"))).first()[0] or 0
+        most = max(1, min(limit_of(docs.sparkSession, CELL_ROWS), BLOCK_NUMBERS // self.k))
         # by the text's key: a block holds about `most` words, and one text at least
-        docs = stored(found.withColumn("block", F.pmod(F.xxhash64(KEY), F.lit(-(-size // most) or 1)).cast("int")))
-        needs = stored(docs.select("block", F.explode("ids").alias("word_id")).distinct())
-        return docs, needs
+        placed = docs.withColumn("block", F.pmod(F.xxhash64(KEY), F.lit(-(-size // most) or 1)).cast("int"))
+        return placed, stored(placed.select("block", F.explode("words").alias("word")).distinct())
 
     def _below(self) -> list[float]:
         """Denominators of the words' shares of the topics."""
@@ -123,57 +138,56 @@ class TopicModel:
         self.totals = [float(row[t] or 0.0) for t in range(self.k)]
 
     def _meet(self, docs: DataFrame, needs: DataFrame, theta: DataFrame | None, work, schema: str) -> DataFrame:
-        """work(block, documents, topics) for every block of documents."""
-        topics = needs.join(self.counts, "word_id").select(
-            "block", F.lit(COUNTS).alias("kind"), F.lit(None).cast("binary").alias(KEY), "word_id", "v")
+        """work(documents, topics) for every block of documents."""
+        topics = needs.join(self.counts, "word").select(
+            "block", F.lit(COUNTS).alias("kind"), F.lit(None).cast("binary").alias(KEY), "word", "v")
         if theta is not None:
-            topics = topics.unionByName(theta.withColumn("word_id", F.lit(None).cast("long")))
-        names = ["block", KEY, "copies", "ids", "ns"]
-        return (docs.select(names).groupBy("block").cogroup(topics.groupBy("block"))
-                .applyInArrow(work, schema))
+            topics = topics.unionByName(theta)
+        return docs.groupBy("block").cogroup(topics.groupBy("block")).applyInArrow(work, schema)
 
     def fit(self, df: DataFrame, text: str) -> "TopicModel":
         """`history` has a row per step: step, log_likelihood and objective of the topics and shares that the step began with."""
         k, alpha, beta = self.k, self.alpha, self.beta
         least = int(self.min_df * df.count()) if isinstance(self.min_df, float) else self.min_df
-        pairs = stored(self._pairs(df, text))
-        words = pairs.groupBy("word").agg(F.sum("copies").alias("df"), F.sum("n").alias("total"))
-        self.vocabulary = settle(number_words(words.filter(F.col("df") >= least), self.vocabulary_size))
+        docs = _documents(df, text)
+        pairs = docs.select("copies", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("ns").alias("n"))))
+        words = (pairs.groupBy("word").agg(F.sum("copies").alias("df"), F.sum(F.col("n") * F.col("copies")).alias("total"))
+                 .filter(F.col("df") >= least))
+        if self.vocabulary_size is not None:
+            words = words.orderBy(F.desc("total"), "word").limit(self.vocabulary_size)
+        self.vocabulary = settle(words)
         self.n_words = self.vocabulary.df.count()
-        docs, needs = self._blocks(pairs)
+        docs, needs = self._blocks(docs)
         draws = [(F.conv(F.substring(F.md5(F.concat(F.lit(f"{self.seed}:{t}:"), F.col("word"))), 1, 8), 16, 10).cast("double") + 1) / 2.0 ** 32
                  for t in range(k)]
-        drawn = self.vocabulary.df.select("word_id", "total", F.array(*draws).alias("u"))
+        drawn = self.vocabulary.df.select("word", "total", F.array(*draws).alias("u"))
         sums = F.aggregate("u", F.lit(0.0), lambda a, x: a + x)
-        self._take(drawn.select("word_id", F.transform("u", lambda x: F.col("total") * x / sums).alias("v")))
+        self._take(drawn.select("word", F.transform("u", lambda x: F.col("total") * x / sums).alias("v")))
 
         theta, history = None, []
         for step in range(self.max_iter):
             logs, inverse = self._logs(), self._inverse()
 
             def work(d: pa.Table, t: pa.Table) -> pa.Table:
-                if not len(d):
-                    return STEP.empty_table()
                 b = _Block(d, t, k, inverse, beta)
                 r, p = b.shares()
-                weight = np.repeat(b.copies, b.sizes)
-                told = [float((weight * b.n * np.log(p)).sum()), float((b.copies[:, None] * np.log(b.theta)).sum())]
+                told = np.array([b.likelihood(p).sum(), (b.copies[:, None] * np.log(b.theta)).sum()])
                 b.move(r, alpha)
-                block, new = d["block"][0].as_py(), b.word_counts(r)
                 n, w = len(b.keys), len(b.words)
+                parts = [_lists(b.theta), _lists(b.word_counts(r)), pa.array([told.tolist()], pa.list_(pa.float64()))]
                 return pa.table({
-                    "block": np.full(n + w + 1, block, dtype="int32"),
-                    "kind": np.repeat([THETA, COUNTS, LIKELIHOOD], [n, w, 1]).astype("int32"),
+                    "block": pa.array([d["block"][0].as_py()] * (n + w + 1), pa.int32()),
+                    "kind": pa.array(np.repeat([THETA, COUNTS, LIKELIHOOD], [n, w, 1]).astype("int32")),
                     KEY: pa.array([*b.keys, *[None] * (w + 1)], pa.binary()),
-                    "word_id": pa.array([*[None] * n, *b.words.tolist(), None], pa.int64()),
-                    "v": pa.array([*b.theta.tolist(), *new.tolist(), told], pa.list_(pa.float64()))}, schema=STEP)
+                    "word": pa.array([*[None] * n, *b.words.to_pylist(), None], pa.string()),
+                    "v": pa.concat_arrays(parts)})
 
-            out = stored(self._meet(docs, needs, theta, work, f"block int, kind int, {KEY} binary, word_id long, v array<double>"))
+            out = stored(self._meet(docs, needs, theta, work, STEP))
             row = out.filter(F.col("kind") == LIKELIHOOD).agg(F.sum(F.col("v")[0]).alias("l"), F.sum(F.col("v")[1]).alias("d")).first()
             likelihood, shares = float(row["l"] or 0.0), float(row["d"] or 0.0)
             history.append((step, likelihood, likelihood + alpha * shares + beta * logs))
-            theta = out.filter(F.col("kind") == THETA).select("block", "kind", KEY, "v")
-            self._take(out.filter(F.col("kind") == COUNTS).groupBy("word_id").agg(
+            theta = out.filter(F.col("kind") == THETA).select("block", "kind", KEY, "word", "v")
+            self._take(out.filter(F.col("kind") == COUNTS).groupBy("word").agg(
                 F.array(*[F.sum(F.col("v")[t]) for t in range(k)]).alias("v")))
         self.history = df.sparkSession.createDataFrame(history, "step int, log_likelihood double, objective double")
         return self
@@ -183,20 +197,17 @@ class TopicModel:
         if self.counts is None:
             raise ValueError("fit the model first")
         k, alpha, beta, rounds = self.k, self.alpha, self.beta, self.inference_iter
-        docs, needs = self._blocks(self._pairs(df, text))
+        docs, needs = self._blocks(_documents(df, text))
         inverse = self._inverse()
 
         def work(d: pa.Table, t: pa.Table) -> pa.Table:
-            if not len(d):
-                return FOUND.empty_table()
             b = _Block(d, t, k, inverse, beta)
             for _ in range(rounds):
                 b.move(b.shares()[0], alpha)
-            logs = np.add.reduceat(b.n * np.log(b.shares()[1]), b.starts) * b.copies
-            return pa.table({KEY: pa.array(b.keys, pa.binary()), "v": pa.array(b.theta.tolist(), pa.list_(pa.float64())),
-                             "log_likelihood": logs}, schema=FOUND)
+            return pa.table({KEY: pa.array(b.keys, pa.binary()), "v": _lists(b.theta),
+                             "log_likelihood": b.likelihood(b.shares()[1])})
 
-        return self._meet(docs, needs, None, work, f"{KEY} binary, v array<double>, log_likelihood double")
+        return self._meet(docs, needs, None, work, FOUND)
 
     def transform(self, df: DataFrame, text: str, out: str = "topics") -> DataFrame:
         """Add the topic shares of each document."""
@@ -213,14 +224,9 @@ class TopicModel:
     def topics(self, n_words: int = 10) -> DataFrame:
         """(topic, rank, word, weight): the likeliest words of each topic, ties in order of the word."""
         below = F.lit(self._below())
-        long = (self.counts.select("word_id", F.posexplode("v").alias("topic", "c"))
-                .select("word_id", "topic", ((F.col("c") + self.beta) / F.get(below, F.col("topic"))).alias("weight")))
-        # word_id follows the word; the filter on row_number cuts every partition before the shuffle
-        first = Window.partitionBy("topic").orderBy(F.desc("weight"), "word_id")
+        long = (self.counts.select("word", F.posexplode("v").alias("topic", "c"))
+                .select("word", "topic", ((F.col("c") + self.beta) / F.get(below, F.col("topic"))).alias("weight")))
+        # the filter on row_number cuts every partition before the shuffle
+        first = Window.partitionBy("topic").orderBy(F.desc("weight"), "word")
         best = long.withColumn("rank", F.row_number().over(first) - 1).filter(F.col("rank") < n_words)
-        return best.join(self.vocabulary.hinted(), "word_id").select("topic", "rank", "word", "weight")
-
-
-STEP = pa.schema([("block", pa.int32()), ("kind", pa.int32()), (KEY, pa.binary()), ("word_id", pa.int64()),
-                  ("v", pa.list_(pa.float64()))])
-FOUND = pa.schema([(KEY, pa.binary()), ("v", pa.list_(pa.float64())), ("log_likelihood", pa.float64())])
+        return best.select("topic", "rank", "word", "weight")
