@@ -20,6 +20,7 @@ KEY = "_topic_key"
 BLOCK_NUMBERS = 4_000_000  # topic counts of a block's words that a task holds: 32 MB
 THETA, COUNTS, LIKELIHOOD = 0, 1, 2  # what a row of a step says
 STEP = "block int, kind int, _topic_key binary, word string, v array<double>"
+PACKED = "block int, keys array<binary>, copies array<long>, words array<string>, pairs long, packed binary"
 FOUND = "_topic_key binary, v array<double>, log_likelihood double"
 
 
@@ -48,6 +49,18 @@ def _documents(df: DataFrame, text: str) -> DataFrame:
         F.transform("s", lambda i, at: F.coalesce(F.get("s", at + 1), F.size("w")) - i).alias("ns")))
 
 
+def _pack(docs: pa.Table) -> pa.Table:
+    """A block of documents as one row, which every step moves: its words once, the rest as numbers, compressed."""
+    lists = docs["words"].combine_chunks()
+    coded = lists.flatten().dictionary_encode()
+    numbers = [lists.value_lengths(), coded.indices, docs["ns"].combine_chunks().flatten()]
+    packed = pa.compress(b"".join(x.to_numpy(zero_copy_only=False).astype("<i4").tobytes() for x in numbers), "zstd", asbytes=True)
+    return pa.table({"block": docs["block"].slice(0, 1), "keys": pa.array([docs[KEY].to_pylist()], pa.list_(pa.binary())),
+                     "copies": pa.array([docs["copies"].to_pylist()], pa.list_(pa.int64())),
+                     "words": pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
+                     "pairs": pa.array([len(coded)], pa.int64()), "packed": pa.array([packed], pa.binary())})
+
+
 class _Block:
     """A block's documents (their known words and counts, one after another) and the topics of these words."""
 
@@ -56,22 +69,23 @@ class _Block:
         of_words = vectors.filter(pc.equal(vectors["kind"], COUNTS))
         self.words = of_words["word"].combine_chunks()
         self.phi = (_matrix(of_words["v"], k) + beta) * inverse_totals
-        lists = docs["words"].combine_chunks()
-        coded = lists.flatten().dictionary_encode()
-        place = pc.fill_null(pc.index_in(coded.dictionary, value_set=self.words), -1).to_numpy(zero_copy_only=False)
-        at = place[coded.indices.to_numpy(zero_copy_only=False)] if len(place) else np.zeros(0, dtype=int)
-        sizes = lists.value_lengths().to_numpy(zero_copy_only=False)
+        row = docs.to_pylist()[0]
+        keys, pairs = row["keys"], row["pairs"]
+        numbers = np.frombuffer(pa.decompress(row["packed"], 4 * (len(keys) + 2 * pairs), "zstd", asbytes=True), "<i4")
+        sizes, codes, n = np.split(numbers, [len(keys), len(keys) + pairs])
+        place = pc.index_in(pa.array(row["words"], pa.string()), value_set=self.words)
+        at = pc.fill_null(place, -1).to_numpy(zero_copy_only=False)[codes]
         known = at >= 0
-        which, self.doc = np.unique(np.repeat(np.arange(len(docs)), sizes)[known], return_inverse=True)
+        which, self.doc = np.unique(np.repeat(np.arange(len(keys)), sizes)[known], return_inverse=True)
         self.at = at[known]
-        self.n = docs["ns"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype(float)[known]
-        self.keys = docs[KEY].take(pa.array(which)).to_pylist()
-        self.copies = docs["copies"].to_numpy().astype(float)[which]
+        self.n = n[known].astype(float)
+        self.keys = [keys[i] for i in which]
+        self.copies = np.array(row["copies"], dtype=float)[which]
         self.theta = np.full((len(which), k), 1.0 / k)
         before = vectors.filter(pc.equal(vectors["kind"], THETA))
         if len(before):
-            row = {key: i for i, key in enumerate(self.keys)}
-            self.theta[[row[key] for key in before[KEY].to_pylist()]] = _matrix(before["v"], k)
+            place = {key: i for i, key in enumerate(self.keys)}
+            self.theta[[place[key] for key in before[KEY].to_pylist()]] = _matrix(before["v"], k)
 
     def _sums(self, by: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
         return np.stack([np.bincount(by, r[:, t], n) for t in range(self.k)], axis=1)
@@ -112,12 +126,14 @@ class TopicModel:
         self.vocabulary = self.counts = self.totals = self.history = None
 
     def _blocks(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Documents with their block, and the distinct (block, word)."""
+        """A row per block of documents, and its (block, word)."""
         size = docs.agg(F.sum(F.size("words"))).first()[0] or 0
         most = max(1, min(limit_of(docs.sparkSession, CELL_ROWS), BLOCK_NUMBERS // self.k))
         # by the text's key: a block holds about `most` words, and one text at least
         placed = docs.withColumn("block", F.pmod(F.xxhash64(KEY), F.lit(-(-size // most) or 1)).cast("int"))
-        return placed, stored(placed.select("block", F.explode("words").alias("word")).distinct())
+        blocks = stored(placed.groupBy("block").applyInArrow(_pack, PACKED))
+        # a column of its own: both sides of the meeting come from one table
+        return blocks, blocks.select(F.col("block").alias("block"), F.explode("words").alias("word"))
 
     def _below(self) -> list[float]:
         """Denominators of the words' shares of the topics."""
