@@ -289,7 +289,7 @@ def encoded_runs(layer: Layer):
 
 
 def decoded_run(run: str, places, layer: Layer, streams_only: bool = False):
-    run, told = run.replace("-", "+").replace("_", "/").encode(), set()
+    run = run.replace("-", "+").replace("_", "/").encode()
     for shift in range(4):
         part = run[shift:]
         part = part[:len(part) - (len(part) % 4 == 1)]
@@ -300,9 +300,6 @@ def decoded_run(run: str, places, layer: Layer, streams_only: bool = False):
         if streams_only:
             continue
         for m in PRINTABLE.finditer(data):
-            if m.group() in told:
-                continue  # the same at another alignment
-            told.add(m.group())
             found = Decoded(m.group().decode(), layer, places[shift:], m.start())
             if not found.is_cycle():
                 yield found

@@ -128,6 +128,14 @@ def test_base64_span_is_exact():
     assert KEY.encode() in cut and len(cut) <= len(KEY) + 4
 
 
+def test_base64_repeats_are_spans_of_their_own():
+    """One run that holds the same line twice, and one that holds it nested twice."""
+    for line in (KEY, b64(KEY.encode())):
+        text = "x " + b64(f"{line}\n--\n{line}\n".encode())
+        spans = sorted((s, e) for k, s, e, _ in decoded(text) if k == "assign")
+        assert len(spans) == 2 and spans[0][1] <= spans[1][0], spans
+
+
 def test_base64_over_lines_and_nested():
     data = gzip.compress("".join(f"{i} filler {i * 37 % 101}\n" for i in range(40)).encode() + KEY.encode())
     lines = base64.encodebytes(data).decode()
