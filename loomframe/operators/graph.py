@@ -12,6 +12,8 @@ from loomframe.functions.scalar import ACTIVATIONS
 from loomframe.plans.ordering import Ordered
 from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, limit_of, settle
 
+SEARCH_PLACES = 2_000_000  # (group of sources, node) of a search in a task: three arrays of 16 MB
+
 
 def undirected(edges: DataFrame, graph: str = "graph_id") -> DataFrame:
     """Distinct edges with src < dst, self-loops left out."""
@@ -79,7 +81,7 @@ def avg_betweenness(edges: DataFrame, nodes: DataFrame, graph: str = "graph_id")
     weights = e.groupBy(graph).agg(F.count("*").alias("m"))
     sources = degrees(e, nodes, graph).filter("degree > 0").select(graph, "node")
     small = weights.filter(F.col("m") <= limit).select(graph, "m")
-    sums = _search_in_tasks(e, sources, small, graph, block)
+    sums = _search_in_tasks(e, sources, small, graph)
     big = [row[graph] for row in weights.filter(F.col("m") > limit).select(graph).collect()]
     for g in big:
         sums = sums.unionByName(_search_by_joins(e, sources, graph, g, block))
@@ -89,16 +91,20 @@ def avg_betweenness(edges: DataFrame, nodes: DataFrame, graph: str = "graph_id")
     return sizes.join(total, graph, "left").select(graph, mean.alias("avg_betweenness"))
 
 
-def _search_in_tasks(e: DataFrame, sources: DataFrame, small: DataFrame, graph: str, block: int) -> DataFrame:
-    """(graph, s): sum of (distance - 1) over ordered reachable pairs, searched per (graph, source chunk)."""
-    # about `block` edge visits per chunk member; a chunk carries one copy of its graph's edges
+def _search_in_tasks(e: DataFrame, sources: DataFrame, small: DataFrame, graph: str) -> DataFrame:
+    """(graph, s): sum of (distance - 1) over ordered reachable pairs, searched per (graph, source chunk).
+
+    A chunk gets its graph's edges and all sources, and takes a range of the order in which a search meets them: sources near
+    each other pass the same nodes at the same time, so their bits travel together.
+    """
+    # a chunk carries one copy of its graph's edges
     per_graph = small.join(sources.groupBy(graph).agg(F.count("*").alias("k")), graph)
     chunks = per_graph.select(graph, F.greatest(F.lit(1), F.ceil(F.sqrt(F.col("k").cast("double")) / 16)).cast("long").alias("chunks"))
     chunks = settle(chunks).hinted()
-    src = sources.join(chunks, graph).withColumn(
-        "chunk", F.pmod(F.xxhash64("node"), F.col("chunks"))).select(graph, "chunk", "node")
-    copies = e.join(chunks, graph).withColumn("chunk", F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1)))
-    copies = copies.select(graph, "chunk", "src", "dst")
+    chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1))
+    times = sources.groupBy(graph, "node").agg(F.count("*").alias("times"))
+    src = times.join(chunks, graph).select(graph, chunk.alias("chunk"), "chunks", "node", "times")
+    copies = e.join(chunks, graph).select(graph, chunk.alias("chunk"), "src", "dst")
     kind = e.schema[graph].dataType.simpleString()
 
     def search(key, nodes: pd.DataFrame, part: pd.DataFrame) -> pd.DataFrame:
@@ -107,28 +113,73 @@ def _search_in_tasks(e: DataFrame, sources: DataFrame, small: DataFrame, graph:
         heads, tails = np.concatenate([a, b]), np.concatenate([b, a])
         order = np.argsort(heads, kind="stable")
         tails, starts = tails[order], np.searchsorted(heads[order], np.arange(len(ids) + 1))
-        total, mine = 0, ids.get_indexer(nodes["node"])
-        for i in range(0, len(mine), 64):
-            some = mine[i:i + 64]
-            seen = np.zeros(len(ids), np.uint64)
-            np.bitwise_or.at(seen, some, np.uint64(1) << np.arange(len(some), dtype=np.uint64))
-            bits, level = seen.copy(), 0
-            while (active := np.flatnonzero(bits)).size:
-                # the edges of active nodes only: their places in `tails`, laid end to end
-                sizes = starts[active + 1] - starts[active]
-                at = np.repeat(starts[active] - (np.cumsum(sizes) - sizes), sizes) + np.arange(sizes.sum())
-                reached = np.zeros(len(ids), np.uint64)
-                np.bitwise_or.at(reached, tails[at], np.repeat(bits[active], sizes))
-                bits = reached & ~seen
-                seen |= bits
-                total += int(np.bitwise_count(bits).sum()) * level
-                level += 1
-        return pd.DataFrame({graph: [key[0]], "s": [total]})
+        times = np.zeros(len(ids), np.int64)
+        np.add.at(times, ids.get_indexer(nodes["node"]), nodes["times"].to_numpy())
+        met = _met_order(starts, tails)
+        mine = np.array_split(np.repeat(met, times[met]), int(nodes["chunks"].iloc[0]))[int(key[1])]
+        return pd.DataFrame({graph: [key[0]], "s": [_distances(starts, tails, mine)]})
 
     return (src.groupBy(graph, "chunk").cogroup(copies.groupBy(graph, "chunk"))
             .applyInPandas(search, f"{graph} {kind}, s long"))
 
 
+def _met_order(starts: np.ndarray, tails: np.ndarray) -> np.ndarray:
+    """All nodes in the order in which searches meet them, one search per component."""
+    n = len(starts) - 1
+    seen, out, at = np.zeros(n, bool), np.empty(n, np.int64), 0
+    for root in range(n):
+        if seen[root]:
+            continue
+        seen[root] = True
+        out[at], done, at = root, at, at + 1
+        while done < at:
+            v, done = out[done], done + 1
+            for w in tails[starts[v]:starts[v + 1]].tolist():
+                if not seen[w]:
+                    seen[w] = True
+                    out[at], at = w, at + 1
+    return out
+
+
+def _distances(starts: np.ndarray, tails: np.ndarray, sources: np.ndarray) -> int:
+    """The sum of (distance - 1) from the sources to all other nodes they reach.
+
+    64 sources share a long, and many such groups are searched at once: a place is a group and a node. A level touches only
+    the places it reaches.
+    """
+    n, total = len(starts) - 1, 0
+    degree = np.diff(starts)
+    many = 64 * max(1, SEARCH_PLACES // n)
+    for first in range(0, len(sources), many):
+        some = sources[first:first + many]
+        i = np.arange(len(some))
+        size = n * (-(-len(some) // 64))
+        seen, reached, last = np.zeros(size, np.uint64), np.zeros(size, np.uint64), np.empty(size, np.int64)
+        place = i // 64 * n + some
+        np.bitwise_or.at(seen, place, np.uint64(1) << (i % 64).astype(np.uint64))
+        place = np.unique(place)
+        node, bits, level = place % n, seen[place], 0
+        while place.size:
+            # the edges of these nodes only: their places in `tails`, laid end to end
+            sizes = degree[node]
+            ends = np.cumsum(sizes)
+            to = tails[np.repeat(starts[node] - (ends - sizes), sizes) + np.arange(ends[-1])]
+            target = to + np.repeat(place - node, sizes)
+            np.bitwise_or.at(reached, target, np.repeat(bits, sizes))
+            numbers = np.arange(len(target))
+            last[target] = numbers  # of the edges to one place, one is kept
+            kept = np.flatnonzero(last[target] == numbers)
+            target, to = target[kept], to[kept]
+            bits = reached[target] & ~seen[target]
+            reached[target] = 0
+            new = np.flatnonzero(bits)
+            place, node, bits = target[new], to[new], bits[new]
+            seen[place] |= bits
+            total += int(np.bitwise_count(bits).sum(dtype=np.int64)) * level
+            level += 1
+    return total
+
+
 def _search_by_joins(e: DataFrame, sources: DataFrame, graph: str, g, block: int) -> DataFrame:
     """The same sum for one large graph: a level is a join with the edges and one `bit_or` per node and group of 64 sources.
 
