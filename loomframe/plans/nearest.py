@@ -1,32 +1,40 @@
 """Exact k-nearest-neighbor join.
 
-Three plans give the same rows:
+Four plans give the same rows:
   * points fit a size-checked broadcast: each query partition finds its neighbors alone, no shuffle of pairs;
   * queries fit: each point partition keeps the k best per query, the partial lists are merged;
-  * neither fits: a vector-approximation file. Every point is rounded to one byte per dimension, and the exact length of
+  * neither fits, in more than FEW dimensions: no group of points can be left out, so packed blocks of queries meet packed blocks of
+    points; a task holds one block of queries and their k best so far, and points stream past them;
+  * neither fits, in few dimensions: a vector-approximation file. Every point is rounded to one byte per dimension, and the exact length of
     its rounding error is kept with the code. The distance to a rounded point, less or plus that error, bounds the true
     distance from both sides. Codes and queries meet in blocks of bounded size; pairs whose lower bound is above
     the query's k-th smallest upper bound cannot be neighbors. Full vectors are fetched for the survivors alone, a small
     multiple of k per query also in many dimensions, and their distances are computed exactly. Codes are grouped around
-    pivots, so that in few dimensions the triangle inequality keeps queries away from most groups. Of equal points only as
-    many as can be neighbors are kept.
+    pivots, so that the triangle inequality keeps queries away from most groups. Of equal points only as many as can be
+    neighbors are kept.
 Rows that leave a task are a small multiple of k per query in any of them.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, limit_of
+from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, limit_of, stored
 
 BROADCAST_VALUES = 32_000_000  # at most 256 MB of doubles in a broadcast matrix
 CHUNK = 4_000_000
 PIVOT_VALUES = 4_000_000  # at most 32 MB of doubles in the broadcast table of pivots
 LEVELS = 256  # values of a dimension that one byte tells
+FEW = 16  # dimensions in which groups of points can be left out
+TILE = 2_048  # points that meet queries at once
+PIECE_VALUES = 131_072  # at most 1 MB of doubles in a packed row
+QUERY_VALUES = 4_000_000  # at most 32 MB of doubles in the queries that a task holds
 SAMPLE = 4_096  # points that place the levels; they decide how tight bounds are, not whether they hold
 
 
@@ -51,25 +59,111 @@ def _exact(q: np.ndarray, p: np.ndarray, rows: np.ndarray, cols: np.ndarray, see
     return out
 
 
+class Best:
+    """The k nearest points so far of each query, ties by the points' ids.
+
+    A matrix product, of single precision in many dimensions, tells which points may be nearer than the k-th so far, with a margin for
+    its rounding error; their order is decided by distances computed directly.
+    """
+
+    def __init__(self, q: np.ndarray, k: int, own: np.ndarray | None = None):
+        """`own`: per query the id of the point that does not count."""
+        self.q, self.k, self.own = q, k, own
+        finite = q[np.isfinite(q).all(axis=1)]
+        self.center = finite.mean(axis=0) if len(finite) else np.zeros(q.shape[1])
+        moved = q - self.center
+        wide = q.shape[1] > FEW and len(finite) and np.abs(finite - self.center).max() < 1e15
+        self.kind = np.float32 if wide else np.float64
+        self.slack = 4 * (q.shape[1] + 8) * float(np.finfo(self.kind).eps)
+        self.q2 = (moved * moved).sum(axis=1)
+        self.left = np.column_stack([-2.0 * moved, np.ones(len(q))]).astype(self.kind)
+        self.dist, self.ids = np.full((len(q), k), np.inf), None
+
+    def meet(self, p: np.ndarray, ids: np.ndarray) -> None:
+        for s in range(0, len(p), TILE):
+            self._tile(p[s:s + TILE], ids[s:s + TILE])
+
+    def _tile(self, p: np.ndarray, ids: np.ndarray) -> None:
+        if self.ids is None:
+            self.ids = np.empty(self.dist.shape, ids.dtype)
+        usable = np.isfinite(p).all(axis=1)
+        p, ids = p[usable], ids[usable]
+        if not len(p):
+            return
+        moved = p - self.center
+        p2 = (moved * moved).sum(axis=1)
+        kind = self.kind if p2.max() < 1e30 else np.float64
+        right = np.column_stack([moved, p2]).astype(kind).T
+        want = self.k if self.own is None else self.k + int(pd.Series(ids).value_counts().iloc[0])
+        step = max(1, CHUNK // len(p))
+        for s in range(0, len(self.q), step):
+            rows = slice(s, min(s + step, len(self.q)))
+            near = self.left[rows].astype(kind, copy=False) @ right  # squared distances less the query's square
+            q2, kth = self.q2[rows], self.dist[rows, -1]
+            margin = self.slack * (q2 + p2.max()) + 1e-30
+            limit = kth * kth + margin - q2
+            full = np.isfinite(kth)
+            if want < len(p):
+                if not full.all():
+                    limit[~full] = np.partition(near[~full], want - 1, axis=1)[:, want - 1].astype(float) + 2 * margin[~full]
+                elif np.count_nonzero(near[:16] <= limit[:16, None]) > 16 * 4 * want:
+                    limit = np.minimum(limit, np.partition(near, want - 1, axis=1)[:, want - 1].astype(float) + 2 * margin)
+            at = np.flatnonzero(near <= limit.astype(kind)[:, None])
+            self._take(s, at // len(p), at % len(p), p, ids)
+
+    def _take(self, s: int, rows: np.ndarray, cols: np.ndarray, p: np.ndarray, ids: np.ndarray) -> None:
+        """Put points (cols) among the k best of queries (s + rows)."""
+        dist = _exact(self.q[s:], p, rows, cols)
+        rows = rows + s
+        use = np.isfinite(dist) & (dist <= self.dist[rows, -1])
+        if self.own is not None:
+            use &= np.asarray(ids[cols] != self.own[rows], bool)
+        rows, dist, found = rows[use], dist[use], ids[cols[use]]
+        if not len(rows):
+            return
+        changed = np.unique(rows)
+        old = np.isfinite(self.dist[changed])
+        rows = np.concatenate([np.repeat(changed, old.sum(axis=1)), rows])
+        dist = np.concatenate([self.dist[changed][old], dist])
+        found = np.concatenate([self.ids[changed][old], found])
+        order = np.lexsort((found if found.dtype != object else pd.factorize(found, sort=True)[0], dist, rows))
+        rows, dist, found = rows[order], dist[order], found[order]
+        rank = np.arange(len(rows)) - np.searchsorted(rows, rows)
+        kept = rank < self.k
+        rows, rank = rows[kept], rank[kept]
+        self.dist[rows, rank], self.ids[rows, rank] = dist[kept], found[kept]
+
+    def rows(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(row, id, distance, rank) of all that were found, by row and rank."""
+        rows, rank = np.nonzero(np.isfinite(self.dist))
+        ids = np.empty(0, int) if self.ids is None else self.ids[rows, rank]
+        return rows, ids, self.dist[rows, rank], rank + 1
+
+
 def top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None = None, masked: bool = False):
-    """(row, column, distance) of the k nearest p of each q, ties by the order of p.
+    """(row, column, distance, rank) of the k nearest p of each q, ties by the order of p.
 
-    A matrix product gives candidates with a margin for its rounding error; their order is
-    decided by distances computed directly. Masked rows of q hold NaN where they have no value: their distances are over
-    the values they have, which is a second product, of the masks with the squares of p.
+    Masked rows of q hold NaN where they have no value: their distances are over the values they have.
     """
-    parts = []
-    seen = None
     if masked:
-        seen = (~np.isnan(q)).astype(float)
-        q = np.where(np.isnan(q), 0.0, q)
+        return _masked_top_k(q, p, k, skip)
+    best = Best(q, min(k, max(len(p), 1)), skip)
+    best.meet(p, np.arange(len(p)))
+    return best.rows()
+
+
+def _masked_top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None):
+    """Distances over the values of q: a product of q with p, and one of the masks with the squares of p."""
+    parts = []
+    seen = (~np.isnan(q)).astype(float)
+    q = np.where(np.isnan(q), 0.0, q)
     p2 = (p * p).sum(axis=1)
     margin_base = 1e-9 * (1.0 + (p2.max() if len(p2) else 0.0))
     step = max(1, CHUNK // max(len(p), 1))
     for s in range(0, len(q), step):
         qs = q[s:s + step]
         q2 = (qs * qs).sum(axis=1)
-        own_p2 = p2[None, :] if seen is None else seen[s:s + step] @ (p * p).T
+        own_p2 = seen[s:s + step] @ (p * p).T
         d2 = q2[:, None] + own_p2 - 2.0 * (qs @ p.T)
         if skip is not None:
             own = skip[s:s + step]
@@ -82,7 +176,7 @@ def top_k(q: np.ndarray, p: np.ndarray, k: int, skip: np.ndarray | None = None,
             mask = np.ones(d2.shape, dtype=bool)
         mask &= np.isfinite(d2)
         rows, cols = np.nonzero(mask)
-        dist = _exact(qs, p, rows, cols, None if seen is None else seen[s:s + step])
+        dist = _exact(qs, p, rows, cols, seen[s:s + step])
         order = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         starts = np.searchsorted(rows, np.arange(len(qs)))
@@ -153,6 +247,9 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metric: str = "eucli
         return _merge(_queries_broadcast(points, local, k, exclude_self, schema, masked), k)
     if masked:  # the nearest by some values need not be near by all, so no group of points can be left out
         return _merge(_block_join(queries, points, k, exclude_self, n_queries, n_points, schema), k)
+    first = points.select(F.size("vec").alias("d")).first()
+    if first["d"] > FEW:
+        return _merge(_tiles(queries, points, k, exclude_self, n_queries, n_points, schema), k)
     return _merge(_measured(survivors(queries, points, k, exclude_self, n_points), queries, points, schema), k)
 
 
@@ -224,6 +321,74 @@ def _block_join(queries, points, k, exclude_self, n_queries, n_points, schema):
     return qs.groupBy("qb", "pb").cogroup(pts.groupBy("qb", "pb")).applyInPandas(search, schema)
 
 
+def _pack(block: pa.Table) -> pa.Table:
+    """A block as one row: its ids and its vectors as the bytes of a matrix."""
+    return pa.table({"piece": block["piece"].slice(0, 1), "ids": pa.array([block["id"].to_pylist()], pa.list_(block["id"].type)),
+                     "matrix": pa.array([matrix_of(block["vec"]).tobytes()], pa.binary())})
+
+
+def _packed(df: DataFrame, id_col: str, n_pieces: int) -> DataFrame:
+    """(piece, ids, matrix): the rows dealt to pieces by their ids."""
+    kind = df.schema[id_col].dataType.simpleString()
+    dealt = df.filter(F.col(id_col).isNotNull()).select(
+        F.pmod(F.xxhash64(id_col), F.lit(n_pieces)).cast("int").alias("piece"), F.col(id_col).alias("id"), "vec")
+    return stored(dealt.groupBy("piece").applyInArrow(_pack, f"piece int, ids array<{kind}>, matrix binary"))
+
+
+def _tiles(queries, points, k, exclude_self, n_queries, n_points, schema):
+    """Every block of queries meets every group of packed points; k rows per query leave a meeting.
+
+    A task holds the queries of one meeting and their k best; the points come one packed row after another.
+    """
+    spark = queries.sparkSession
+    d = max(1, points.select(F.size("vec").alias("d")).first()["d"])
+    rows = max(1, min(limit_of(spark, BLOCK_ROWS), PIECE_VALUES // d))
+    meetings = 4 * spark.sparkContext.defaultParallelism
+    q_blocks = max(-(-n_queries * d // QUERY_VALUES), min(math.isqrt(meetings) + 1, -(-n_queries // rows)))
+    groups = max(1, min(-(-meetings // q_blocks), -(-n_points // rows)))
+    # pieces of queries are dealt to blocks by their numbers, those of points to groups
+    qs = _packed(queries, "query_id", q_blocks * max(1, -(-n_queries // (rows * q_blocks))))
+    pts = _packed(points, "point_id", groups * max(1, -(-n_points // (rows * groups))))
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    none = lambda df: F.lit(None).cast(df.schema["ids"].dataType)
+    asks = qs.select((F.col("piece") % q_blocks).alias("qb"), every(groups).alias("pg"), F.lit(0).alias("side"), "piece",
+                     F.col("ids").alias("query_ids"), none(pts).alias("point_ids"), "matrix")
+    told = pts.select(every(q_blocks).alias("qb"), (F.col("piece") % groups).alias("pg"), F.lit(1).alias("side"), "piece",
+                      none(qs).alias("query_ids"), F.col("ids").alias("point_ids"), "matrix")
+
+    def search(batches):
+        now, best, ids, held, kind = None, None, None, [], None
+
+        def found():
+            if best is not None:
+                at, near, dist, rank = best.rows()
+                for s in range(0, len(at), 100_000):
+                    part = slice(s, s + 100_000)
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(at[part])), pa.array(near[part], kind), pa.array(dist[part]), pa.array(rank[part].astype("int32"))],
+                        names=["query_id", "point_id", "distance", "rank"])
+
+        for batch in batches:
+            kind = batch.schema.field(5).type.value_type
+            for i in range(batch.num_rows):
+                qb, pg, side = (batch.column(c)[i].as_py() for c in range(3))
+                matrix = np.frombuffer(batch.column(6)[i].as_buffer(), np.float64).reshape(-1, d)
+                if (qb, pg) != now:
+                    yield from found()
+                    now, best, held = (qb, pg), None, []
+                if side == 0:
+                    held.append((batch.column(4)[i].values, matrix))
+                elif held:
+                    if best is None:
+                        ids = pa.concat_arrays([x[0] for x in held])
+                        best = Best(np.concatenate([x[1] for x in held]), k, ids.to_numpy(zero_copy_only=False) if exclude_self else None)
+                    best.meet(matrix, batch.column(5)[i].values.to_numpy(zero_copy_only=False))
+        yield from found()
+
+    met = asks.unionByName(told).repartition(q_blocks * groups, "qb", "pg").sortWithinPartitions("qb", "pg", "side", "piece")
+    return met.mapInArrow(search, schema)
+
+
 def levels_of(sample: np.ndarray) -> np.ndarray:
     """LEVELS values per dimension, a row each, at equal shares of the sample."""
     return np.quantile(sample, (np.arange(LEVELS) + 0.5) / LEVELS, axis=0).T.copy()

@@ -95,3 +95,38 @@ def test_other_id_types(spark, blocks):
     queries, points = tables(spark, p[:60], p)
     got = nearest.knn_join(queries.withColumn("query_id", F.concat(F.lit("q"), "query_id")), points.withColumn("point_id", F.concat(F.lit("p"), F.lpad("point_id", 5, "0"))), 3)
     assert {(int(r.query_id[1:]), int(r.point_id[1:]), r["rank"]) for r in got.collect()} == {x[:3] for x in brute(p[:60], p, 3)}
+
+
+@pytest.mark.parametrize("exclude_self", [False, True])
+def test_tiles_equal_brute_force(spark, blocks, monkeypatch, exclude_self):
+    """In many dimensions packed blocks meet: no pair leaves a task but the k best of a meeting, ties and repeated points included."""
+    rng = np.random.default_rng(7)
+    p = unit(rng, 700, 20)
+    p[::4] = p[0]
+    p[1::50] += 1e4
+    monkeypatch.setattr(nearest, "survivors", lambda *a: pytest.fail("codes are for few dimensions"))
+    queries, points = tables(spark, p, p)
+    near = nearest.knn_join(queries, points, 6, exclude_self=exclude_self)
+    got = near.collect()
+    want = {(i, rank): (j, d) for i, j, rank, d in brute(p, p, 6, exclude_self)}
+    assert {(r.query_id, r["rank"]): r.point_id for r in got} == {key: j for key, (j, d) in want.items()}
+    assert max(abs(r.distance - want[r.query_id, r["rank"]][1]) for r in got) < 1e-9
+    text = nearest.knn_join(queries.withColumn("query_id", F.concat(F.lit("q"), "query_id")), points.withColumn("point_id", F.format_string("p%05d", "point_id")), 6)
+    assert {(int(r.query_id[1:]), r["rank"], int(r.point_id[1:])) for r in text.collect()} == {(i, rank, j) for i, j, rank, _ in brute(p, p, 6)}
+
+
+def test_best_of_tiles():
+    """Rows come in any order, some without a distance; single precision decides nothing."""
+    rng = np.random.default_rng(8)
+    for d, scale, shift in ((64, 1.0, 0.0), (64, 1e-4, 1e3), (3, 1e-3, 900.0), (20, 1e20, 0.0)):
+        p = rng.integers(0, 3, (5000, d)) * scale + shift
+        p[7, 0] = np.nan
+        order = rng.permutation(5000)
+        best = nearest.Best(p[:30], 8, np.arange(30))
+        for s in range(0, 5000, 900):
+            best.meet(p[order[s:s + 900]], order[s:s + 900])
+        rows, ids, dist, _ = best.rows()
+        apart = np.sqrt(((p[:30, None, :] - p[None]) ** 2).sum(axis=2))
+        apart[np.arange(30), np.arange(30)] = np.nan
+        want = [j for i in range(30) if i != 7 for j in np.lexsort((np.arange(5000), apart[i]))[:8]]
+        assert ids.tolist() == want
