@@ -29,9 +29,12 @@ from loomframe.plans.runtime import BLOCK_ROWS, BROADCAST_ROWS, cut_lineage, lim
 
 BROADCAST_VALUES = 32_000_000  # at most 256 MB of doubles in a broadcast matrix
 CHUNK = 4_000_000
+MASKED_PAIRS = 1_000_000_000  # above, masked queries are searched pattern by pattern, if there are
+PATTERNS = 32  # at most so many; each is a search of its own
 PIVOT_VALUES = 4_000_000  # at most 32 MB of doubles in the broadcast table of pivots
 LEVELS = 256  # values of a dimension that one byte tells
 FEW = 16  # dimensions in which groups of points can be left out
+LEAF = 256  # the same in few dimensions, where they are near each other
 TILE = 2_048  # points that meet queries at once
 PIECE_VALUES = 131_072  # at most 1 MB of doubles in a packed row
 QUERY_VALUES = 4_000_000  # at most 32 MB of doubles in the queries that a task holds
@@ -59,6 +62,24 @@ def _exact(q: np.ndarray, p: np.ndarray, rows: np.ndarray, cols: np.ndarray, see
     return out
 
 
+def near_each_other(p: np.ndarray, size: int) -> list[np.ndarray]:
+    """Positions of all points: first some from everywhere, then the others in parts of at most `size`, each split at its widest side."""
+    parts, todo = [], [np.arange(len(p))]
+    while todo:
+        some = todo.pop()
+        if len(some) <= size:
+            parts.append(some)
+            continue
+        x = p[some]
+        x = np.where(np.isfinite(x), x, 0.0)
+        order = np.argpartition(x[:, (x.max(axis=0) - x.min(axis=0)).argmax()], len(some) // 2)
+        todo += [some[order[len(some) // 2:]], some[order[:len(some) // 2]]]
+    if len(parts) == 1:
+        return parts
+    spread = max(1, len(parts) // size)
+    return [np.concatenate([x[:1] for x in parts[::spread]]), *[x[1:] if i % spread == 0 else x for i, x in enumerate(parts)]]
+
+
 class Best:
     """The k nearest points so far of each query, ties by the points' ids.
 
@@ -80,8 +101,12 @@ class Best:
         self.dist, self.ids = np.full((len(q), k), np.inf), None
 
     def meet(self, p: np.ndarray, ids: np.ndarray) -> None:
-        for s in range(0, len(p), TILE):
-            self._tile(p[s:s + TILE], ids[s:s + TILE])
+        if self.q.shape[1] > FEW:
+            for s in range(0, len(p), TILE):
+                self._tile(p[s:s + TILE], ids[s:s + TILE])
+        else:
+            for some in near_each_other(p, LEAF):
+                self._tile(p[some], ids[some])
 
     def _tile(self, p: np.ndarray, ids: np.ndarray) -> None:
         if self.ids is None:
@@ -94,10 +119,13 @@ class Best:
         p2 = (moved * moved).sum(axis=1)
         kind = self.kind if p2.max() < 1e30 else np.float64
         right = np.column_stack([moved, p2]).astype(kind).T
+        reach = self._reach(p)
+        if not len(reach):
+            return
         want = self.k if self.own is None else self.k + int(pd.Series(ids).value_counts().iloc[0])
         step = max(1, CHUNK // len(p))
-        for s in range(0, len(self.q), step):
-            rows = slice(s, min(s + step, len(self.q)))
+        for s in range(0, len(reach), step):
+            rows = reach[s:s + step]
             near = self.left[rows].astype(kind, copy=False) @ right  # squared distances less the query's square
             q2, kth = self.q2[rows], self.dist[rows, -1]
             margin = self.slack * (q2 + p2.max()) + 1e-30
@@ -109,12 +137,21 @@ class Best:
                 elif np.count_nonzero(near[:16] <= limit[:16, None]) > 16 * 4 * want:
                     limit = np.minimum(limit, np.partition(near, want - 1, axis=1)[:, want - 1].astype(float) + 2 * margin)
             at = np.flatnonzero(near <= limit.astype(kind)[:, None])
-            self._take(s, at // len(p), at % len(p), p, ids)
-
-    def _take(self, s: int, rows: np.ndarray, cols: np.ndarray, p: np.ndarray, ids: np.ndarray) -> None:
-        """Put points (cols) among the k best of queries (s + rows)."""
-        dist = _exact(self.q[s:], p, rows, cols)
-        rows = rows + s
+            self._take(rows[at // len(p)], at % len(p), p, ids)
+
+    def _reach(self, p: np.ndarray) -> np.ndarray:
+        """The queries that may have one of their k nearest among these points: in few dimensions those near the points' box."""
+        if self.q.shape[1] > FEW or not np.isfinite(self.dist[:, -1]).any():
+            return np.arange(len(self.q))
+        low, high, apart = p.min(axis=0), p.max(axis=0), np.zeros(len(self.q))
+        for i in range(self.q.shape[1]):
+            gap = np.maximum(np.maximum(low[i] - self.q[:, i], self.q[:, i] - high[i]), 0)
+            apart += gap * gap
+        return np.flatnonzero(np.sqrt(apart) <= self.dist[:, -1] * (1 + 1e-9))
+
+    def _take(self, rows: np.ndarray, cols: np.ndarray, p: np.ndarray, ids: np.ndarray) -> None:
+        """Put points (cols) among the k best of queries (rows)."""
+        dist = _exact(self.q, p, rows, cols)
         use = np.isfinite(dist) & (dist <= self.dist[rows, -1])
         if self.own is not None:
             use &= np.asarray(ids[cols] != self.own[rows], bool)
@@ -239,6 +276,13 @@ def knn_join(queries: DataFrame, points: DataFrame, k: int, metric: str = "eucli
         raise ValueError(f"k={k} is larger than the number of points")
     n_queries = queries.count() if n_queries is None else n_queries
     schema = _schema(queries, points)
+    if masked and n_queries * n_points > MASKED_PAIRS:
+        return _by_pattern(queries, points, k, exclude_self, schema, n_queries, n_points)
+    return _unlike(queries, points, k, exclude_self, n_queries, n_points, schema, masked)
+
+
+def _unlike(queries, points, k, exclude_self, n_queries, n_points, schema, masked=False):
+    """The plan for the sizes of both tables."""
     local = local_matrix(points, "point_id", n_points)
     if local is not None:
         return _points_broadcast(queries, local, k, exclude_self, n_queries, schema, masked)
@@ -278,27 +322,61 @@ def _queries_broadcast(points, local, k, exclude_self, schema, masked=False):
 
     def search(batches):
         qids, q = shared.value
-        best = None
+        best, parts = None if masked else Best(q, k, qids if exclude_self else None), []
+        kind = pa.null()
         for batch in batches:
             if batch.num_rows == 0:
                 continue
-            ids = batch.column(0).to_pandas().to_numpy()
+            kind = batch.schema.field(0).type
+            ids, p = batch.column(0).to_pandas().to_numpy(), matrix_of(batch.column(1))
+            if not masked:
+                best.meet(p, ids)
+                continue
             order = np.argsort(ids, kind="stable")
-            ids, p = ids[order], matrix_of(batch.column(1))[order]
+            ids, p = ids[order], p[order]
             own = pd.Index(ids).get_indexer(pd.Index(qids)) if exclude_self else None
             rows, cols, dist, _ = top_k(q, p, k, own, masked)
-            found = pd.DataFrame({"row": rows, "point_id": ids[cols], "distance": dist})
-            best = found if best is None else pd.concat([best, found])
-            best = best.sort_values(["row", "distance", "point_id"]).groupby("row", sort=False).head(k)
-        if best is not None:
+            parts.append(pd.DataFrame({"row": rows, "point_id": ids[cols], "distance": dist}))
+            parts = [pd.concat(parts).sort_values(["row", "distance", "point_id"]).groupby("row", sort=False).head(k)]
+        if masked:
+            at, near, dist = (parts[0][c].to_numpy() for c in ("row", "point_id", "distance")) if parts else ((),) * 3
+        else:
+            at, near, dist, _ = best.rows()
+        for s in range(0, len(at), 100_000):
+            part = slice(s, s + 100_000)
             yield pa.RecordBatch.from_pandas(pd.DataFrame({
-                "query_id": qids[best["row"].to_numpy()], "point_id": best["point_id"].to_numpy(),
-                "distance": best["distance"].to_numpy(),
-                "rank": np.ones(len(best), dtype="int32")}), preserve_index=False)
+                "query_id": qids[at[part]], "point_id": pa.array(near[part], kind).to_pandas(), "distance": dist[part],
+                "rank": np.ones(len(at[part]), dtype="int32")}), preserve_index=False)
 
     return points.mapInArrow(search, schema)
 
 
+def _by_pattern(queries, points, k, exclude_self, schema, n_queries, n_points):
+    """Masked queries by the values they have: each pattern is a join over those alone, of distinct queries and distinct points.
+
+    Equal queries have the same neighbors, and of points equal in these values only the k of the smallest ids can be neighbors. With
+    very many patterns, or if a query's own point is left out, all are searched in one join.
+    """
+    known = queries.withColumn("_known", F.transform("vec", lambda v: v.isNotNull()))
+    patterns = [r[0] for r in known.select("_known").distinct().limit(PATTERNS + 1).collect()]
+    if exclude_self or len(patterns) > PATTERNS:
+        return _unlike(queries, points, k, exclude_self, n_queries, n_points, schema, masked=True)
+    out = None
+    for pattern in patterns:
+        places = [i for i, here in enumerate(pattern) if here]
+        seen = F.array(*[F.get("vec", F.lit(i)) for i in places]).cast("array<double>")
+        mine = cut_lineage(known.filter(F.col("_known") == F.array(*[F.lit(x) for x in pattern])).select("query_id", seen.alias("vec")))
+        asks = cut_lineage(mine.groupBy("vec").agg(F.min("query_id").alias("query_id")).select("query_id", "vec"))
+        first = Window.partitionBy("vec").orderBy("point_id")
+        told = points.select("point_id", seen.alias("vec")).withColumn("_i", F.row_number().over(first))
+        told = cut_lineage(told.filter(F.col("_i") <= k).drop("_i"))
+        near = _unlike(asks, told, k, False, asks.count(), told.count(), schema)
+        near = near.join(asks.withColumnRenamed("query_id", "_ask"), F.col("query_id") == F.col("_ask")).drop("query_id", "_ask")
+        near = mine.join(near, "vec").select("query_id", "point_id", "distance", "rank")
+        out = near if out is None else out.unionByName(near)
+    return out
+
+
 def _block_join(queries, points, k, exclude_self, n_queries, n_points, schema):
     """Every block of masked queries meets every block of points; k rows per query leave a block."""
     block = limit_of(queries.sparkSession, BLOCK_ROWS)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from loomframe.operators import missing
 from loomframe.operators.missing import knn_impute
+from loomframe.plans import nearest
 
 
 def plain(x, k, weights):
@@ -73,3 +74,24 @@ def test_other_columns_and_types_stay(spark):
     assert knn_impute(df.filter(F.col("b").isNotNull()), "id", ["a", "b"], 1).count() == 2
     with pytest.raises(ValueError):
         knn_impute(df.filter("id = 1"), "id", ["a", "b"], 1)
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 20])
+def test_patterns_are_searched_over_distinct_values(spark, monkeypatch, broadcast):
+    """Few values, repeated often: a search sees each of them once, results are those of all rows."""
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 6, (800, 3)).astype(float)
+    x[rng.random((800, 3)) < 0.2] = np.nan
+    df, cols = frame(spark, x)
+    sizes, plan = [], nearest._unlike
+    monkeypatch.setattr(nearest, "MASKED_PAIRS", 0)
+    monkeypatch.setattr(nearest, "_unlike", lambda q, p, k, own, n, m, *a, **b: sizes.append((n, m)) or plan(q, p, k, own, n, m, *a, **b))
+    spark.conf.set("spark.loomframe.broadcastRows", str(broadcast))
+    spark.conf.set("spark.loomframe.blockRows", "40")
+    try:
+        got = np.array([[np.nan if r[c] is None else r[c] for c in cols] for r in knn_impute(df, "id", cols, 4).orderBy("id").collect()])
+    finally:
+        spark.conf.unset("spark.loomframe.broadcastRows")
+        spark.conf.unset("spark.loomframe.blockRows")
+    np.testing.assert_allclose(got, plain(x, 4, "uniform"), rtol=1e-9, atol=1e-12)
+    assert len(sizes) == 6 and all(n <= 36 and m <= 4 * 36 for n, m in sizes)
