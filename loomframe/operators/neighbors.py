@@ -132,47 +132,116 @@ def edited_selection(points: DataFrame, id_col: str, cols, label: str, k: int =
     return points.join(kept, id_col, "left_semi")
 
 
+AHEAD, WORKING = 64, 10_000  # rounds guessed at a time, and rows that the guess begins with
+
+
+def _nearer(vec: np.ndarray, best: np.ndarray, near: np.ndarray, batch: list[tuple], code: dict):
+    """The distance, the label's number and the id of the nearest prototype, also considering the batch; ties go to the smaller id."""
+    ids, matrix = [b[0] for b in batch], np.array([b[1] for b in batch])
+    dist, label, nid = best, near[0], near[1]
+    d = np.sqrt(((vec[:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2))
+    at = d.argmin(axis=1)
+    found = d[np.arange(len(vec)), at]
+    better = found < dist
+    tied = np.flatnonzero((found == dist) & (label > -2))
+    better[tied] = [ids[at[i]] < nid[i] for i in tied]
+    return (np.where(better, found, dist), (np.where(better, np.array([code[b[2]] for b in batch])[at], label),
+                                            np.where(better, np.array(ids, dtype=object)[at], nid)))
+
+
+def _fresh_state(n: int):
+    """No prototype yet: label -2; a label that is NULL has number -1 and counts neither as missed nor as missing others."""
+    return np.full(n, np.inf), (np.full(n, -2), np.full(n, None, dtype=object))
+
+
+def _first_missed(label: np.ndarray, ids: np.ndarray, near: np.ndarray) -> list[int]:
+    """Per label the position of the lowest id whose nearest prototype is of another label."""
+    at = np.flatnonzero((label >= 0) & (near >= 0) & (label != near))
+    first = {}
+    for i in at[np.argsort(ids[at], kind="stable")].tolist():
+        first.setdefault(label[i], i)
+    return list(first.values())
+
+
 def condensed_selection(points: DataFrame, id_col: str, cols, label: str) -> DataFrame:
     """Prototypes grown in rounds: the lowest id of each class first, then per round the lowest missed id of each class.
 
-    Only distances to the newest prototypes are computed; each row carries its nearest prototype so far.
+    The rounds to come are guessed from a few rows on the driver. One pass over all rows replays them and tells the lowest missed
+    ids of each round; rounds are taken up to the first that was guessed wrong, which is taken as the pass found it, and its
+    rows join those the next guess is made from. So the rounds are exact, and a pass settles many. Each row carries its
+    nearest prototype so far; of rows equal in vector and label the lowest id alone can be chosen.
     """
     data = points.select(F.col(id_col).alias("id"), F.col(label).alias("label"),
                          (F.col(cols) if isinstance(cols, str) else F.array(*cols)).cast("array<double>").alias("vec"))
-    data = cut_lineage(data)
+    data = cut_lineage(data.groupBy("label", "vec").agg(F.min("id").alias("id")).select("id", "label", "vec"))
+    kind, idt = data.schema["label"].dataType.simpleString(), data.schema["id"].dataType.simpleString()
     seeds = data.groupBy("label").agg(F.min_by(F.struct("id", "vec"), "id").alias("s")).select(
         F.col("s.id").alias("id"), F.col("s.vec").alias("vec"), "label")
-    newest = [(r["id"], list(r["vec"]), r["label"]) for r in seeds.collect()]  # one row per class
-    kind = data.schema["label"].dataType.simpleString()
-    idt = data.schema["id"].dataType.simpleString()
-    state = data.select("*", F.lit(float("inf")).alias("best"), F.lit(None).cast(kind).alias("near"),
-                        F.lit(None).cast(idt).alias("near_id"))
-    chosen = []
-    while newest:  # every round adds a missed row, so it ends
-        chosen += newest
-        batch = sorted(newest)
-        ids, matrix, labels = [b[0] for b in batch], np.array([b[1] for b in batch]), [b[2] for b in batch]
-
-        def update(batches, ids=ids, matrix=matrix, labels=labels):
+    as_rows = lambda df: [(r["id"], list(r["vec"]), r["label"]) for r in df.select("id", "vec", "label").collect()]
+    rounds, applied = [sorted(as_rows(seeds), key=lambda r: r[0])], 0  # one row per class
+    code = {r[2]: -1 if r[2] is None else i for i, r in enumerate(rounds[0])}
+    working = {r[0]: r for r in as_rows(data.orderBy("id").limit(WORKING))}
+    state = data.select("*", F.lit(float("inf")).alias("best"), F.lit(-2).cast("long").alias("near"), F.lit(None).cast(idt).alias("near_id"))
+
+    def guess() -> list[list[tuple]]:
+        rows = list(working.values())
+        vec, ids = np.array([r[1] for r in rows]), pd.Series([r[0] for r in rows]).to_numpy()
+        own = np.array([code[r[2]] for r in rows])
+        best, near = _fresh_state(len(rows))
+        for batch in rounds:
+            best, near = _nearer(vec, best, near, batch, code)
+        out = []
+        while len(out) < AHEAD and (first := _first_missed(own, ids, near[0])):
+            out.append(sorted((rows[i] for i in first), key=lambda r: r[0]))
+            best, near = _nearer(vec, best, near, out[-1], code)
+        return out
+
+    def replayed(pdf: pd.DataFrame, plan):
+        """The state before the plan and after each of its rounds."""
+        vec, best = np.stack(pdf["vec"]), pdf["best"].to_numpy()
+        near = pdf["near"].to_numpy(), pdf["near_id"].to_numpy(dtype=object)
+        yield best, near
+        for batch in plan:
+            best, near = _nearer(vec, best, near, batch, code)
+            yield best, near
+
+    while rounds[0]:
+        plan, settled = rounds[applied:] + guess(), len(rounds) - applied
+
+        def missed(batches, plan=plan, settled=settled):
+            for pdf in batches:
+                if len(pdf):
+                    own = pdf["label"].map(lambda x: -1 if pd.isna(x) else code[x]).to_numpy()
+                    for step, (_, near) in enumerate(replayed(pdf, plan)):
+                        if step >= settled and (at := _first_missed(own, pdf["id"].to_numpy(), near[0])):
+                            yield pdf.iloc[at][["id", "vec", "label"]].assign(step=step)
+
+        told = state.mapInPandas(missed, f"id {idt}, vec array<double>, label {kind}, step int")
+        told = told.groupBy("step", "label").agg(F.min_by(F.struct("id", "vec"), "id").alias("s"))
+        found: dict[int, list[tuple]] = {}
+        for r in told.collect():  # a row per guessed round and class
+            row = (r["s"]["id"], list(r["s"]["vec"]), r["label"])
+            working[row[0]] = row
+            found.setdefault(r["step"], []).append(row)
+        step = settled
+        while step in found:
+            rounds.append(sorted(found[step], key=lambda r: r[0]))
+            if step >= len(plan) or plan[step] != rounds[-1]:
+                break
+            step += 1
+        else:
+            break  # nothing is missed after this round
+
+        def update(batches, plan=rounds[applied:]):
             for pdf in batches:
                 if len(pdf):
-                    d = np.sqrt(((np.stack(pdf["vec"])[:, None, :] - matrix[None, :, :]) ** 2).sum(axis=2))
-                    at = d.argmin(axis=1)
-                    dist, nid = d[np.arange(len(pdf)), at], np.array(ids, dtype=object)[at]
-                    better = (dist < pdf["best"].to_numpy()) | (
-                        (dist == pdf["best"].to_numpy()) & pd.Series(nid < pdf["near_id"].fillna(ids[0]).to_numpy()).to_numpy(bool))
-                    pdf["best"] = np.where(better, dist, pdf["best"])
-                    pdf["near"] = np.where(better, np.array(labels, dtype=object)[at], pdf["near"])
-                    pdf["near_id"] = np.where(better, nid, pdf["near_id"])
+                    *_, (best, near) = replayed(pdf, plan)
+                    pdf["best"], pdf["near"], pdf["near_id"] = best, near[0], near[1]
                 yield pdf
 
-        state = state.mapInPandas(update, state.schema)
-        # each round's state is materialized once, in the shared folder; lineage stays flat
-        state = cut_lineage(state)
-        missed = state.filter(F.col("near") != F.col("label")).groupBy("label").agg(
-            F.min_by(F.struct("id", "vec"), "id").alias("s"))
-        newest = [(r["s"]["id"], list(r["s"]["vec"]), r["label"]) for r in missed.collect()]
-    picked = points.sparkSession.createDataFrame([(c[0],) for c in chosen], f"{id_col} {idt}")
+        # materialized once a pass, in the shared folder; lineage stays flat
+        state, applied = cut_lineage(state.mapInPandas(update, state.schema)), len(rounds)
+    picked = points.sparkSession.createDataFrame([(r[0],) for batch in rounds for r in batch], f"{id_col} {idt}")
     return points.join(F.broadcast(picked), id_col, "left_semi")
 
 

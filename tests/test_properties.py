@@ -319,3 +319,25 @@ def test_fitted_transforms_run_on_a_stream(spark, sf, tmp_path):
         assert q.awaitTermination(120)
         got = spark.read.parquet(str(out)).orderBy("o_orderkey").collect()
         assert got == fit.transform(orders).orderBy("o_orderkey").collect()
+
+
+def test_condensed_rounds_are_guessed_and_checked(spark, monkeypatch):
+    """Few passes settle many rounds, whatever the guess begins with; the choice is that of a plain loop."""
+    rng = np.random.default_rng(11)
+    x = np.round(rng.normal(size=(600, 2)), 1)
+    y = (x[:, 0] + 0.4 * np.sin(5 * x[:, 1]) > 0).astype(int) + (x[:, 1] > 1)
+    chosen, newest = [], [int(np.flatnonzero(y == c)[0]) for c in np.unique(y)]
+    n_rounds = 0
+    while newest:
+        chosen, n_rounds = sorted(chosen + newest), n_rounds + 1
+        near = np.array(chosen)[np.sqrt(((x[:, None] - x[chosen][None]) ** 2).sum(axis=2)).argmin(axis=1)]
+        missed = np.flatnonzero(y[near] != y)
+        newest = [int(missed[y[missed] == c][0]) for c in np.unique(y[missed])]
+    df = spark.createDataFrame([(i, [float(v) for v in r], int(c)) for i, (r, c) in enumerate(zip(x, y))], "id long, vec array<double>, y int")
+    passes, cut = [], neighbors.cut_lineage
+    monkeypatch.setattr(neighbors, "cut_lineage", lambda d: passes.append(1) or cut(d))
+    for working in (2_000, 20):
+        monkeypatch.setattr(neighbors, "WORKING", working)
+        passes.clear()
+        assert sorted(r["id"] for r in neighbors.condensed_selection(df, "id", "vec", "y").collect()) == chosen
+        assert len(passes) < (n_rounds / 2 if working == 2_000 else n_rounds)
