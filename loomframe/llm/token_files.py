@@ -13,10 +13,14 @@ from __future__ import annotations
 
 import re
 import zlib
+from array import array
+from codecs import charmap_decode
 from functools import lru_cache
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,6 +34,34 @@ KEPT_WORDS = 400_000
 ODD_SPACE = re.compile(r" (?=\s|$)")
 # Marks that never join a letter before them (no bracket or bar of a special token, no apostrophe).
 TAIL = ".,;:!?()[]{}*#%$&\"-_=+/\\~^@"
+# Letters in every version of Unicode: a word of them is one piece of the splitting pattern, with the space before it.
+LATIN = re.compile("[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+# A line break between two characters that surely are no white space is a piece of its own.
+LINE = re.compile("\n(?<=[!-~\u00c0-\u024f]\n)(?=[!-~\u00c0-\u024f])")
+# The characters that stand for bytes in a byte-level vocabulary: printable ones for themselves, the others from U+0100 on.
+PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTES = "".join(chr(b if b in PRINTED else 256 + sum(c not in PRINTED for c in range(b))) for b in range(256))
+
+
+class Pieces:
+    """Ids of pieces of text, one after another."""
+
+    def __init__(self):
+        self.parts: list[np.ndarray] = []
+        self.sizes: list[np.ndarray] = []
+        self.n = 0
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> range:
+        """The numbers of the new pieces."""
+        self.parts.append(ids)
+        self.sizes.append(sizes)
+        self.n += len(sizes)
+        return range(self.n - len(sizes), self.n)
+
+    def arrays(self) -> tuple[np.ndarray, np.ndarray]:
+        """All ids, and where the pieces end (with a 0 before)."""
+        self.parts, self.sizes = [np.concatenate([np.empty(0, "<u4"), *self.parts])], [np.concatenate([np.empty(0, np.int64), *self.sizes])]
+        return self.parts[0], np.append(0, np.cumsum(self.sizes[0]))
 
 
 class WordEncoder:
@@ -43,52 +75,94 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.kept: dict[str, bytes] = {}
+        self.kept: dict[str, int] = {}  # the words' pieces
+        self.pieces = Pieces()
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
         self.starts[[i for t, i in vocabulary.items() if t.startswith("Ġ")]] = True
+        self.line = self._ids("\n").tolist()
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4")
 
-    def _learn(self, words: list[str], known: dict[str, bytes]) -> None:
-        """Ids of words that follow a space: one call for all, cut where a token starts with the space."""
-        for i in range(0, len(words), 50_000):
-            part = words[i:i + 50_000]
-            ids = self._ids(" " + " ".join(part))
-            cuts = np.append(np.flatnonzero(self.starts[ids]), len(ids))
-            if len(cuts) != len(part) + 1:  # a word that holds a special token or other white space
-                for w in part:
-                    known[w] = self._ids(" " + w).tobytes()
-                continue
-            data = ids.tobytes()
-            ends = (cuts * 4).tolist()
-            known.update(zip(part, [data[a:b] for a, b in zip(ends, ends[1:])]))
+    def _each(self, texts: list[str], pieces: Pieces) -> range:
+        found = [np.array(e.ids, dtype="<u4") for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return pieces.add(np.concatenate([np.empty(0, "<u4"), *found]), np.array([len(f) for f in found], np.int64))
+
+    def _learn(self, words: list[str], pieces: Pieces) -> np.ndarray:
+        """Pieces of words that follow a space or begin with a line break. Those of Latin letters are not cut by the splitting pattern
+        and go to the merges at once; the others in one call for all, cut where a token starts with the space."""
+        tokenize, whole = self.tokenizer.model.tokenize, LATIN.fullmatch
+        sizes, ids, merged, rest, lines = array("q"), array("I"), [], [], []
+        for i, w in enumerate(words):
+            line = w[:1] == "\n"
+            if whole(w, line):
+                name = w if w.isascii() else charmap_decode(w.encode(), "strict", BYTES)[0]
+                found = [t.id for t in tokenize(name[1:] if line else "Ġ" + name)]
+                if line:
+                    found[:0] = self.line
+                merged.append(i)
+                sizes.append(len(found))
+                ids.extend(found)
+            else:
+                (lines if line else rest).append(i)
+        out = np.empty(len(words), np.int64)
+        out[merged] = pieces.add(np.array(ids, "<u4"), np.array(sizes, np.int64))
+        out[lines] = self._each([words[i] for i in lines], pieces)
+        for i in range(0, len(rest), 50_000):
+            part = [words[j] for j in rest[i:i + 50_000]]
+            found = self._ids(" " + " ".join(part))
+            cuts = np.append(np.flatnonzero(self.starts[found]), len(found))
+            if len(cuts) == len(part) + 1:
+                out[rest[i:i + 50_000]] = pieces.add(found, np.diff(cuts))
+            else:  # a word that holds a special token or other white space
+                out[rest[i:i + 50_000]] = self._each([" " + w for w in part], pieces)
+        return out
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        """Little-endian 32-bit ids of each text."""
-        kept = self.kept
+        """Little-endian 32-bit ids of each text: those of its distinct words, put in the places of the words."""
         odd = [bool(ODD_SPACE.search(t)) for t in texts]
-        parts = [[] if o else t.split(" ") for t, o in zip(texts, odd)]
-        firsts = [p.pop(0) if p else "" for p in parts]
-        unseen: set[str] = set()
-        for p in parts:
-            unseen.update(p)
-        unseen = {w for w in unseen if w not in kept}
-        known = kept if len(kept) + len(unseen) <= self.most else dict(kept)
+        # a line break between words begins a word of its own; no other word begins with one, as such a text is odd
+        spaced = pa.array(["" if o else LINE.sub(" \n", t) for t, o in zip(texts, odd)], pa.large_string())
+        lists = pc.split_pattern(spaced, " ")
+        first, words = lists.offsets.to_numpy().astype(np.int64), lists.flatten()
+        heads = words.take(pa.array(first[:-1])).to_pylist()
+        follows = np.ones(len(words), bool)
+        follows[first[:-1]] = False
+        coded = words.filter(pa.array(follows)).dictionary_encode()
         # words that end in marks are their stem and the marks: the splitting pattern cuts there
-        tails = {w: w.rstrip(TAIL) for w in unseen}
-        stems = {s if s and s[-1].isalpha() else w for w, s in tails.items()}
-        self._learn([s for s in stems if s not in known], known)
-        marks: dict[str, bytes] = {}
-        for w, s in tails.items():
-            if w not in known:
-                mark = w[len(s):]
-                if mark not in marks:
-                    marks[mark] = self._ids(mark).tobytes()
-                known[w] = known[s] + marks[mark]
-        heads = self.tokenizer.encode_batch_fast([t if o else f for t, o, f in zip(texts, odd, firsts)], add_special_tokens=False)
-        return [np.array(h.ids, dtype="<u4").tobytes() + b"".join([known[w] for w in p]) for h, p in zip(heads, parts)]
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        stems = [s if s and s[-1].isalpha() else w for w, s in zip(distinct, [w.rstrip(TAIL) for w in distinct])]
+        marks = [w[len(s):] for w, s in zip(distinct, stems)]
+        kept, held, here = self.kept, self.pieces, Pieces()
+        at = np.fromiter(map(kept.get, stems, repeat(-1)), np.int64, len(stems))
+        new = np.flatnonzero(at < 0)
+        unseen = list(dict.fromkeys([stems[i] for i in new]))
+        keep = len(kept) + len(unseen) <= self.most
+        learned = dict(zip(unseen, self._learn(unseen, held if keep else here).tolist()))
+        if keep:
+            kept.update(learned)
+        at[new] = [learned[stems[i]] for i in new]
+        if not keep:
+            at[new] += held.n
+        some = list(set(marks))
+        mark_at = dict(zip(some, self._each(some, here)))
+        head_at = self._each([t if o else h for t, o, h in zip(texts, odd, heads)], here)
+        (ids, ends), (more, more_ends) = held.arrays(), here.arrays()
+        ids = np.concatenate([ids, more])
+        # two pieces at each place: a word and its marks, or a text's beginning and nothing
+        begins, sizes = np.concatenate([ends[:-1], more_ends + ends[-1]]), np.concatenate([np.diff(ends), np.diff(more_ends), [0]])
+        which = np.full((len(words), 2), len(sizes) - 1, np.int64)
+        codes = coded.indices.to_numpy()
+        which[follows, 0] = at[codes]
+        which[follows, 1] = np.fromiter(map(mark_at.__getitem__, marks), np.int64, len(marks))[codes] + held.n
+        which[first[:-1], 0] = np.array(head_at, np.int64) + held.n
+        which = which.ravel()
+        n = sizes[which]
+        ends = np.cumsum(n)
+        data = ids[np.repeat(begins[which] - (ends - n), n) + np.arange(n.sum())]
+        ends = np.append(0, ends)[2 * first].tolist()
+        return [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
 
 
 @lru_cache(maxsize=2)

@@ -59,3 +59,12 @@ def test_odd_rows(spark, odd, empty, tmp_path):
     assert [r["start"] for r in rows] == [sum(r["n_tokens"] for r in rows[:i]) for i in range(len(rows))]
     write_token_files(empty, str(tmp_path / "empty"), default_tokenizer())
     assert read_documents(spark, str(tmp_path / "empty")).count() == 0
+
+
+def test_line_breaks_make_no_words_of_their_own():
+    plain, encoder = Tokenizer.from_file(default_tokenizer()), WordEncoder(default_tokenizer())
+    texts = [f"{a}\n{b}" for a in ("one two.", "x é", "three,") for b in ("Two x", " y", "1 a", "\nTwo", "\x1cq", "Été!", "a\nb\nc")]
+    for t, g in zip(texts, encoder.encode(texts)):
+        assert np.frombuffer(g, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    # the words around a line break are learned once each, not once for every pair of them
+    assert "\nTwo" in encoder.kept and "two.\nTwo" not in encoder.kept
