@@ -146,6 +146,12 @@ FEATURED = pa.schema([("lang", pa.string()), ("r", pa.int32()), ("at", pa.list_(
 FITTED = pa.schema([("feature", pa.int32()), ("w", pa.list_(pa.float64()))])
 
 
+def feature_rows(batch: pa.RecordBatch) -> list[tuple]:
+    """Rows of (lang, r, at, value), the lists as arrays: as Python numbers the sample would take ten times the memory."""
+    lists = [[v.values.to_numpy() for v in batch.column(i)] for i in (2, 3)]
+    return list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), *lists))
+
+
 def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
     """Fit on rows of (text, language). `sample` distinct texts per language, drawn by hash (all if there are fewer), fit
     the weights; document frequencies cover all rows."""
@@ -196,9 +202,9 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "te
     held = written(drawn.mapInArrow(features, "lang string, r int, at array<int>, value array<float>"))
 
     def train(batches):
-        rows = sorted((r for b in batches for r in zip(*(c.to_pylist() for c in b.columns))), key=lambda r: r[:2])
+        rows = sorted((r for b in batches for r in feature_rows(b)), key=lambda r: r[:2])
         labels = np.array([langs.index(r[0]) for r in rows], dtype=int)
-        vectors = [(np.array(r[2]), np.array(r[3])) for r in rows]
+        vectors = [r[2:] for r in rows]
         aside = np.array([r[1] % 5 == 0 for r in rows], dtype=bool)
         fit = np.flatnonzero(~aside)
         w, b = fit_ftrl([vectors[i] for i in fit], labels[fit], len(langs))
