@@ -29,7 +29,9 @@ from loomframe.llm.wavelet import WaveletMatrix
 
 SHARD_TOKENS = 1 << 18
 # Word encodings that one Python worker keeps.
-KEPT_WORDS = 400_000
+KEPT_WORDS = 300_000
+# Texts whose distinct words are looked up at once, at most so many bytes of them, and texts whose ids are put together at once.
+BLOCK_TEXTS, BLOCK_BYTES, GATHERED = 2500, 8 << 20, 500
 # A space before white space or the end: such texts are not cut at spaces.
 ODD_SPACE = re.compile(r" (?=\s|$)")
 # Marks that never join a letter before them (no bracket or bar of a special token, no apostrophe).
@@ -75,7 +77,11 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.most = Tokenizer.from_file(path), most
-        self.kept: dict[str, int] = {}  # the words' pieces
+        # words with their marks by number, the pieces of each (stem, marks), and the stems' and marks' pieces
+        self.kept: dict[str, int] = {}
+        self.pairs = np.empty((0, 2), np.int64)
+        self.stems: dict[str, int] = {}
+        self.marks: dict[str, int] = {}
         self.pieces = Pieces()
         vocabulary = self.tokenizer.get_vocab()
         self.starts = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -119,6 +125,27 @@ class WordEncoder:
                 out[rest[i:i + 50_000]] = self._each([" " + w for w in part], pieces)
         return out
 
+    def _pairs(self, words: list[str], here: Pieces) -> np.ndarray:
+        """The pieces of words: of the stem and of the marks at the end, where the splitting pattern cuts. What there is no room to keep
+        comes into `here`, which follows the pieces kept."""
+        stems = [s if s and s[-1].isalpha() else w for w, s in zip(words, [w.rstrip(TAIL) for w in words])]
+        marks = [w[len(s):] for w, s in zip(words, stems)]
+        unseen = [s for s in dict.fromkeys(stems) if s not in self.stems]
+        more = [m for m in dict.fromkeys(marks) if m not in self.marks]
+        keep = len(self.stems) + len(unseen) <= self.most and len(self.marks) + len(more) <= self.most
+        pieces, first = (self.pieces, 0) if keep else (here, self.pieces.n)
+        learned = dict(zip(unseen, (self._learn(unseen, pieces) + first).tolist()))
+        told = dict(zip(more, [first + i for i in self._each(more, pieces)]))
+        if keep:
+            self.stems.update(learned)
+            self.marks.update(told)
+        out = np.empty((len(words), 2), np.int64)
+        for place, (names, known, new) in enumerate(((stems, self.stems, learned), (marks, self.marks, told))):
+            out[:, place] = np.fromiter(map(known.get, names, repeat(-1)), np.int64, len(names))
+            rest = np.flatnonzero(out[:, place] < 0)
+            out[rest, place] = [new[names[i]] for i in rest]
+        return out
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text: those of its distinct words, put in the places of the words."""
         odd = [bool(ODD_SPACE.search(t)) for t in texts]
@@ -130,39 +157,48 @@ class WordEncoder:
         follows = np.ones(len(words), bool)
         follows[first[:-1]] = False
         coded = words.filter(pa.array(follows)).dictionary_encode()
-        # words that end in marks are their stem and the marks: the splitting pattern cuts there
         distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        stems = [s if s and s[-1].isalpha() else w for w, s in zip(distinct, [w.rstrip(TAIL) for w in distinct])]
-        marks = [w[len(s):] for w, s in zip(distinct, stems)]
-        kept, held, here = self.kept, self.pieces, Pieces()
-        at = np.fromiter(map(kept.get, stems, repeat(-1)), np.int64, len(stems))
+        held, here = self.pieces, Pieces()
+        at = np.fromiter(map(self.kept.get, distinct, repeat(-1)), np.int64, len(distinct))
         new = np.flatnonzero(at < 0)
-        unseen = list(dict.fromkeys([stems[i] for i in new]))
-        keep = len(kept) + len(unseen) <= self.most
-        learned = dict(zip(unseen, self._learn(unseen, held if keep else here).tolist()))
-        if keep:
-            kept.update(learned)
-        at[new] = [learned[stems[i]] for i in new]
-        if not keep:
-            at[new] += held.n
-        some = list(set(marks))
-        mark_at = dict(zip(some, self._each(some, here)))
+        pairs = self._pairs([distinct[i] for i in new], here)
+        at[new] = np.arange(len(self.pairs), len(self.pairs) + len(new))
+        pairs = np.concatenate([self.pairs, pairs])
+        if here.n == 0 and len(self.kept) + len(new) <= self.most:
+            self.kept.update(zip([distinct[i] for i in new], at[new].tolist()))
+            self.pairs = pairs
         head_at = self._each([t if o else h for t, o, h in zip(texts, odd, heads)], here)
         (ids, ends), (more, more_ends) = held.arrays(), here.arrays()
         ids = np.concatenate([ids, more])
-        # two pieces at each place: a word and its marks, or a text's beginning and nothing
         begins, sizes = np.concatenate([ends[:-1], more_ends + ends[-1]]), np.concatenate([np.diff(ends), np.diff(more_ends), [0]])
-        which = np.full((len(words), 2), len(sizes) - 1, np.int64)
-        codes = coded.indices.to_numpy()
-        which[follows, 0] = at[codes]
-        which[follows, 1] = np.fromiter(map(mark_at.__getitem__, marks), np.int64, len(marks))[codes] + held.n
-        which[first[:-1], 0] = np.array(head_at, np.int64) + held.n
-        which = which.ravel()
-        n = sizes[which]
-        ends = np.cumsum(n)
-        data = ids[np.repeat(begins[which] - (ends - n), n) + np.arange(n.sum())]
-        ends = np.append(0, ends)[2 * first].tolist()
-        return [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        at = at.astype(np.int32)[coded.indices.to_numpy()]
+        out, after = [], 0
+        for i in range(0, len(texts), GATHERED):
+            starts = first[i:i + GATHERED + 1] - first[i]
+            # two pieces at each place: a word and its marks, or a text's beginning and nothing
+            which = np.full((starts[-1], 2), len(sizes) - 1, np.int64)
+            rest = follows[first[i]:first[i] + starts[-1]]
+            n_rest = int(np.count_nonzero(rest))
+            which[rest] = pairs[at[after:after + n_rest]]
+            which[starts[:-1], 0] = np.array(head_at[i:i + GATHERED], np.int64) + held.n
+            which, after = which.ravel(), after + n_rest
+            n = sizes[which]
+            ends = np.cumsum(n)
+            data = ids[np.repeat(begins[which] - (ends - n), n) + np.arange(n.sum())]
+            ends = np.append(0, ends)[2 * starts].tolist()
+            out += [data[a:b].tobytes() for a, b in zip(ends, ends[1:])]
+        return out
+
+
+def blocks_of(batch: pa.RecordBatch):
+    """Slices of BLOCK_TEXTS rows at most, and of about BLOCK_BYTES if the rows allow it; texts are in the second column."""
+    sizes = np.cumsum(pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    a = 0
+    while a < batch.num_rows:
+        before = int(sizes[a - 1]) if a else 0
+        b = max(a + 1, min(a + BLOCK_TEXTS, int(np.searchsorted(sizes, before + BLOCK_BYTES, "right"))))
+        yield batch.slice(a, b - a)
+        a = b
 
 
 @lru_cache(maxsize=2)
@@ -199,8 +235,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             return pa.RecordBatch.from_arrays([pa.array(v, t.type) for v, t in zip(row, FIELDS)], schema=FIELDS)
 
         for batch in batches:
-            for a in range(0, batch.num_rows, 1000):
-                block = batch.slice(a, 1000)
+            for block in blocks_of(batch):
                 for doc_id, data in zip(block.column(0).to_pylist(), encoder.encode(block.column(1).to_pylist())):
                     held += (data, end)
                     ids.append(doc_id)

@@ -1,5 +1,6 @@
 """Wavelet matrices and token files: exact round trips."""
 
+import random
 import zlib
 
 import numpy as np
@@ -68,3 +69,26 @@ def test_line_breaks_make_no_words_of_their_own():
         assert np.frombuffer(g, "<u4").tolist() == plain.encode(t, add_special_tokens=False).ids, t
     # the words around a line break are learned once each, not once for every pair of them
     assert "\nTwo" in encoder.kept and "two.\nTwo" not in encoder.kept
+
+
+def test_texts_of_many_blocks(monkeypatch):
+    """Words are kept with their marks, ids are put together by few texts at a time, and blocks are bounded in bytes."""
+    import pyarrow as pa
+
+    from loomframe.llm import token_files
+    words = ["one", "one,", "two.", "two", "\u00e4ther", "x1!", "--", "<s>", "", "end\nstart", "a\tb"]
+    draw = random.Random(9)
+    texts = [" ".join(draw.choice(words) for _ in range(draw.randrange(30))) for _ in range(200)] + ["", " ", "z" * 500]
+    plain = Tokenizer.from_file(default_tokenizer())
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    monkeypatch.setattr(token_files, "GATHERED", 7)
+    monkeypatch.setattr(token_files, "BLOCK_TEXTS", 40)
+    monkeypatch.setattr(token_files, "BLOCK_BYTES", 2000)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+    blocks = [b.column(1).to_pylist() for b in token_files.blocks_of(batch)]
+    assert sum(blocks, []) == texts and all(len(b) <= 40 and sum(map(len, b)) <= 2000 for b in blocks)
+    for most in (0, 6, 100):
+        encoder = WordEncoder(default_tokenizer(), most)
+        found = [np.frombuffer(d, "<u4").tolist() for b in blocks for d in encoder.encode(b)]
+        assert found == want
+        assert len(encoder.kept) <= most and ("two." in encoder.kept) == (most == 100)
