@@ -4,6 +4,9 @@ Rows are stored once with a batch number drawn by hash, sorted by it inside ever
 its batch only, from all executors. A step computes loss and gradients by back-propagation in each partition; the sums of the
 layers' gradients go up a tree of partial sums, so the driver gets a bounded number of rows whatever the number of
 partitions. The driver holds the parameters and the state of the update rule.
+
+Steps follow each other, so small batches gain nothing from many tasks: if at least two batches fit into cellRows rows, rows are
+dealt to segments of that many rows in the epoch's order of batches, and one task takes the steps of a segment, which it streams.
 """
 
 from __future__ import annotations
@@ -13,6 +16,7 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +24,7 @@ from loomframe.functions.arrays import EPSILON
 from loomframe.operators.contract import require_numeric
 from loomframe.operators.linear import optimizer
 from loomframe.plans.nearest import matrix_of
-from loomframe.plans.runtime import require_columns, stored
+from loomframe.plans.runtime import CELL_ROWS, limit_of, require_columns, stored
 
 FAN = 16  # partial sums that are added up in one task, and at most so many that reach the driver
 SUMS = pa.schema([("layer", pa.int32()), ("value", pa.list_(pa.float64()))])
@@ -80,6 +84,31 @@ def _tree_sum(parts: DataFrame, partitions: int) -> dict[int, np.ndarray]:
     return sums
 
 
+def stepped(layers: Layers, rules: list, sums: Layers, n: float, l1: float, l2: float) -> tuple[Layers, Layers]:
+    """The layers after a step of the update rules, and the mean gradient with the penalties'."""
+    gradient = [(gw / n + l2 * w + l1 * np.sign(w), gb / n) for (w, _), (gw, gb) in zip(layers, sums)]
+    return [tuple(rule(v, g) for rule, v, g in zip(*each)) for each in zip(rules, layers, gradient)], gradient
+
+
+def _whole_batches(batches):
+    """(x, y) of each place, which follow each other in order."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    at = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place, x, y = batch.column(0).to_numpy(), matrix_of(batch.column(1)), batch.column(2).to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(place)) + 1).tolist(), len(place)]
+        for a, b in zip(cuts, cuts[1:]):
+            if held and place[a] != at:
+                yield tuple(np.concatenate(v) for v in zip(*held))
+                held = []
+            at = place[a]
+            held.append((x[a:b], y[a:b]))
+    if held:
+        yield tuple(np.concatenate(v) for v in zip(*held))
+
+
 class NetworkClassifier:
     """Dense layers with leaky rectifiers, softmax output, cross entropy with optional L1 and L2 penalties on the weights.
 
@@ -141,10 +170,14 @@ class NetworkClassifier:
         partitions, held_partitions = (t.rdd.getNumPartitions() if t is not None else 0 for t in (rows, held))
         steps = [tuple(optimizer(self.method, self.lr, 1e-8) for _ in pair) for pair in self.layers]
         order = np.random.default_rng(self.seed)
+        per_job = limit_of(df.sparkSession, CELL_ROWS) // self.batch_size
+        chained = n_batches > 1 and per_job > 1
         self.history = []
         for _ in range(self.epochs):
-            told = np.zeros(3)
-            for batch in order.permutation(n_batches):
+            told, numbers = np.zeros(3), order.permutation(n_batches)
+            if chained:
+                steps, told = self._chained(rows, numbers, per_job, steps)
+            for batch in numbers if not chained else ():
                 sums = self._sums(rows.filter(F.col("batch") == int(batch)), partitions, True)
                 if not sums:
                     continue  # no row has this number
@@ -157,12 +190,32 @@ class NetworkClassifier:
         return self
 
     def _step(self, steps, sums, n):
-        self.gradient = []
-        for i, (w, b) in enumerate(self.layers):
-            g = sums[i + 1] / n
-            gw, gb = g[:w.size].reshape(w.shape) + self.l2 * w + self.l1 * np.sign(w), g[w.size:]
-            self.gradient.append((gw, gb))
-            self.layers[i] = steps[i][0](w, gw), steps[i][1](b, gb)
+        sums = [(sums[i + 1][:w.size].reshape(w.shape), sums[i + 1][w.size:]) for i, (w, _) in enumerate(self.layers)]
+        self.layers, self.gradient = stepped(self.layers, steps, sums, n, self.l1, self.l2)
+
+    def _chained(self, rows: DataFrame, order: np.ndarray, per_job: int, steps: list) -> tuple[list, np.ndarray]:
+        """An epoch by segments of so many batches: the update rules after it, and (loss, right answers, rows)."""
+        places = rows.sparkSession.createDataFrame(pd.DataFrame({"batch": order, "place": range(len(order))}))
+        placed = rows.join(F.broadcast(places), "batch").select("place", "x", "y", F.floor(F.col("place") / per_job).cast("int").alias("segment"))
+        segments = stored(placed.repartition("segment").sortWithinPartitions("segment"))  # a segment's rows are in a few row groups of one file
+        told = np.zeros(3)
+        for segment in range(-(-len(order) // per_job)):
+            layers, slope, l1, l2, before = self.layers, self.slope, self.l1, self.l2, steps
+
+            def chain(batches):
+                net, rules, gradient, total = layers, before, None, np.zeros(3)
+                for x, y in _whole_batches(batches):
+                    sums, seen = backward(net, x, y, slope)
+                    total += seen
+                    net, gradient = stepped(net, rules, sums, seen[2], l1, l2)
+                if gradient is not None:
+                    yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps((net, rules, gradient, total))], pa.binary())], names=["state"])
+
+            one = segments.filter(F.col("segment") == segment).select("place", "x", "y").repartition(1).sortWithinPartitions("place", "x", "y")
+            for row in one.mapInArrow(chain, "state binary").collect():  # none if no row has these numbers
+                self.layers, steps, self.gradient, seen = cloudpickle.loads(row["state"])
+                told += seen
+        return steps, told
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Add `probabilities` (classes in sorted order) and `prediction`; NULL where a feature is."""

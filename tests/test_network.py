@@ -99,3 +99,26 @@ def test_nulls_and_faults(spark):
         NetworkClassifier(["a", "b"], "y", [2], "id").fit(df.limit(0))
     with pytest.raises(ValueError):
         NetworkClassifier(["a"], "y", [2], "id", batch_size=0)
+
+
+@pytest.mark.parametrize("method", ["adam", "sgd"])
+def test_steps_in_one_task_equal_steps_by_jobs(spark, monkeypatch, method):
+    """Batches that fit into cellRows many times are stepped through by a task per segment, with the same order and results."""
+    df, _, _ = ring(spark, 500)
+    made, chain = [], NetworkClassifier._chained
+    monkeypatch.setattr(NetworkClassifier, "_chained", lambda self, *a: made.append(a[2]) or chain(self, *a))
+    found, held = [], spark.conf.get("spark.loomframe.cellRows", None)
+    try:
+        for cell in (10, 130):
+            spark.conf.set("spark.loomframe.cellRows", cell)
+            found.append(NetworkClassifier(["a", "b"], "y", [4], "id", batch_size=40, epochs=3, method=method, lr=0.05, l1=0.001, l2=0.01).fit(df))
+    finally:
+        if held is None:
+            spark.conf.unset("spark.loomframe.cellRows")
+        else:
+            spark.conf.set("spark.loomframe.cellRows", held)
+    assert made == [3, 3, 3]
+    for (w, b), (v, c) in zip(found[0].layers + found[0].gradient, found[1].layers + found[1].gradient):
+        assert np.allclose(w, v, rtol=1e-9, atol=1e-12) and np.allclose(b, c, rtol=1e-9, atol=1e-12)
+    for x, y in zip(found[0].history, found[1].history):
+        assert x == pytest.approx(y)
