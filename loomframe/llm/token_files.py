@@ -202,8 +202,8 @@ def blocks_of(batch: pa.RecordBatch):
 
 
 @lru_cache(maxsize=2)
-def _encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def _encoder(path: str, most: int = KEPT_WORDS) -> WordEncoder:
+    return WordEncoder(path, most)
 
 
 def default_tokenizer() -> str:
@@ -216,8 +216,9 @@ SHARD_SCHEMA = ("part int, seq int, before long, n_tokens long, doc_ids array<lo
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int = 2, shard_tokens: int = SHARD_TOKENS,
-                      id_col: str = "doc_id", text_col: str = "text") -> None:
-    """Encode every text, append end_id, and write shards to `folder`. The id column is a whole number."""
+                      id_col: str = "doc_id", text_col: str = "text", kept_words: int = KEPT_WORDS) -> None:
+    """Encode every text, append end_id, and write shards to `folder`. The id column is a whole number. A Python worker keeps the
+    encodings of `kept_words` words."""
 
     def shards(batches):
         import os
@@ -225,7 +226,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
         from pyspark import TaskContext
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, end = _encoder(tokenizer), int(end_id).to_bytes(4, "little")
+        encoder, end = _encoder(tokenizer, kept_words), int(end_id).to_bytes(4, "little")
         levels = max(len(encoder.starts) - 1, end_id).bit_length()
         part, seq, before, held, ids, lengths, size = TaskContext.get().partitionId(), 0, 0, [], [], [], 0
 
