@@ -21,7 +21,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from loomframe.llm.codepoints import SPACE, codes, letters_table, pieces
-from loomframe.llm.common import batches_of, col, written
+from loomframe.llm.common import batches_of, col, released, written
 from loomframe.plans.runtime import settle
 
 BITS = 14
@@ -170,7 +170,7 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "te
         yield from batches_of(COUNTED, [at, [None] * len(at), df[at]])
         yield from batches_of(COUNTED, [[-1] * len(langs), list(langs), list(langs.values())])
 
-    counted = (rows.mapInArrow(frequencies, "feature int, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))).toPandas()
+    counted = (rows.mapInArrow(released(frequencies), "feature int, lang string, n long").groupBy("feature", "lang").agg(F.sum("n").alias("n"))).toPandas()
     per_lang = counted[counted["feature"] < 0]
     langs = sorted(per_lang["lang"])
     total = int(per_lang["n"].sum())
@@ -199,7 +199,7 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "te
             yield from batches_of(FEATURED, list(zip(*out)) or [[]] * 4, 1000)
 
     drawn = drawn.select("text", "lang", "r")
-    held = written(drawn.mapInArrow(features, "lang string, r int, at array<int>, value array<float>"))
+    held = written(drawn.mapInArrow(released(features), "lang string, r int, at array<int>, value array<float>"))
 
     def train(batches):
         rows = sorted((r for b in batches for r in feature_rows(b)), key=lambda r: r[:2])
@@ -214,7 +214,7 @@ def fit_languages(labelled: DataFrame, sample: int = SAMPLE, text_col: str = "te
         yield from batches_of(FITTED, [[*at.tolist(), -1, -2], [*w[at].tolist(), b.tolist(), [t]]])
 
     # the sample is bounded: one task fits it
-    model = held.coalesce(1).mapInArrow(train, "feature int, w array<double>").toPandas()
+    model = held.coalesce(1).mapInArrow(released(train), "feature int, w array<double>").toPandas()
     weights, bias, temperature = np.zeros((FEATURES, len(langs)), np.float32), np.zeros(len(langs)), 1.0
     for i, w in zip(model["feature"], model["w"]):
         if i == -1:

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import col, columns, fresh, written
+from loomframe.llm.common import col, columns, fresh, released, written
 from loomframe.plans.runtime import settle
 
 RADIUS = 3
@@ -75,7 +75,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, keep: tuple[str, ...]
             found = pa.array(np.array(found, dtype=np.uint64).view(np.int64), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=[*batch.schema.names[:-1], "fingerprint"])
 
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(released(run), schema)
 
 
 def blocks(free: list[int], parts: int) -> list[list[int]]:
@@ -177,7 +177,7 @@ def link_edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
         yield from flush()
 
     return (keyed.select("tag", "key", "fingerprint").repartition("tag", "key").sortWithinPartitions("tag", "key")
-            .mapInArrow(run, "a long, b long").distinct())
+            .mapInArrow(released(run), "a long, b long").distinct())
 
 
 def connected_components(edges: DataFrame) -> DataFrame:

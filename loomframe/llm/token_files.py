@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from loomframe.llm.common import col, text_of
+from loomframe.llm.common import col, released, text_of
 from loomframe.llm.wavelet import WaveletMatrix
 
 SHARD_TOKENS = 1 << 18
@@ -251,7 +251,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
     order = [col("doc_id").asc_nulls_first(), F.xxhash64("text"), col("text")]
     (docs.select(col(id_col).cast("long").alias("doc_id"), text_of(text_col).alias("text"))
      .repartitionByRange(*order[:2]).sortWithinPartitions(*order)
-     .mapInArrow(shards, SHARD_SCHEMA).write.parquet(folder))
+     .mapInArrow(released(shards), SHARD_SCHEMA).write.parquet(folder))
 
 
 FIELDS = pa.schema([("part", pa.int32()), ("seq", pa.int32()), ("before", pa.int64()), ("n_tokens", pa.int64()),
@@ -289,4 +289,4 @@ def read_documents(spark: SparkSession, folder: str, tokens: bool = False) -> Da
                     arrays.append([ids[b - n:b].tolist() for b, n in zip(ends.tolist(), lengths)])
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, (_, t) in zip(arrays, fields)], names=[n for n, _ in fields])
 
-    return token_shards(spark, folder).select("start", "doc_ids", "lengths", "matrix").mapInArrow(decode, schema)
+    return token_shards(spark, folder).select("start", "doc_ids", "lengths", "matrix").mapInArrow(released(decode), schema)

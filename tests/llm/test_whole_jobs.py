@@ -4,6 +4,7 @@ import random
 
 import corpus_pipeline
 from loomframe.llm.near_copies import bag_of, links
+from loomframe.llm.simhash_dedup import near_duplicates
 
 
 def alike(a, b):
@@ -62,3 +63,16 @@ def test_links_are_those_of_the_similarity():
         a, b = label[i], label[j]
         label = [min(a, b) if g in (a, b) else g for g in label]
     assert label == want
+
+
+def test_texts_that_the_simhash_operator_links_are_one(spark):
+    """A passage that stands 50 or 80 times: equal fingerprints, bags of a similarity of 0.6. Links of both kinds form one group."""
+    draw = random.Random(4)
+    passage = " ".join(f"p{i}" for i in range(7))
+    many, more = " ".join([passage] * 50), " ".join([passage] * 80)
+    near = " ".join([passage] * 77 + ["end"])  # similar to `more` alone
+    other = " ".join(draw.choice("abcdefgh") * 3 for _ in range(90))
+    assert near_duplicates(spark.createDataFrame([(1, many), (2, more)], "doc_id long, text string")).select("component_id").distinct().count() == 1
+    assert alike(many, more) < 0.8 and alike(more, near) >= 0.8 and alike(many, near) < 0.8
+    docs = spark.createDataFrame([(5, near), (4, more), (3, many), (9, other), (3, many), (None, more)], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()) == [3, 9]
