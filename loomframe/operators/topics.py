@@ -1,111 +1,194 @@
 """Topics of documents over a vocabulary that stays a table.
 
-Expectation maximization with smoothed counts. A step meets blocks of documents with the topic counts of the words that
-stand in them: a word goes to a block once, however often it stands there, and comes back as one row of summed counts.
-Neither the vocabulary nor the topics pass the driver; it holds a total per topic.
+Expectation maximization with smoothed counts. Tasks over texts pack them into blocks: a block is one row with its words once and the
+rest as numbers, and no text is shuffled. The vocabulary is dealt to parts by a hash; a part holds its words' topic counts as one
+matrix, and knows where the words of each block stand in it. A step sends every block the rows that it needs, as one value per block
+and part, and gets one value of summed counts back. Neither the vocabulary nor the topics pass the driver; it holds a total per topic.
+What a step leaves is deleted once the next one has read it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import zlib
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomframe.functions.text import tokens
-from loomframe.plans.runtime import CELL_ROWS, limit_of, settle, stored
+from loomframe.operators.text import SPACE
+from loomframe.plans.runtime import CELL_ROWS, discard, limit_of, settle, stored, stored_in
 
 KEY = "_topic_key"
-BLOCK_NUMBERS = 4_000_000  # topic counts of a block's words that a task holds: 32 MB
-THETA, COUNTS, LIKELIHOOD = 0, 1, 2  # what a row of a step says
-STEP = "block int, kind int, _topic_key binary, word string, v array<double>"
-PACKED = "block int, keys array<binary>, copies array<long>, words array<string>, pairs long, packed binary"
+WORDS_PER_ROW = 8  # words in a block for each of cellRows
+BLOCK_NUMBERS = 32_000_000  # words of a block times topics
+CHUNK_NUMBERS = 2_500_000  # shares that a task holds at once
+TEXTS = 1_000  # texts split at once
+TOPICS, THETA, COUNTS, LIKELIHOOD = 0, 1, 2, 3  # what a value of a step holds
+BLOCKS = "block long, keys array<binary>, copies array<int>, words array<string>, pairs long, packed binary"
+NAMED = "part int, block long, words array<string>, df array<long>, total array<long>"
+PLACES = "part int, block long, n int, places binary"
+STATE = "part int, v binary, told array<double>"
+STEP = "kind int, block long, part int, v binary, told array<double>"
 FOUND = "_topic_key binary, v array<double>, log_likelihood double"
 
 
-def _matrix(column: pa.ChunkedArray, k: int) -> np.ndarray:
-    return column.combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+def _key(text: str):
+    return F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias(KEY)
 
 
-def _lists(matrix: np.ndarray) -> pa.Array:
-    ends = np.arange(len(matrix) + 1, dtype="int32") * matrix.shape[1]
-    return pa.ListArray.from_arrays(ends, matrix.ravel())
+def _table(rows: list[tuple], schema: list[tuple[str, pa.DataType]]) -> pa.Table:
+    return pa.table({name: pa.array([r[i] for r in rows], kind) for i, (name, kind) in enumerate(schema)})
 
 
-def _key(text: str):
-    return F.unhex(F.sha2(F.col(text).cast("binary"), 256)).alias(KEY)
+_VALUES = [("kind", pa.int32()), ("block", pa.int64()), ("part", pa.int32()), ("v", pa.binary()), ("told", pa.list_(pa.float64()))]
 
 
-def _documents(df: DataFrame, text: str) -> DataFrame:
-    """(key, copies, words, ns) per distinct text that holds a word. Words are sorted and counted in their row."""
-    texts = df.select(_key(text), F.col(text).alias("_t")).filter(F.col("_t").isNotNull())
-    one = texts.groupBy(KEY).agg(F.count("*").alias("copies"), F.first("_t").alias("_t"))
-    ordered = one.select(KEY, "copies", F.array_sort(tokens(F.col("_t"))).alias("w")).filter(F.size("w") > 0)
-    new = lambda i: (i == 0) | (F.get("w", i) != F.get("w", i - 1))
-    starts = ordered.withColumn("s", F.filter(F.sequence(F.lit(0), F.size("w") - 1), new))
-    return stored(starts.select(
-        KEY, "copies", F.transform("s", lambda i: F.get("w", i)).alias("words"),
-        F.transform("s", lambda i, at: F.coalesce(F.get("s", at + 1), F.size("w")) - i).alias("ns")))
+def _matrix(data: bytes | None, k: int) -> np.ndarray:
+    return np.frombuffer(data or b"", float).reshape(-1, k)
 
 
-def _pack(docs: pa.Table) -> pa.Table:
-    """A block of documents as one row, which every step moves: its words once, the rest as numbers, compressed."""
-    lists = docs["words"].combine_chunks()
-    coded = lists.flatten().dictionary_encode()
-    numbers = [lists.value_lengths(), coded.indices, docs["ns"].combine_chunks().flatten()]
-    packed = pa.compress(b"".join(x.to_numpy(zero_copy_only=False).astype("<i4").tobytes() for x in numbers), "zstd", asbytes=True)
-    return pa.table({"block": docs["block"].slice(0, 1), "keys": pa.array([docs[KEY].to_pylist()], pa.list_(pa.binary())),
-                     "copies": pa.array([docs["copies"].to_pylist()], pa.list_(pa.int64())),
-                     "words": pa.array([coded.dictionary.to_pylist()], pa.list_(pa.string())),
-                     "pairs": pa.array([len(coded)], pa.int64()), "packed": pa.array([packed], pa.binary())})
+def _compressed(numbers: np.ndarray) -> bytes:
+    return pa.compress(numbers.astype("<i4").tobytes(), "zstd", asbytes=True)
 
 
-class _Block:
-    """A block's documents (their known words and counts, one after another) and the topics of these words."""
-
-    def __init__(self, docs: pa.Table, vectors: pa.Table, k: int, inverse_totals: np.ndarray, beta: float):
-        self.k = k
-        of_words = vectors.filter(pc.equal(vectors["kind"], COUNTS))
-        self.words = of_words["word"].combine_chunks()
-        self.phi = (_matrix(of_words["v"], k) + beta) * inverse_totals
-        row = docs.to_pylist()[0]
-        keys, pairs = row["keys"], row["pairs"]
-        numbers = np.frombuffer(pa.decompress(row["packed"], 4 * (len(keys) + 2 * pairs), "zstd", asbytes=True), "<i4")
-        sizes, codes, n = np.split(numbers, [len(keys), len(keys) + pairs])
-        place = pc.index_in(pa.array(row["words"], pa.string()), value_set=self.words)
-        at = pc.fill_null(place, -1).to_numpy(zero_copy_only=False)[codes]
-        known = at >= 0
-        which, self.doc = np.unique(np.repeat(np.arange(len(keys)), sizes)[known], return_inverse=True)
-        self.at = at[known]
-        self.n = n[known].astype(float)
-        self.keys = [keys[i] for i in which]
-        self.copies = np.array(row["copies"], dtype=float)[which]
-        self.theta = np.full((len(which), k), 1.0 / k)
-        before = vectors.filter(pc.equal(vectors["kind"], THETA))
-        if len(before):
-            place = {key: i for i, key in enumerate(self.keys)}
-            self.theta[[place[key] for key in before[KEY].to_pylist()]] = _matrix(before["v"], k)
-
-    def _sums(self, by: np.ndarray, r: np.ndarray, n: int) -> np.ndarray:
-        return np.stack([np.bincount(by, r[:, t], n) for t in range(self.k)], axis=1)
-
-    def shares(self) -> tuple[np.ndarray, np.ndarray]:
-        """Expected counts per word of a document and topic, and the words' probabilities."""
-        r = self.theta[self.doc] * self.phi[self.at]
-        p = r.sum(axis=1)
-        return r * (self.n / p)[:, None], p
+def _numbers(data: bytes, n: int) -> np.ndarray:
+    return np.frombuffer(pa.decompress(data, 4 * n, "zstd", asbytes=True), "<i4")
+
+
+def _part_of(word: bytes, parts: int) -> int:
+    return zlib.crc32(word) * parts >> 32
+
+
+def _dealt(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[tuple[list[bytes], np.ndarray, pa.ChunkedArray]]:
+    """The keys of consecutive texts, how many words each has, and these words; about `most` words at once, or one text."""
+    held, size = [], 0
+
+    def whole():
+        return [k for h in held for k in h[0]], np.concatenate([h[1] for h in held]), pa.chunked_array([h[2] for h in held], pa.string())
+
+    for batch in batches:
+        for i in range(0, batch.num_rows, TEXTS):
+            texts = batch.column(0).slice(i, TEXTS)
+            lists = pc.split_pattern_regex(texts, SPACE)
+            flat = lists.flatten()
+            real = pc.not_equal(flat, "")
+            row = np.repeat(np.arange(len(texts)), lists.value_lengths().to_numpy(zero_copy_only=False))
+            n = np.bincount(row[real.to_numpy(zero_copy_only=False)], minlength=len(texts))
+            flat, ends = flat.filter(real), np.cumsum(n)
+            keys = [hashlib.sha256(t).digest() for t in texts.cast(pa.binary()).to_pylist()]
+            start = 0
+            while start < len(n):
+                before = int(ends[start - 1]) if start else 0
+                end = max(start + 1, int(np.searchsorted(ends, before + most - size, "right")))
+                words = int(ends[end - 1]) - before
+                held.append((keys[start:end], n[start:end], flat.slice(before, words)))
+                size, start = size + words, end
+                if size >= most or start < len(n):
+                    yield whole()
+                    held, size = [], 0
+    if held:
+        yield whole()
+
 
-    def move(self, r: np.ndarray, alpha: float) -> None:
-        counts = self._sums(self.doc, r, len(self.keys)) + alpha
-        self.theta = counts / counts.sum(axis=1, keepdims=True)
+def _pack(keys: list[bytes], n: np.ndarray, words: pa.ChunkedArray) -> tuple | None:
+    """(keys, copies, words, pairs, packed): equal texts are one, words are in the order of their hashes, texts without a word go."""
+    first: dict[bytes, int] = {}
+    which = np.array([first.setdefault(key, len(first)) for key in keys])
+    new = np.append(True, np.maximum.accumulate(which)[:-1] < which[1:])
+    copies = np.bincount(which)
+    coded = words.dictionary_encode().combine_chunks()
+    if not len(coded):
+        return None
+    hashes = np.array([zlib.crc32(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], np.int64)
+    order = np.lexsort((np.argsort(pc.sort_indices(coded.dictionary).to_numpy()), hashes))
+    rank = np.empty(len(order), np.int64)
+    rank[order] = np.arange(len(order))
+    of = np.repeat(np.arange(len(keys)), n)
+    kept = new[of]
+    pairs, ns = np.unique(which[of[kept]] * len(order) + rank[coded.indices.to_numpy()[kept]], return_counts=True)
+    doc, codes = np.divmod(pairs, len(order))
+    sizes = np.bincount(doc, minlength=len(copies))
+    full = np.flatnonzero(sizes)
+    names = list(first)
+    numbers = np.concatenate([sizes[full], codes, ns])
+    return ([names[i] for i in full], copies[full].tolist(), coded.dictionary.take(pa.array(order)).to_pylist(), len(pairs), _compressed(numbers))
 
-    def word_counts(self, r: np.ndarray) -> np.ndarray:
-        return self._sums(self.at, r * self.copies[self.doc][:, None], len(self.words))
 
-    def likelihood(self, p: np.ndarray) -> np.ndarray:
-        """Per document, of all its copies."""
-        return np.bincount(self.doc, self.n * np.log(p), len(self.keys)) * self.copies
+def _unpack(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a block's row: words of each text, which they are, and how often each occurs."""
+    texts, pairs = len(row["copies"]), row["pairs"]
+    return tuple(np.split(_numbers(row["packed"], texts + 2 * pairs), [texts, texts + pairs]))
+
+
+class _Block:
+    """A block's texts (their known words and counts, one after another) and the topics of its words (NaN if not known)."""
+
+    def __init__(self, row: dict, phi: np.ndarray, k: int, theta: np.ndarray | None):
+        self.k, self.phi = k, np.nan_to_num(phi)
+        sizes, codes, n = _unpack(row)
+        known = ~np.isnan(phi[:, 0])[codes]
+        of = np.repeat(np.arange(len(sizes)), sizes)[known]
+        self.which, self.doc = np.unique(of, return_inverse=True)
+        self.at, self.n = codes[known].astype(np.int64), n[known].astype(float)
+        self.copies = np.array(row["copies"], dtype=float)[self.which]
+        self.theta = np.full((len(self.which), k), 1.0 / k) if theta is None else theta
+        self.starts = np.flatnonzero(np.diff(self.doc, prepend=-1))
+
+    def chunks(self) -> Iterator[tuple[slice, slice]]:
+        """Texts, and their words: a bounded number, or one text."""
+        most, ends, a = max(1, CHUNK_NUMBERS // self.k), np.append(self.starts, len(self.doc)), 0
+        while a < len(self.starts):
+            b = max(a + 1, int(np.searchsorted(ends, ends[a] + most, "right")) - 1)
+            yield slice(a, b), slice(int(ends[a]), int(ends[b]))
+            a = b
+
+    def _shares(self, texts: slice, words: slice) -> tuple[np.ndarray, np.ndarray]:
+        """Expected counts per word of a text and topic, and the words' probabilities."""
+        r = self.theta[self.doc[words]] * self.phi[self.at[words]]
+        p = r.sum(axis=1)
+        r *= (self.n[words] / p)[:, None]
+        return r, p
+
+    def move(self, alpha: float, counted: bool = False) -> tuple[np.ndarray | None, float]:
+        """New shares of the texts; the words' expected counts under the old ones if wanted, and the old log likelihood."""
+        counts, told, theta = np.zeros((len(self.phi), self.k)) if counted else None, 0.0, np.empty_like(self.theta)
+        for texts, words in self.chunks():
+            r, p = self._shares(texts, words)
+            sums = np.add.reduceat(r, self.starts[texts] - words.start, axis=0) + alpha
+            theta[texts] = sums / sums.sum(axis=1, keepdims=True)
+            if counted:
+                told += float((self.n[words] * np.log(p)) @ self.copies[self.doc[words]])
+                for t in range(self.k):
+                    counts[:, t] += np.bincount(self.at[words], r[:, t] * self.copies[self.doc[words]], len(self.phi))
+        self.theta = theta
+        return counts, told
+
+    def likelihood(self) -> np.ndarray:
+        """Per text, of all its copies."""
+        out = np.zeros(len(self.which))
+        for texts, words in self.chunks():
+            p = self._shares(texts, words)[1]
+            out[texts] = np.add.reduceat(self.n[words] * np.log(p), self.starts[texts] - words.start)
+        return out * self.copies
+
+
+def _told(counts: np.ndarray, beta: float) -> list[float]:
+    """A part's total per topic, and the sum of the logarithms of its smoothed counts."""
+    return [*counts.sum(axis=0).tolist(), float(np.log(counts + beta).sum())]
+
+
+def _received(values: pa.Table, k: int) -> tuple[np.ndarray, list[tuple[int, int]], np.ndarray | None]:
+    """What was sent to a block: its words' topics, (part, words) of each part, and its shares if a step has told them."""
+    rows = values.to_pylist()
+    sent = sorted(((r["part"], _matrix(r["v"], k)) for r in rows if r["kind"] == TOPICS), key=lambda x: x[0])
+    theta = next((_matrix(r["v"], k) for r in rows if r["kind"] == THETA), None)
+    phi = np.concatenate([np.empty((0, k)), *[v for _, v in sent]])
+    return phi, [(part, len(v)) for part, v in sent], theta
 
 
 class TopicModel:
@@ -123,111 +206,204 @@ class TopicModel:
         if k < 1 or alpha <= 0 or beta <= 0:
             raise ValueError("k, alpha and beta must be positive")
         self.__dict__.update(locals())
-        self.vocabulary = self.counts = self.totals = self.history = None
-
-    def _blocks(self, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """A row per block of documents, and its (block, word)."""
-        size = docs.agg(F.sum(F.size("words"))).first()[0] or 0
-        most = max(1, min(limit_of(docs.sparkSession, CELL_ROWS), BLOCK_NUMBERS // self.k))
-        # by the text's key: a block holds about `most` words, and one text at least
-        placed = docs.withColumn("block", F.pmod(F.xxhash64(KEY), F.lit(-(-size // most) or 1)).cast("int"))
-        blocks = stored(placed.groupBy("block").applyInArrow(_pack, PACKED))
-        # a column of its own: both sides of the meeting come from one table
-        return blocks, blocks.select(F.col("block").alias("block"), F.explode("words").alias("word"))
+        self.vocabulary = self.words = self.state = self.parts = self.totals = self.history = None
+
+    def _blocks(self, df: DataFrame, text: str, parts: int | None = None) -> tuple[DataFrame, tuple[DataFrame, str], int]:
+        """A row per block of texts; its words by (part, block), with how many texts hold them and how often they occur (and the folder of
+        this table); the number of parts."""
+        spark = df.sparkSession
+        limit = limit_of(spark, CELL_ROWS)
+        most = max(1, min(WORDS_PER_ROW * limit, BLOCK_NUMBERS // self.k))
+
+        def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            block = TaskContext.get().partitionId() << 32
+            for found in _dealt(batches, most):
+                row = _pack(*found)
+                if row is not None:
+                    kinds = (pa.int64(), pa.list_(pa.binary()), pa.list_(pa.int32()), pa.list_(pa.string()), pa.int64(), pa.binary())
+                    yield pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((block, *row), kinds)],
+                                                     names=["block", "keys", "copies", "words", "pairs", "packed"])
+                    block += 1
+
+        texts = df.select(F.col(text).cast("string").alias("_t")).filter(F.col("_t").isNotNull())
+        blocks = stored(texts.mapInArrow(pack, BLOCKS))
+        if parts is None:
+            n = blocks.agg(F.sum(F.size("words").cast("long"))).first()[0] or 0
+            parts = max(-(-n // limit), spark.sparkContext.defaultParallelism)
+
+        def name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for row in (r for batch in batches for i in range(batch.num_rows) for r in batch.slice(i, 1).to_pylist()):
+                sizes, codes, n = _unpack(row)
+                copies = np.repeat(np.array(row["copies"]), sizes)
+                words, w = pa.array(row["words"], pa.string()), len(row["words"])
+                df, total = np.bincount(codes, copies, w).astype(np.int64), np.bincount(codes, n * copies, w).astype(np.int64)
+                part = np.array([_part_of(x, parts) for x in words.cast(pa.binary()).to_pylist()])
+                starts = np.flatnonzero(np.diff(part, prepend=-1))
+                ends = pa.array(np.append(starts, w), pa.int32())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(part[starts], pa.int32()), pa.array([row["block"]] * len(starts), pa.int64()),
+                     *[pa.ListArray.from_arrays(ends, x) for x in (words, pa.array(df), pa.array(total))]],
+                    names=["part", "block", "words", "df", "total"])
+
+        named = stored_in(blocks.select("block", "copies", "words", "pairs", "packed").mapInArrow(name, NAMED))
+        return blocks, named, parts
+
+    def _places(self, named: DataFrame, vocabulary: DataFrame) -> DataFrame:
+        """Where the words of each (part, block) stand in the part's vocabulary (part, words); -1 for unknown ones."""
+        def place(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            known = right["words"].combine_chunks().flatten()
+            rows = []
+            for part, block, words in zip(left["part"].to_pylist(), left["block"].to_pylist(), left["words"]):
+                at = pc.fill_null(pc.index_in(words.values, value_set=known), -1).to_numpy(zero_copy_only=False)
+                rows.append((part, block, len(at), _compressed(at)))
+            return _table(rows, [("part", pa.int32()), ("block", pa.int64()), ("n", pa.int32()), ("places", pa.binary())])
+
+        return stored(named.select("part", "block", "words").groupBy("part").cogroup(vocabulary.select("part", "words").groupBy("part"))
+                      .applyInArrow(place, PLACES))
 
     def _below(self) -> list[float]:
         """Denominators of the words' shares of the topics."""
         return [t + self.n_words * self.beta for t in self.totals]
 
-    def _inverse(self) -> np.ndarray:
-        return 1.0 / np.array(self._below()) if self.n_words else np.ones(self.k)
+    def _sent(self, places: DataFrame) -> DataFrame:
+        """The topics of its words for every block, a value per part."""
+        k, beta = self.k, self.beta
+        inverse = 1.0 / np.array(self._below()) if self.n_words else np.ones(k)
 
-    def _logs(self) -> float:
-        """The sum of the logarithms of the words' shares."""
-        below = self._below()
-        logs = sum((F.log((F.col("v")[t] + self.beta) / below[t]) for t in range(self.k)), F.lit(0.0))
-        return float(self.counts.agg(F.sum(logs)).first()[0] or 0.0)
+        def send(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            phi = np.concatenate([*[(_matrix(v, k) + beta) * inverse for v in right["v"].to_pylist()], np.full((1, k), np.nan)])
+            rows = [(TOPICS, r["block"], r["part"], phi[_numbers(r["places"], r["n"])].tobytes(), None) for r in left.to_pylist()]
+            return _table(rows, _VALUES)
+
+        return places.groupBy("part").cogroup(self.state.select("part", "v").groupBy("part")).applyInArrow(send, STEP)
 
-    def _take(self, counts: DataFrame) -> None:
-        self.counts = stored(counts)
-        row = self.counts.agg(*[F.sum(F.col("v")[t]).alias(f"t{t}") for t in range(self.k)]).first()
+    def _take(self, state: DataFrame) -> float:
+        """New counts; the sum of the logarithms of the words' shares."""
+        self.state = state
+        row = state.agg(*[F.sum(F.col("told")[t]).alias(f"t{t}") for t in range(self.k + 1)]).first()
         self.totals = [float(row[t] or 0.0) for t in range(self.k)]
+        below = self._below()
+        return float((row[self.k] or 0.0) - self.n_words * np.log(below).sum()) if self.n_words else 0.0
 
-    def _meet(self, docs: DataFrame, needs: DataFrame, theta: DataFrame | None, work, schema: str) -> DataFrame:
-        """work(documents, topics) for every block of documents."""
-        topics = needs.join(self.counts, "word").select(
-            "block", F.lit(COUNTS).alias("kind"), F.lit(None).cast("binary").alias(KEY), "word", "v")
-        if theta is not None:
-            topics = topics.unionByName(theta)
-        return docs.groupBy("block").cogroup(topics.groupBy("block")).applyInArrow(work, schema)
+    @property
+    def counts(self) -> DataFrame:
+        """(word, v): the topic counts of each word."""
+        k = self.k
+
+        def unroll(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for words, v in zip(batch.column(0), batch.column(1).to_pylist()):
+                    ends = np.arange(len(words.values) + 1, dtype="int32") * k
+                    yield pa.RecordBatch.from_arrays([words.values, pa.ListArray.from_arrays(ends, _matrix(v, k).ravel())], names=["word", "v"])
+
+        return (self.words.select("part", "words").join(self.state.select("part", "v"), "part").select("words", "v")
+                .mapInArrow(unroll, "word string, v array<double>"))
 
     def fit(self, df: DataFrame, text: str) -> "TopicModel":
         """`history` has a row per step: step, log_likelihood and objective of the topics and shares that the step began with."""
-        k, alpha, beta = self.k, self.alpha, self.beta
+        k, alpha, beta, spark = self.k, self.alpha, self.beta, df.sparkSession
         least = int(self.min_df * df.count()) if isinstance(self.min_df, float) else self.min_df
-        docs = _documents(df, text)
-        pairs = docs.select("copies", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("ns").alias("n"))))
-        words = (pairs.groupBy("word").agg(F.sum("copies").alias("df"), F.sum(F.col("n") * F.col("copies")).alias("total"))
+        blocks, (named, folder), self.parts = self._blocks(df, text)
+
+        def add_words(rows: pa.Table) -> pa.Table:
+            rows = rows.combine_chunks()
+            long = pa.table({"word": rows["words"].combine_chunks().flatten(), "df": rows["df"].combine_chunks().flatten(),
+                             "total": rows["total"].combine_chunks().flatten()})
+            found = long.group_by("word").aggregate([("df", "sum"), ("total", "sum")])
+            return pa.table({"word": found["word"], "df": found["df_sum"], "total": found["total_sum"]})
+
+        words = (named.select("part", "words", "df", "total").groupBy("part").applyInArrow(add_words, "word string, df long, total long")
                  .filter(F.col("df") >= least))
         if self.vocabulary_size is not None:
             words = words.orderBy(F.desc("total"), "word").limit(self.vocabulary_size)
         self.vocabulary = settle(words)
         self.n_words = self.vocabulary.df.count()
-        docs, needs = self._blocks(docs)
         draws = [(F.conv(F.substring(F.md5(F.concat(F.lit(f"{self.seed}:{t}:"), F.col("word"))), 1, 8), 16, 10).cast("double") + 1) / 2.0 ** 32
                  for t in range(k)]
-        drawn = self.vocabulary.df.select("word", "total", F.array(*draws).alias("u"))
-        sums = F.aggregate("u", F.lit(0.0), lambda a, x: a + x)
-        self._take(drawn.select("word", F.transform("u", lambda x: F.col("total") * x / sums).alias("v")))
-
-        theta, history = None, []
+        part = F.shiftright(F.crc32(F.col("word").cast("binary")) * F.lit(self.parts).cast("long"), 32).cast("int")
+        drawn = self.vocabulary.df.select(part.alias("part"), "word", "total", F.array(*draws).alias("u"))
+
+        def first_counts(rows: pa.Table) -> pa.Table:
+            rows = rows.sort_by("word").combine_chunks()
+            u = rows["u"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, k)
+            sums = np.zeros(len(u))
+            for t in range(k):
+                sums = sums + u[:, t]
+            v = rows["total"].to_numpy()[:, None] * u / sums[:, None]
+            return pa.table({"part": rows["part"].slice(0, 1), "words": pa.array([rows["word"].to_pylist()], pa.list_(pa.string())),
+                             "v": pa.array([v.tobytes()], pa.binary()), "told": pa.array([_told(v, beta)], pa.list_(pa.float64()))})
+
+        self.words = stored(drawn.groupBy("part").applyInArrow(first_counts, "part int, words array<string>, v binary, told array<double>"))
+        logs = self._take(self.words)
+        places = self._places(named, self.words)
+        discard(spark, folder)
+        docs = blocks.select("block", "copies", "pairs", "packed")
+
+        def work(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            row = left.to_pylist()[0]
+            phi, sizes, theta = _received(right, k)
+            b = _Block(row, phi, k, theta)
+            shares = float((b.copies[:, None] * np.log(b.theta)).sum())
+            counts, likelihood = b.move(alpha, True)
+            rows, at = [(THETA, row["block"], None, b.theta.tobytes(), None), (LIKELIHOOD, row["block"], None, None, [likelihood, shares])], 0
+            for part, n in sizes:
+                rows.append((COUNTS, row["block"], part, counts[at:at + n].tobytes(), None))
+                at += n
+            return _table(rows, _VALUES)
+
+        def add_up(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            found = {r["block"]: _matrix(r["v"], k) for r in right.to_pylist()}
+            total = np.zeros((0, k))
+            for r in sorted(left.to_pylist(), key=lambda r: r["block"]):
+                at = _numbers(r["places"], r["n"])
+                known = at >= 0
+                if len(at) and at.max(initial=-1) >= len(total):
+                    total = np.concatenate([total, np.zeros((at.max() + 1 - len(total), k))])
+                total[at[known]] += found[r["block"]][known]  # a word stands once in a block
+            return pa.table({"part": pa.array([key[0].as_py()], pa.int32()), "v": pa.array([total.tobytes()], pa.binary()),
+                             "told": pa.array([_told(total, beta)], pa.list_(pa.float64()))})
+
+        theta, history, before = None, [], []
         for step in range(self.max_iter):
-            logs, inverse = self._logs(), self._inverse()
-
-            def work(d: pa.Table, t: pa.Table) -> pa.Table:
-                b = _Block(d, t, k, inverse, beta)
-                r, p = b.shares()
-                told = np.array([b.likelihood(p).sum(), (b.copies[:, None] * np.log(b.theta)).sum()])
-                b.move(r, alpha)
-                n, w = len(b.keys), len(b.words)
-                parts = [_lists(b.theta), _lists(b.word_counts(r)), pa.array([told.tolist()], pa.list_(pa.float64()))]
-                return pa.table({
-                    "block": pa.array([d["block"][0].as_py()] * (n + w + 1), pa.int32()),
-                    "kind": pa.array(np.repeat([THETA, COUNTS, LIKELIHOOD], [n, w, 1]).astype("int32")),
-                    KEY: pa.array([*b.keys, *[None] * (w + 1)], pa.binary()),
-                    "word": pa.array([*[None] * n, *b.words.to_pylist(), None], pa.string()),
-                    "v": pa.concat_arrays(parts)})
-
-            out = stored(self._meet(docs, needs, theta, work, STEP))
-            row = out.filter(F.col("kind") == LIKELIHOOD).agg(F.sum(F.col("v")[0]).alias("l"), F.sum(F.col("v")[1]).alias("d")).first()
+            values = self._sent(places) if theta is None else self._sent(places).unionByName(theta)
+            out, folder = stored_in(docs.groupBy("block").cogroup(values.groupBy("block")).applyInArrow(work, STEP))
+            row = out.filter(F.col("kind") == LIKELIHOOD).agg(F.sum(F.col("told")[0]).alias("l"), F.sum(F.col("told")[1]).alias("d")).first()
             likelihood, shares = float(row["l"] or 0.0), float(row["d"] or 0.0)
             history.append((step, likelihood, likelihood + alpha * shares + beta * logs))
-            theta = out.filter(F.col("kind") == THETA).select("block", "kind", KEY, "word", "v")
-            self._take(out.filter(F.col("kind") == COUNTS).groupBy("word").agg(
-                F.array(*[F.sum(F.col("v")[t]) for t in range(k)]).alias("v")))
-        self.history = df.sparkSession.createDataFrame(history, "step int, log_likelihood double, objective double")
+            theta = out.filter(F.col("kind") == THETA)
+            state, after = stored_in(places.groupBy("part").cogroup(out.filter(F.col("kind") == COUNTS).select("part", "block", "v").groupBy("part"))
+                                     .applyInArrow(add_up, STATE))
+            logs = self._take(state)
+            discard(spark, *before)
+            before = [folder, after]
+        self.history = spark.createDataFrame(history, "step int, log_likelihood double, objective double")
         return self
 
     def _inferred(self, df: DataFrame, text: str) -> DataFrame:
-        """(key, v, log_likelihood) per distinct text with known words: its shares with the topics held fixed."""
-        if self.counts is None:
+        """(key, v, log_likelihood) per distinct text of a block with known words: its shares with the topics held fixed."""
+        if self.state is None:
             raise ValueError("fit the model first")
-        k, alpha, beta, rounds = self.k, self.alpha, self.beta, self.inference_iter
-        docs, needs = self._blocks(_documents(df, text))
-        inverse = self._inverse()
-
-        def work(d: pa.Table, t: pa.Table) -> pa.Table:
-            b = _Block(d, t, k, inverse, beta)
+        k, alpha, rounds = self.k, self.alpha, self.inference_iter
+        blocks, (named, folder), _ = self._blocks(df, text, self.parts)
+        places = self._places(named, self.words)
+        discard(df.sparkSession, folder)
+
+        def work(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+            row = left.to_pylist()[0]
+            b = _Block(row, _received(right, k)[0], k, None)
             for _ in range(rounds):
-                b.move(b.shares()[0], alpha)
-            return pa.table({KEY: pa.array(b.keys, pa.binary()), "v": _lists(b.theta),
-                             "log_likelihood": b.likelihood(b.shares()[1])})
+                b.move(alpha)
+            ends = np.arange(len(b.theta) + 1, dtype="int32") * k
+            return pa.table({KEY: pa.array([row["keys"][i] for i in b.which], pa.binary()), "v": pa.ListArray.from_arrays(ends, b.theta.ravel()),
+                             "log_likelihood": b.likelihood()})
 
-        return self._meet(docs, needs, None, work, FOUND)
+        return (blocks.select("block", "keys", "copies", "pairs", "packed").groupBy("block")
+                .cogroup(self._sent(places).groupBy("block")).applyInArrow(work, FOUND))
 
     def transform(self, df: DataFrame, text: str, out: str = "topics") -> DataFrame:
         """Add the topic shares of each document."""
-        shares = self._inferred(df, text).select(KEY, F.col("v").alias("_topic_shares"))
+        # a text that stands in several blocks has the same shares in each
+        shares = self._inferred(df, text).select(KEY, F.col("v").alias("_topic_shares")).dropDuplicates([KEY])
         keyed = df.withColumn(KEY, _key(text))
         equal = F.array_repeat(F.lit(1.0 / self.k), self.k)
         return (keyed.join(shares, KEY, "left").withColumn("_topic_shares", F.coalesce("_topic_shares", equal))

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import random
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -116,3 +117,20 @@ def test_vocabulary_limits_and_empty_tables(spark):
         TopicModel(2, alpha=0.0)
     with pytest.raises(ValueError):
         TopicModel(2).transform(df, "t")
+
+
+def test_texts_are_packed_where_they_are_and_steps_leave_nothing(spark):
+    """No text is shuffled; of the tables that steps write, only those of the last one stay, however many steps there are."""
+    df = corpus(spark).repartition(3)
+    blocks, (named, _), parts = TopicModel(3)._blocks(df, "t")
+    rows = blocks.collect()
+    assert len(rows) == 3 and len({r["block"] for r in rows}) == 3  # a block for each task
+    assert parts >= spark.sparkContext.defaultParallelism and named.select("part").distinct().count() <= parts
+    TopicModel(2, max_iter=1).fit(df, "t")  # the folder is there now
+    folder = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    left = []
+    for steps in (2, 5):
+        before = len(list(folder.iterdir()))
+        TopicModel(2, max_iter=steps).fit(df, "t")
+        left.append(len(list(folder.iterdir())) - before)
+    assert left[0] == left[1]
