@@ -30,15 +30,20 @@ def gaussian(key: Column) -> Column:
     return F.sqrt(-2.0 * F.log(u1)) * F.cos(2.0 * math.pi * uniform(key, 9))
 
 
-def poisson_one(u: Column, most: int = 16) -> Column:
-    """Poisson(1) draw by inversion of a uniform number."""
-    total, p, out = 0.0, math.exp(-1.0), F.lit(most)
-    steps = []
+def poisson_bounds(most: int = 16) -> list[float]:
+    """A uniform number below the kth bound, and no earlier one, draws k from Poisson(1)."""
+    total, p, out = 0.0, math.exp(-1.0), []
     for k in range(most):
         total += p
-        steps.append((total, k))
+        out.append(total)
         p /= k + 1
-    for bound, k in reversed(steps):
+    return out
+
+
+def poisson_one(u: Column, most: int = 16) -> Column:
+    """Poisson(1) draw by inversion of a uniform number."""
+    out = F.lit(most)
+    for k, bound in reversed(list(enumerate(poisson_bounds(most)))):
         out = F.when(u < bound, F.lit(k)).otherwise(out)
     return out.cast("int")
 

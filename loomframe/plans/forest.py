@@ -10,20 +10,22 @@ from __future__ import annotations
 
 import hashlib
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from loomframe.functions.keys import hash_key, poisson_one, uniform
+from loomframe.functions.keys import hash_key, poisson_bounds
 from loomframe.plans.levelwise import feature_count
 from loomframe.plans.runtime import stored
 
 CELLS = 4_000_000  # sums that a task holds in one array; beyond, only those that occur in a batch
-ROUTED = 4_096  # rows routed at once
+ROUTED = 32_768  # rows routed at once
 NO_VALUE = np.iinfo(np.uint16).max  # the code of NULL: it goes right at every split
 MOST_BINS = 1_024
+POISSON = np.array(poisson_bounds())
 
 
 @dataclass
@@ -85,9 +87,10 @@ def bin_edges(df: DataFrame, features, bins: int) -> list[np.ndarray]:
 
 def prepared(df: DataFrame, features, label: Column, id_col, n_trees: int, seed: int, edges: list[np.ndarray]) -> DataFrame:
     """(x, y, w): bin codes as bytes, the class number and a Poisson weight a tree; rows without a class are left out."""
-    weights = F.transform(F.sequence(F.lit(0), F.lit(n_trees - 1)), lambda t: poisson_one(uniform(hash_key(seed, t, id_col))).cast("tinyint"))
+    # the first eight digits of each tree's hash; the draw that keys.poisson_one(keys.uniform(hash)) makes is made from them in the task
+    draws = F.concat(*[F.substring(hash_key(seed, F.lit(t), id_col), 1, 8) for t in range(n_trees)])
     rows = df.select(F.array(*[F.col(c).cast("double") for c in features]).alias("x"), label.cast("int").alias("y"),
-                     weights.alias("w")).filter("y >= 0")
+                     draws.alias("w")).filter("y >= 0")
 
     def code(batches):
         for batch in batches:
@@ -98,16 +101,45 @@ def prepared(df: DataFrame, features, label: Column, id_col, n_trees: int, seed:
             for i, e in enumerate(edges):
                 known = ~np.isnan(x[:, i])
                 codes[:, i] = np.where(known, np.minimum(np.searchsorted(e, x[:, i], "left"), max(len(e) - 1, 0)), NO_VALUE)
-            w = batch.column(2).flatten().to_numpy(zero_copy_only=False).astype(np.uint8).reshape(batch.num_rows, -1)
-            yield pa.RecordBatch.from_arrays([pa.array([r.tobytes() for r in codes], pa.binary()), batch.column(1),
-                                              pa.array([r.tobytes() for r in w], pa.binary())], names=["x", "y", "w"])
+            u = np.frombuffer(bytes.fromhex("".join(batch.column(2).to_pylist())), ">u4").reshape(batch.num_rows, -1) / 2.0 ** 32
+            w = np.searchsorted(POISSON, u, "right").astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([_binary(codes), batch.column(1), _binary(w)], names=["x", "y", "w"])
 
     return stored(rows.mapInArrow(code, "x binary, y int, w binary"))
 
 
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The bytes of each row of a matrix, as one column."""
+    rows = np.ascontiguousarray(rows)
+    ends = np.arange(len(rows) + 1, dtype=np.int32) * (rows.shape[1] * rows.itemsize)
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer(ends), pa.py_buffer(rows)])
+
+
+def _matrix(column: pa.Array, kind, width: int) -> np.ndarray:
+    """The matrix whose rows' bytes a column holds."""
+    if not len(column):
+        return np.empty((0, width), kind)
+    ends = np.frombuffer(column.buffers()[1], np.int64 if pa.types.is_large_binary(column.type) else np.int32)
+    first, last = ends[column.offset], ends[column.offset + len(column)]
+    return np.frombuffer(column.buffers()[2], np.uint8)[first:last].view(kind).reshape(-1, width)
+
+
 def _rows_of(batch, n_features: int, n_trees: int):
-    x = np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint16).reshape(-1, n_features)
-    return x, batch.column(1).to_numpy(), np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, n_trees)
+    return _matrix(batch.column(0), np.uint16, n_features), batch.column(1).to_numpy(), _matrix(batch.column(2), np.uint8, n_trees)
+
+
+def _gathered(batches, n_features: int, n_trees: int):
+    """Rows of several batches, ROUTED at once: what is paid for each lot does not depend on the size of a batch."""
+    held, size = [], 0
+    for batch in chain(batches, [None]):  # None: the last lot may be smaller
+        if batch is not None and batch.num_rows:
+            held.append(_rows_of(batch, n_features, n_trees))
+            size += batch.num_rows
+        if held and (batch is None or size >= ROUTED):
+            lot = [np.concatenate(c) for c in zip(*held)]
+            for i in range(0, size, ROUTED):
+                yield [c[i:i + ROUTED] for c in lot]
+            held, size = [], 0
 
 
 def class_weights(rows: DataFrame, n_trees: int, n_classes: int) -> list[np.ndarray]:
@@ -116,7 +148,7 @@ def class_weights(rows: DataFrame, n_trees: int, n_classes: int) -> list[np.ndar
         total = np.zeros((n_trees, n_classes))
         for batch in batches:
             y = batch.column(0).to_numpy()
-            w = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(len(y), n_trees)
+            w = _matrix(batch.column(1), np.uint8, n_trees)
             for t in range(n_trees):
                 total[t] += np.bincount(y, weights=w[:, t], minlength=n_classes)
         t, c = np.nonzero(total)
@@ -135,8 +167,8 @@ def allowed_features(seed: int, tree: int, heap: int, n_features: int, k: int) -
 
 
 def histogram(rows: DataFrame, trees: list[Grown], todo: list[tuple[int, int]], allowed: list[list[int]], n_features: int,
-              n_classes: int) -> DataFrame:
-    """(place, f, code, y, n): weights by open node (its place in todo), feature, bin and class."""
+              n_classes: int, bins: int = MOST_BINS) -> DataFrame:
+    """(place, f, code, y, n): weights by open node (its place in todo), feature, bin (of so many at most; NULL is MOST_BINS) and class."""
     arrays, n_trees = [t.arrays() for t in trees], len(trees)
     place = [np.full(len(t.feature), -1, np.int64) for t in trees]
     for i, (t, node) in enumerate(todo):
@@ -144,7 +176,7 @@ def histogram(rows: DataFrame, trees: list[Grown], todo: list[tuple[int, int]],
     wanted = np.zeros((len(todo), n_features), bool)
     for i, fs in enumerate(allowed):
         wanted[i, fs] = True
-    span = MOST_BINS + 1
+    span = bins + 1
     size = len(todo) * n_features * span * n_classes
     active = sorted({t for t, _ in todo})
 
@@ -152,6 +184,7 @@ def histogram(rows: DataFrame, trees: list[Grown], todo: list[tuple[int, int]],
         keys, y = np.divmod(keys, n_classes)
         keys, code = np.divmod(keys, span)
         at, f = np.divmod(keys, n_features)
+        code = np.where(code == bins, MOST_BINS, code)
         for i in range(0, len(sums), 100_000):
             s = slice(i, i + 100_000)
             yield pa.RecordBatch.from_arrays(
@@ -160,29 +193,26 @@ def histogram(rows: DataFrame, trees: list[Grown], todo: list[tuple[int, int]],
 
     def add(batches):
         held = np.zeros(size) if size <= CELLS else None
-        for batch in batches:
-            for i in range(0, batch.num_rows, ROUTED):
-                x, y, w = _rows_of(batch.slice(i, ROUTED), n_features, n_trees)
-                codes = np.minimum(x, MOST_BINS).astype(np.int64)
-                keys, weights = [], []
-                for t in active:
-                    at = place[t][leaves(arrays[t], x)]
-                    r = np.flatnonzero((at >= 0) & (w[:, t] > 0))
-                    if not len(r):
-                        continue
-                    base = at[r][:, None] * n_features + np.arange(n_features)[None, :]
-                    key = (base * span + codes[r]) * n_classes + y[r][:, None]
-                    use = wanted[at[r]]
-                    keys.append(key[use])
-                    weights.append(np.repeat(w[r, t], n_features).reshape(len(r), n_features)[use])
-                if not keys:
-                    continue
-                keys, weights = np.concatenate(keys), np.concatenate(weights).astype(float)
-                if held is not None:
-                    held += np.bincount(keys, weights=weights, minlength=size)
-                else:
-                    some, where = np.unique(keys, return_inverse=True)
-                    yield from unpacked(some, np.bincount(where, weights=weights))
+        for x, y, w in _gathered(batches, n_features, n_trees):
+            codes = [(np.minimum(x[:, f], bins).astype(np.int64) + span * f) * n_classes + y for f in range(n_features)]
+            keys, weights = [], []
+            for t in active:
+                r = np.flatnonzero(w[:, t])
+                at = place[t][leaves(arrays[t], x[r])]
+                r, at = r[at >= 0], at[at >= 0]
+                for f in range(n_features):
+                    use = wanted[at, f]
+                    some = r[use]
+                    keys.append(codes[f][some] + at[use] * (n_features * span * n_classes))
+                    weights.append(w[some, t])
+            if not sum(map(len, keys)):
+                continue
+            keys, weights = np.concatenate(keys), np.concatenate(weights).astype(float)
+            if held is not None:
+                held += np.bincount(keys, weights=weights, minlength=size)
+            else:
+                some, where = np.unique(keys, return_inverse=True)
+                yield from unpacked(some, np.bincount(where, weights=weights))
         if held is not None:
             some = np.flatnonzero(held)
             yield from unpacked(some, held[some])
@@ -270,7 +300,7 @@ def grow_forest(df: DataFrame, features, label: Column, n_classes: int, id_col,
             break
         allowed = [allowed_features(seed, t, trees[t].heap[node], len(features), k) for t, node in todo]
         totals = {i: trees[t].weights[node] for i, (t, node) in enumerate(todo)}
-        sums = histogram(rows, trees, todo, allowed, len(features), n_classes)
+        sums = histogram(rows, trees, todo, allowed, len(features), n_classes, max(map(len, edges)))
         open_nodes = []
         for r in sorted(best_splits(sums, totals, n_classes, criterion, min_leaf).collect(), key=lambda r: r["place"]):
             t, node = todo[r["place"]]

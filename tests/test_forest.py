@@ -109,3 +109,17 @@ def test_bins_nulls_and_faults(spark):
         RandomForest(["a"], "y", "id").fit(df.limit(0))
     with pytest.raises(ValueError):
         RandomForest(["a"], "y", "id", bins=1).fit(df)
+
+
+def test_weights_are_drawn_once_and_rows_go_as_matrices(spark):
+    """The weights that a task draws are those of keys.poisson_one, from eight digits of a hash that is taken once a row and tree."""
+    df, _, _ = table(spark, n=300)
+    edges = forest.bin_edges(df, ["a", "b", "c"], 64)
+    made = forest.prepared(df, ["a", "b", "c"], F.lit(1), "id", 7, 42, edges).collect()
+    wanted = sorted(bytes(w.astype(np.uint8)) for w in weights_of(df, 7))
+    assert sorted(bytes(r.w) for r in made) == wanted
+    rows = np.arange(24, dtype=np.uint16).reshape(8, 3)
+    column = forest._binary(rows)
+    assert (forest._matrix(column.slice(2, 5), np.uint16, 3) == rows[2:7]).all()
+    lots = list(forest._gathered(iter([]), 3, 2))
+    assert lots == []
